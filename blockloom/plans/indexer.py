@@ -15,7 +15,7 @@ from blockloom.operators.versioned import latest_by_key
 from blockloom.plans.balances import balance_changes
 from blockloom.plans.dashboards import run_sql
 from blockloom.plans.metrics import SPECS, metric_batch
-from blockloom.sources.tables import path_exists
+from blockloom.sources.tables import delete_path, path_exists
 
 SYNC = "sync"
 
@@ -27,6 +27,7 @@ class WatermarkStore:
     """
 
     KEY = ["chain_id", "indexer_name", "granularity"]
+    TIDY_EVERY = 200  # entries of one key before the small files are rewritten
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -34,8 +35,21 @@ class WatermarkStore:
 
     def table(self) -> DataFrame:
         if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], schemas.WATERMARKS)
-        return self.spark.read.schema(schemas.WATERMARKS).parquet(self.path)
+            return self.spark.createDataFrame([], schemas.WATERMARKS + ", generation int")
+        return self.spark.read.schema(schemas.WATERMARKS + ", generation int").parquet(self.path)
+
+    def tidy(self) -> None:
+        """Rewrite the newest entries as the next generation and delete the older ones.
+
+        Entries order by ``seq`` alone, so readers see the same marks at every moment in between.
+        """
+        last = self.table().agg(F.max("generation").alias("g")).first().g
+        if last is None:
+            return
+        kept = self.current().drop("generation")
+        kept.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/generation={last + 1}")
+        for generation in range(last + 1):
+            delete_path(self.spark, f"{self.path}/generation={generation}")
 
     def current(self) -> DataFrame:
         return latest_by_key(self.table(), self.KEY, "seq", ["updated_at"])
@@ -47,8 +61,16 @@ class WatermarkStore:
 
     def set(self, chain_id: int, name: str, granularity: str = "", last_period: datetime | None = None, last_block_num: int | None = None) -> None:
         known = self.get(chain_id, name, granularity)
-        row = (chain_id, name, granularity, last_period, last_block_num, datetime.now(), (known.seq if known else 0) + 1)
-        self.spark.createDataFrame([row], schemas.WATERMARKS).coalesce(1).write.mode("append").parquet(self.path)
+        seq = (known.seq if known else 0) + 1
+        generation = known.generation if known else self._generation()
+        row = (chain_id, name, granularity, last_period, last_block_num, datetime.now(), seq)
+        entry = self.spark.createDataFrame([row], schemas.WATERMARKS).coalesce(1)
+        entry.write.mode("append").parquet(f"{self.path}/generation={generation}")
+        if seq % self.TIDY_EVERY == 0:
+            self.tidy()
+
+    def _generation(self) -> int:
+        return self.table().agg(F.coalesce(F.max("generation"), F.lit(0)).alias("g")).first().g
 
     def sync_get(self, chain_id: int) -> int | None:
         row = self.get(chain_id, SYNC)

@@ -84,6 +84,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs(spark, path)
+    return fs.delete(jpath, True)
+
+
 def purge_chain(spark: SparkSession, root: str, chain_id: int, tables=tuple(RAW_LAYOUT)) -> list[str]:
     """Delete one chain's partitions of the raw tables; returns the folders deleted."""
     gone = []
