@@ -179,7 +179,7 @@ def token_volume_by_week(star: Star):
 )
 def token_volume_one_token(star: Star):
     spec = M.MetricSpec("token_7", "raw_logs", "token_volume", token=f"{7:040x}", decimals=6)
-    return plain(M._batch_volume(star.token_logs(), spec, GRANULARITIES))
+    return plain(M.token_volume_batch(star.token_logs(), spec, GRANULARITIES))
 
 
 @query(

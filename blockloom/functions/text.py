@@ -51,9 +51,12 @@ def json_field(v, path: str, kind: str = "string") -> Column:
 
 
 def trunc_div(a, b) -> Column:
-    """Whole quotient of non-negative numbers; NULL where b is 0."""
-    a, b = _col(a).cast("decimal(38,0)"), _col(b).cast("decimal(20,0)")
-    return F.call_function("div", a, F.nullif(b, F.lit(0).cast("decimal(20,0)")))
+    """Whole quotient of non-negative numbers as decimal(38,0); NULL where b is 0.
+
+    The remainder is taken off first, so the decimal division is exact and cannot round up.
+    """
+    a, b = _col(a).cast("decimal(38,0)"), F.nullif(_col(b).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    return ((a - a % b) / b).cast("decimal(38,0)")
 
 
 def tx_type_name(c) -> Column:
@@ -61,7 +64,11 @@ def tx_type_name(c) -> Column:
 
 
 def _fixed(c: Column, places: int) -> Column:
-    return F.round(c, places).cast(f"decimal(38,{places})").cast("string")
+    """Text with a fixed number of decimals: nearest to the exact double value, exact ties away from zero."""
+    nearest = F.call_function("format_number", c, F.lit("0" if places == 0 else "0." + "0" * places))
+    halves = c * F.lit(float(2 ** (places + 1)))
+    tie = (halves == F.floor(halves)) & (F.abs(halves % 2) == 1)
+    return F.when(tie, F.round(c, places).cast(f"decimal(38,{places})").cast("string")).otherwise(nearest)
 
 
 def readable(c) -> Column:

@@ -26,6 +26,7 @@ from blockloom.constants import (
 )
 from blockloom.functions.hexes import byte_length, non_zero
 from blockloom.functions.periods import interval, next_period, period_seconds, period_start, range_preset, second_bucket
+from blockloom.functions.text import trunc_div
 from blockloom.functions.u256 import u256_div, u256_sum, u256_to_decimal
 from blockloom.operators.filters import bytes_in, for_chain, in_time_range
 from blockloom.operators.versioned import latest_by_key
@@ -51,6 +52,7 @@ class MetricSpec:
     keys: tuple[str, ...] = ()
     token: str = ""
     decimals: int = 0
+    narrow: bool = False  # 32-bit measure: bigint sums are safe and stay in generated code
 
 
 def _created() -> Column:
@@ -72,14 +74,14 @@ def register(spec: MetricSpec) -> MetricSpec:
 
 for _spec in (
     MetricSpec("tx_count", "raw_txs", "count"),
-    MetricSpec("gas_used", "raw_txs", "sum", lambda: F.col("gas_used")),
+    MetricSpec("gas_used", "raw_txs", "sum", lambda: F.col("gas_used"), narrow=True),
     MetricSpec("fees_paid", "raw_txs", "sum", _fee),
     MetricSpec("avg_gas_price", "raw_txs", "avg", lambda: F.col("gas_price")),
     MetricSpec("max_gas_price", "raw_txs", "max", lambda: F.col("gas_price")),
     MetricSpec("avg_tps", "raw_txs", "rate"),
-    MetricSpec("avg_gps", "raw_blocks", "rate", lambda: F.col("gas_used")),
+    MetricSpec("avg_gps", "raw_blocks", "rate", lambda: F.col("gas_used"), narrow=True),
     MetricSpec("max_tps", "raw_txs", "peak"),
-    MetricSpec("max_gps", "raw_blocks", "peak", lambda: F.col("gas_used")),
+    MetricSpec("max_gps", "raw_blocks", "peak", lambda: F.col("gas_used"), narrow=True),
     MetricSpec("active_addresses", "raw_traces", "distinct", keys=("from", "to")),
     MetricSpec("active_senders", "raw_traces", "distinct", keys=("from",)),
     MetricSpec("contracts", "raw_traces", "count", where=_created),
@@ -102,8 +104,11 @@ def _named(df: DataFrame, name: str, granularity: str, value: Column) -> DataFra
     )
 
 
-def _sum(measure: Callable[[], Column] | None) -> Column:
-    return F.count("*") if measure is None else F.sum(measure().cast(VALUE))
+def measure_sum(spec: MetricSpec) -> Column:
+    """Rows, or the sum of the measure."""
+    if spec.measure is None:
+        return F.count("*")
+    return F.sum(spec.measure().cast("bigint" if spec.narrow else VALUE))
 
 
 def addresses(df: DataFrame, keys: tuple[str, ...], *rest) -> DataFrame:
@@ -137,26 +142,20 @@ def metric(
         out = addresses(df, spec.keys, *keyed).groupBy("chain_id", "period").agg(counted.alias("n"))
         return _named(out, name, granularity, F.col("n"))
     if spec.kind == "peak":
-        per_second = df.groupBy(*keyed, second_bucket("block_time").alias("second")).agg(_sum(spec.measure).alias("n"))
+        per_second = df.groupBy(*keyed, second_bucket("block_time").alias("second")).agg(measure_sum(spec).alias("n"))
         return _named(per_second.groupBy("chain_id", "period").agg(F.max("n").alias("n")), name, granularity, F.col("n"))
     groups = df.groupBy(*keyed)
     if spec.kind == "max":
         return _named(groups.agg(F.max(spec.measure()).alias("n")), name, granularity, F.col("n"))
     if spec.kind == "avg":
         out = groups.agg(F.sum(spec.measure().cast(VALUE)).alias("s"), F.count(spec.measure()).alias("n"))
-        return _named(out, name, granularity, _whole("s", "n"))
-    out = groups.agg(_sum(spec.measure).alias("n"))
+        return _named(out, name, granularity, trunc_div("s", "n"))
+    out = groups.agg(measure_sum(spec).alias("n"))
     if spec.kind == "rate":
-        return _named(out, name, granularity, _whole("n", period_seconds("period", granularity)))
+        return _named(out, name, granularity, trunc_div("n", period_seconds("period", granularity)))
     return _named(out, name, granularity, F.col("n"))
 
 
-def _whole(a, b) -> Column:
-    """Whole part of a quotient of non-negative numbers."""
-    a, b = [(F.col(c) if isinstance(c, str) else c) for c in (a, b)]
-    return F.call_function("div", a.cast(VALUE), b.cast("decimal(20,0)"))
-
-
 def token_volume(logs: DataFrame, token: str | None, decimals: int, granularity: str, signature: str = TRANSFER) -> DataFrame:
     """Whole coins moved per chain and period; all tokens apart (column ``address``) if ``token`` is None."""
     df = logs.where(bytes_in("topic0", [signature]) & (byte_length("data") == 32))
@@ -247,18 +246,19 @@ def _batch_additive(df: DataFrame, specs: list[MetricSpec], grains: tuple[str, .
     def partial(spec: MetricSpec) -> list[Column]:
         n, m = spec.name, spec.measure
         if spec.kind == "max":
-            return [F.max(m()).cast(VALUE).alias(n)]
+            return [F.max(m()).alias(n)]
         if spec.kind == "avg":
-            return [F.sum(m().cast(VALUE)).alias(n), F.count(m()).alias(f"{n}_rows")]
-        if m is None:
-            return [(F.count("*") if spec.where is None else F.count_if(spec.where())).cast(VALUE).alias(n)]
-        return [F.sum(m().cast(VALUE)).alias(n)]
+            return [measure_sum(spec).alias(n), F.count(m()).alias(f"{n}_rows")]
+        if m is None and spec.where is not None:
+            return [F.count_if(spec.where()).alias(n)]
+        return [measure_sum(spec).alias(n)]
 
     def merge(spec: MetricSpec) -> list[Column]:
         n = spec.name
         if spec.kind in ("max", "peak"):
             return [F.max(n).alias(n)]
-        return [F.sum(n).cast(VALUE).alias(n)] + ([F.sum(f"{n}_rows").alias(f"{n}_rows")] if spec.kind == "avg" else [])
+        total = F.sum(n) if spec.narrow or spec.measure is None else F.sum(n).cast(VALUE)
+        return [total.alias(n)] + ([F.sum(f"{n}_rows").alias(f"{n}_rows")] if spec.kind == "avg" else [])
 
     if all(s.where is not None for s in specs):
         df = df.where(reduce(lambda a, b: a | b, [s.where() for s in specs]))
@@ -270,9 +270,9 @@ def _batch_additive(df: DataFrame, specs: list[MetricSpec], grains: tuple[str, .
 
     def final(spec: MetricSpec) -> Column:
         if spec.kind == "avg":
-            return _whole(spec.name, f"{spec.name}_rows")
+            return trunc_div(spec.name, f"{spec.name}_rows")
         if spec.kind == "rate":
-            return _whole(F.col(spec.name), _seconds_of())
+            return trunc_div(F.col(spec.name), _seconds_of())
         # a filtered count without matching rows has no row in the series
         return F.when(F.col(spec.name) > 0, F.col(spec.name)) if spec.where is not None else F.col(spec.name)
 
@@ -334,7 +334,8 @@ def _batch_cumulative(df: DataFrame, spec: MetricSpec, grains: tuple[str, ...],
     return total.select("chain_id", F.lit(spec.name).alias("metric_name"), "granularity", "period", F.col("value").cast(VALUE).alias("value"))
 
 
-def _batch_volume(df: DataFrame, spec: MetricSpec, grains: tuple[str, ...]) -> DataFrame:
+def token_volume_batch(df: DataFrame, spec: MetricSpec, grains: tuple[str, ...]) -> DataFrame:
+    """Volume of one token at several granularities from one scan: hourly 256-bit sums, then sums of those."""
     rows = df.where(bytes_in("topic0", [TRANSFER]) & bytes_in("address", [spec.token]) & (byte_length("data") == 32))
     hourly = rows.groupBy("chain_id", F.date_trunc("hour", "block_time").alias("hour")).agg(u256_sum("data").alias("total"))
     rolled = _rolled(hourly, grains, [], [u256_sum("total").alias("total")])
@@ -359,7 +360,7 @@ def metric_batch(
             parts.append(_batch_additive(ranged, additive, grains))
         if distinct:
             parts.append(_batch_distinct(ranged, distinct, grains, approx))
-        parts += [_batch_volume(ranged, s, grains) for s in mine if s.kind == "token_volume"]
+        parts += [token_volume_batch(ranged, s, grains) for s in mine if s.kind == "token_volume"]
         parts += [_batch_cumulative(history, s, grains, first) for s in mine if s.kind.startswith("cumulative")]
     return reduce(DataFrame.unionByName, parts)
 

@@ -313,7 +313,7 @@ class Star:
         )
         call = F.format_string(
             '{"from":"%s","gas":"0x10","gasUsed":"0x8","to":"%s","input":"0x","type":"call","value":"0x1",'
-            '"calls":[{"from":"%s","gas":"0x5","gasUsed":"bad","input":"0x01","type":"create","calls":[{"from":"%s","gas":"0x4","gasUsed":"0x2","to":"%s","input":"0x","type":"staticcall"}]},'
+            '"calls":[{"from":"%s","gas":"0x5","gasUsed":"none","input":"0x01","type":"create","calls":[{"from":"%s","gas":"0x4","gasUsed":"0x2","to":"%s","input":"0x","type":"staticcall"}]},'
             '{"from":"%s","gas":"0x3","gasUsed":"0x1","to":"%s","input":"0x","type":""}]}',
             a20(part), a20(supp), a20(supp), a20(supp + 1), a20(part), a20(supp), a20(part),
         )

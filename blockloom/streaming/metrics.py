@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from blockloom.constants import GRANULARITIES
 from blockloom.functions.periods import following_period, floor_period, period_seconds
+from blockloom.functions.text import trunc_div
 from blockloom.plans.indexer import WatermarkStore, run_granular
-from blockloom.plans.metrics import SPECS, VALUE, MetricSpec, addresses, metric_batch
+from blockloom.plans.metrics import SPECS, VALUE, MetricSpec, addresses, measure_sum, metric_batch
 from blockloom.sources.tables import RAW_LAYOUT, path_exists, read_table
 
 # Window lengths; the week starts on Sunday, three days after the epoch's Thursday.
@@ -39,7 +40,7 @@ def stream_metric(stream: DataFrame, spec: MetricSpec | str, granularity: str, d
     df = stream.withWatermark("block_time", delay)
     if spec.where is not None:
         df = df.where(spec.where())
-    measure = F.count("*") if spec.measure is None else F.sum(spec.measure().cast(VALUE))
+    measure = measure_sum(spec)
     if spec.kind == "peak":
         seconds = df.groupBy("chain_id", F.window("block_time", "1 second").alias("s")).agg(measure.alias("n"))
         grouped = seconds.groupBy("chain_id", _window(F.window_time("s"), granularity).alias("w")).agg(F.max("n").alias("n"))
@@ -49,11 +50,11 @@ def stream_metric(stream: DataFrame, spec: MetricSpec | str, granularity: str, d
         grouped = ends.groupBy("chain_id", _window("block_time", granularity).alias("w")).agg(F.approx_count_distinct("address").alias("n"))
         value = F.col("n")
     elif spec.kind in ("count", "sum", "rate", "max", "avg"):
-        aggregate = {"max": lambda: F.max(spec.measure()), "avg": lambda: F.floor(F.avg(spec.measure().cast(VALUE)))}.get(spec.kind, lambda: measure)()
+        aggregate = {"max": lambda: F.max(spec.measure()), "avg": lambda: trunc_div(F.sum(spec.measure().cast(VALUE)), F.count(spec.measure()))}.get(spec.kind, lambda: measure)()
         grouped = df.groupBy("chain_id", _window("block_time", granularity).alias("w")).agg(aggregate.alias("n"))
         value = F.col("n")
         if spec.kind == "rate":
-            value = F.call_function("div", value.cast(VALUE), period_seconds("w.start", granularity).cast("decimal(20,0)"))
+            value = trunc_div(value, period_seconds("w.start", granularity))
     else:
         raise ValueError(f"{spec.kind} metrics are not windowed; use update_metrics")
     return grouped.select(
