@@ -18,36 +18,45 @@ def digits(c) -> Column:
     return F.when(c.startswith("0x"), F.substring(c, 3, 2**31 - 1)).otherwise(c)
 
 
-def _checked(value: Column, c, strict: bool, what: str) -> Column:
+def _or_fail(value: Column, h, kind: str, strict: bool, what: str) -> Column:
     if not strict:
         return value
-    message = F.concat(F.lit(f"bad {what}: "), F.coalesce(_col(c), F.lit("NULL")))
-    return F.when(value.isNull(), F.raise_error(message).cast("void")).otherwise(value)
+    return F.coalesce(value, F.raise_error(F.concat(F.lit(f"bad {what}: "), _col(h))).cast(kind))
+
+
+# The *_of functions take bare digits.  A job that decodes many fields strips the prefixes in a
+# projection of its own first, which keeps the generated code of the decoding step small.
+
+
+def uint_of(h, bits: int = 64, strict: bool = False) -> Column:
+    h = _col(h)
+    kind = "int" if bits <= 16 else "bigint" if bits <= 32 else "decimal(20,0)"
+    ok = (F.length(F.ltrim(h, F.lit("0"))) <= bits // 4) & F.unhex(h).isNotNull()
+    return _or_fail(F.when(ok, F.conv(F.concat(F.lit("0"), h), 16, 10).cast(kind)), h, kind, strict, f"{bits}-bit quantity")
+
+
+def bytes_of(h, strict: bool = False) -> Column:
+    return _or_fail(F.unhex(_col(h)), h, "binary", strict, "hex")
+
+
+def fixed_of(h, size: int, strict: bool = False) -> Column:
+    h = _col(h)
+    return _or_fail(F.when(F.length(h) <= 2 * size, F.unhex(F.lpad(h, 2 * size, "0"))), h, "binary", strict, f"{size}-byte value")
 
 
 def hex_to_uint(c, bits: int = 64, strict: bool = False) -> Column:
     """Hex quantity to an unsigned number; empty is 0, bad or too wide is NULL (an error if strict)."""
-    h = digits(c)
-    significant = F.regexp_replace(h, "^0+", "")
-    fits = F.length(significant) <= bits // 4
-    kind = "int" if bits <= 16 else "bigint" if bits <= 32 else "decimal(20,0)"
-    value = (
-        F.when(h == "", F.lit(0).cast(kind))
-        .when(fits & h.rlike("^[0-9a-fA-F]+$"), F.conv(F.concat(F.lit("0"), significant), 16, 10).cast(kind))
-    )
-    return _checked(value, c, strict, f"{bits}-bit quantity")
+    return uint_of(digits(c), bits, strict)
 
 
 def hex_to_bytes(c, strict: bool = False) -> Column:
     """Hex to bytes; an odd digit count gets a leading zero, empty gives zero bytes."""
-    return _checked(F.unhex(digits(c)), c, strict, "hex")
+    return bytes_of(digits(c), strict)
 
 
 def hex_to_fixed(c, size: int, strict: bool = False) -> Column:
     """Hex to exactly ``size`` bytes, zero-padded on the left; too long or bad is NULL."""
-    h = digits(c)
-    value = F.when(F.length(h) <= 2 * size, F.unhex(F.lpad(h, 2 * size, "0")))
-    return _checked(value, c, strict, f"{size}-byte value")
+    return fixed_of(digits(c), size, strict)
 
 
 def hex_to_u256(c, strict: bool = False) -> Column:

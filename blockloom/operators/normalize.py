@@ -14,8 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.constants import LAUNCH_SECONDS, SECONDS_PER_BLOCK, TIME_LOOKBACK_BLOCKS, ZERO_ADDRESS, ZERO_HASH
-from blockloom.functions.hexes import digits, from_hex, hex_to_bytes, hex_to_fixed, hex_to_u256, hex_to_uint
+from blockloom.constants import LAUNCH_SECONDS, SECONDS_PER_BLOCK, TIME_LOOKBACK_BLOCKS, ZERO_HASH
+from blockloom.functions.hexes import bytes_of, digits, fixed_of, from_hex, hex_to_fixed, uint_of
 from blockloom.functions.periods import block_time
 from blockloom.functions.text import json_field
 from blockloom.operators.windows import last_known
@@ -33,52 +33,62 @@ def _or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(b""))
 
 
-def _present(c: Column) -> Column:
-    return digits(c) != ""
+def _stripped(df: DataFrame, keep: list, fields: dict[str, str]) -> DataFrame:
+    """Bare hex digits of the fields (new name -> path), next to the kept columns."""
+    return df.select(*keep, *[digits(path).alias(name) for name, path in fields.items()])
 
 
-def _time(block: str) -> Column:
-    return block_time(
-        _or_zero(hex_to_uint(f"{block}.timestampMilliseconds")), hex_to_uint(f"{block}.timestamp", strict=True)
-    )
+_TIME_FIELDS = {"b_number": "block.number", "b_hash": "block.hash", "b_time": "block.timestamp", "b_ms": "block.timestampMilliseconds"}
+
+
+def _time() -> Column:
+    return block_time(_or_zero(uint_of("b_ms")), uint_of("b_time", strict=True))
+
+
+def _number() -> Column:
+    return uint_of("b_number", 32, strict=True)
 
 
 def normalize_blocks(df: DataFrame, chain_id) -> DataFrame:
     """Block headers in the raw_blocks layout."""
-    c = lambda name: F.col(f"block.{name}")
-    number = hex_to_uint(c("number"), 32, strict=True)
-    odd_difficulty = _present(c("difficulty")) & (c("difficulty") != "0x1") & (_or_zero(hex_to_uint(c("difficulty"))) > 1)
-    return df.select(
-        _chain(chain_id).alias("chain_id"),
-        number.alias("block_number"),
-        hex_to_fixed(c("hash"), 32, strict=True).alias("hash"),
-        hex_to_fixed(c("parentHash"), 32, strict=True).alias("parent_hash"),
-        _time("block").alias("block_time"),
-        hex_to_fixed(c("miner"), 20, strict=True).alias("miner"),
-        F.when(odd_difficulty, 2).otherwise(1).alias("difficulty"),
-        F.coalesce(hex_to_uint(c("totalDifficulty")), number.cast("decimal(20,0)")).alias("total_difficulty"),
-        hex_to_uint(c("size"), 32, strict=True).alias("size"),
-        hex_to_uint(c("gasLimit"), 32, strict=True).alias("gas_limit"),
-        hex_to_uint(c("gasUsed"), 32, strict=True).alias("gas_used"),
-        _or_zero(hex_to_uint(c("baseFeePerGas"))).cast("decimal(20,0)").alias("base_fee_per_gas"),
-        _or_zero(hex_to_uint(c("blockGasCost"))).cast("decimal(20,0)").alias("block_gas_cost"),
-        hex_to_fixed(c("stateRoot"), 32, strict=True).alias("state_root"),
-        hex_to_fixed(c("transactionsRoot"), 32, strict=True).alias("transactions_root"),
-        hex_to_fixed(c("receiptsRoot"), 32, strict=True).alias("receipts_root"),
-        _or_empty(hex_to_bytes(c("extraData"))).alias("extra_data"),
-        _or_empty(hex_to_bytes(c("blockExtraData"))).alias("block_extra_data"),
-        F.coalesce(hex_to_fixed(c("extDataHash"), 32), from_hex(ZERO_HASH)).alias("ext_data_hash"),
-        _or_zero(hex_to_uint(c("extDataGasUsed"), 32)).alias("ext_data_gas_used"),
-        hex_to_fixed(c("mixHash"), 32, strict=True).alias("mix_hash"),
-        hex_to_fixed(c("nonce"), 8, strict=True).alias("nonce"),
-        hex_to_fixed(c("sha3Uncles"), 32, strict=True).alias("sha3_uncles"),
-        F.transform(
-            F.coalesce(c("uncles"), F.expr("cast(array() as array<string>)")), lambda u: hex_to_fixed(u, 32, strict=True)
-        ).alias("uncles"),
-        _or_zero(hex_to_uint(c("blobGasUsed"), 32)).alias("blob_gas_used"),
-        _or_zero(hex_to_uint(c("excessBlobGas"))).cast("decimal(20,0)").alias("excess_blob_gas"),
-        F.coalesce(hex_to_fixed(c("parentBeaconBlockRoot"), 32), from_hex(ZERO_HASH)).alias("parent_beacon_block_root"),
-        hex_to_uint(c("minDelayExcess"), strict=True).alias("min_delay_excess"),
+    names = [
+        "parentHash", "miner", "difficulty", "totalDifficulty", "size", "gasLimit", "gasUsed", "baseFeePerGas", "blockGasCost", "stateRoot",
+        "transactionsRoot", "receiptsRoot", "extraData", "blockExtraData", "extDataHash", "extDataGasUsed", "mixHash", "nonce", "sha3Uncles",
+        "blobGasUsed", "excessBlobGas", "parentBeaconBlockRoot", "minDelayExcess",
+    ]
+    uncles = F.transform(F.coalesce("block.uncles", F.expr("cast(array() as array<string>)")), lambda u: hex_to_fixed(u, 32, strict=True))
+    keep = [_chain(chain_id).alias("chain_id"), uncles.alias("uncles")]
+    bare = _stripped(df, keep, {**_TIME_FIELDS, **{n: f"block.{n}" for n in names}})
+    quantity = lambda n: _or_zero(uint_of(n)).cast("decimal(20,0)")
+    return bare.select(
+        "chain_id",
+        _number().alias("block_number"),
+        fixed_of("b_hash", 32, strict=True).alias("hash"),
+        fixed_of("parentHash", 32, strict=True).alias("parent_hash"),
+        _time().alias("block_time"),
+        fixed_of("miner", 20, strict=True).alias("miner"),
+        F.when(quantity("difficulty") > 1, 2).otherwise(1).alias("difficulty"),
+        F.coalesce(uint_of("totalDifficulty"), _number().cast("decimal(20,0)")).alias("total_difficulty"),
+        uint_of("size", 32, strict=True).alias("size"),
+        uint_of("gasLimit", 32, strict=True).alias("gas_limit"),
+        uint_of("gasUsed", 32, strict=True).alias("gas_used"),
+        quantity("baseFeePerGas").alias("base_fee_per_gas"),
+        quantity("blockGasCost").alias("block_gas_cost"),
+        fixed_of("stateRoot", 32, strict=True).alias("state_root"),
+        fixed_of("transactionsRoot", 32, strict=True).alias("transactions_root"),
+        fixed_of("receiptsRoot", 32, strict=True).alias("receipts_root"),
+        _or_empty(bytes_of("extraData")).alias("extra_data"),
+        _or_empty(bytes_of("blockExtraData")).alias("block_extra_data"),
+        F.coalesce(fixed_of("extDataHash", 32), from_hex(ZERO_HASH)).alias("ext_data_hash"),
+        _or_zero(uint_of("extDataGasUsed", 32)).alias("ext_data_gas_used"),
+        fixed_of("mixHash", 32, strict=True).alias("mix_hash"),
+        fixed_of("nonce", 8, strict=True).alias("nonce"),
+        fixed_of("sha3Uncles", 32, strict=True).alias("sha3_uncles"),
+        "uncles",
+        _or_zero(uint_of("blobGasUsed", 32)).alias("blob_gas_used"),
+        quantity("excessBlobGas").alias("excess_blob_gas"),
+        F.coalesce(fixed_of("parentBeaconBlockRoot", 32), from_hex(ZERO_HASH)).alias("parent_beacon_block_root"),
+        uint_of("minDelayExcess", strict=True).alias("min_delay_excess"),
     )
 
 
@@ -153,41 +163,50 @@ def access_list(c) -> Column:
     return F.coalesce(kept, F.expr("cast(array() as array<struct<address:binary, storage_keys:array<binary>>>)"))
 
 
-def _optional_fixed(c: Column, size: int, strict: bool) -> Column:
-    return F.when(_present(c), hex_to_fixed(c, size, strict))
+def _optional_fixed(h: str, size: int, strict: bool) -> Column:
+    return F.when(F.col(h) != "", fixed_of(h, size, strict))
 
 
 def normalize_txs(rows: DataFrame) -> DataFrame:
     """Transaction rows in the raw_txs layout."""
-    tx, receipt, block = [lambda n, p=p: F.col(f"{p}.{n}") for p in ("tx", "receipt", "block")]
-    base_fee = _or_zero(hex_to_uint(block("baseFeePerGas"))).cast("decimal(20,0)")
-    gas_price = hex_to_uint(tx("gasPrice"), strict=True)
-    given = lambda c: F.when(c.isNotNull() & (c != ""), hex_to_uint(c))
-    max_priority = given(tx("maxPriorityFeePerGas"))
-    return rows.select(
+    fields = {n: f"tx.{n}" for n in ("hash", "transactionIndex", "nonce", "from", "to", "value", "gas", "gasPrice", "input", "type", "maxFeePerGas", "maxPriorityFeePerGas")}
+    fields |= {"receiptGas": "receipt.gasUsed", "contract": "receipt.contractAddress", "baseFee": "block.baseFeePerGas"}
+    given = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    keep = [
+        "chain_id",
+        F.coalesce(F.col("receipt.status") == "0x1", F.lit(False)).alias("success"),
+        given("tx.maxFeePerGas").alias("has_max_fee"),
+        given("tx.maxPriorityFeePerGas").alias("has_max_priority"),
+        access_list(F.col("tx.accessList")).alias("access_list"),
+    ]
+    bare = _stripped(rows, keep, {**_TIME_FIELDS, **fields})
+    decoded = bare.select(
         "chain_id",
-        hex_to_fixed(tx("hash"), 32, strict=True).alias("hash"),
-        hex_to_uint(block("number"), 32, strict=True).alias("block_number"),
-        hex_to_fixed(block("hash"), 32, strict=True).alias("block_hash"),
-        _time("block").alias("block_time"),
-        hex_to_uint(tx("transactionIndex"), 16, strict=True).alias("transaction_index"),
-        hex_to_uint(tx("nonce"), strict=True).alias("nonce"),
-        hex_to_fixed(tx("from"), 20, strict=True).alias("from"),
-        _optional_fixed(tx("to"), 20, True).alias("to"),
-        hex_to_u256(tx("value"), strict=True).alias("value"),
-        hex_to_uint(tx("gas"), 32, strict=True).alias("gas_limit"),
-        gas_price.alias("gas_price"),
-        hex_to_uint(receipt("gasUsed"), 32, strict=True).alias("gas_used"),
-        F.coalesce(receipt("status") == "0x1", F.lit(False)).alias("success"),
-        hex_to_bytes(tx("input"), strict=True).alias("input"),
-        _or_zero(hex_to_uint(tx("type"), 8)).alias("type"),
-        given(tx("maxFeePerGas")).alias("max_fee_per_gas"),
-        max_priority.alias("max_priority_fee_per_gas"),
-        F.when(max_priority.isNotNull(), priority_fee(gas_price, base_fee, max_priority)).alias("priority_fee_per_gas"),
-        base_fee.alias("base_fee_per_gas"),
-        _optional_fixed(receipt("contractAddress"), 20, False).alias("contract_address"),
-        access_list(tx("accessList")).alias("access_list"),
+        fixed_of("hash", 32, strict=True).alias("hash"),
+        _number().alias("block_number"),
+        fixed_of("b_hash", 32, strict=True).alias("block_hash"),
+        _time().alias("block_time"),
+        uint_of("transactionIndex", 16, strict=True).alias("transaction_index"),
+        uint_of("nonce", strict=True).alias("nonce"),
+        fixed_of("from", 20, strict=True).alias("from"),
+        _optional_fixed("to", 20, True).alias("to"),
+        fixed_of("value", 32, strict=True).alias("value"),
+        uint_of("gas", 32, strict=True).alias("gas_limit"),
+        uint_of("gasPrice", strict=True).alias("gas_price"),
+        uint_of("receiptGas", 32, strict=True).alias("gas_used"),
+        "success",
+        bytes_of("input", strict=True).alias("input"),
+        _or_zero(uint_of("type", 8)).alias("type"),
+        F.when(F.col("has_max_fee"), uint_of("maxFeePerGas")).alias("max_fee_per_gas"),
+        F.when(F.col("has_max_priority"), uint_of("maxPriorityFeePerGas")).alias("max_priority_fee_per_gas"),
+        _or_zero(uint_of("baseFee")).cast("decimal(20,0)").alias("base_fee_per_gas"),
+        _optional_fixed("contract", 20, False).alias("contract_address"),
+        "access_list",
     )
+    tip = F.when(F.col("max_priority_fee_per_gas").isNotNull(), priority_fee("gas_price", "base_fee_per_gas", "max_priority_fee_per_gas"))
+    order = decoded.columns
+    at = order.index("base_fee_per_gas")
+    return decoded.withColumn("priority_fee_per_gas", tip).select(*order[:at], "priority_fee_per_gas", *order[at:])
 
 
 CALL = """array<struct<path:array<int>, `from`:string, `to`:string, gas:string, gasUsed:string, value:string,
@@ -227,34 +246,43 @@ def flatten_traces(rows: DataFrame, trace: str = "trace.result") -> DataFrame:
 
 def normalize_traces(rows: DataFrame) -> DataFrame:
     """Transaction rows in the raw_traces layout (one row per call)."""
-    slim = rows.select(
+    keep = [
         "chain_id",
-        hex_to_fixed("tx.hash", 32, strict=True).alias("tx_hash"),
-        hex_to_uint("block.number", 32, strict=True).alias("block_number"),
-        _time("block").alias("block_time"),
         F.col("pos").cast("int").alias("transaction_index"),
         F.coalesce(F.col("receipt.status") == "0x1", F.lit(False)).alias("tx_success"),
-        hex_to_fixed("tx.from", 20, strict=True).alias("tx_from"),
-        _optional_fixed(F.col("tx.to"), 20, False).alias("tx_to"),
         F.col("trace.result").alias("_trace"),
+    ]
+    bare = _stripped(rows, keep, {**_TIME_FIELDS, "t_hash": "tx.hash", "t_from": "tx.from", "t_to": "tx.to"})
+    slim = bare.select(
+        "chain_id",
+        fixed_of("t_hash", 32, strict=True).alias("tx_hash"),
+        _number().alias("block_number"),
+        _time().alias("block_time"),
+        "transaction_index",
+        "tx_success",
+        fixed_of("t_from", 20, strict=True).alias("tx_from"),
+        _optional_fixed("t_to", 20, False).alias("tx_to"),
+        "_trace",
     )
-    c = lambda n: F.col(f"call.{n}")
-    kind = F.upper(F.coalesce(c("type"), F.lit("")))
-    return flatten_traces(slim, "_trace").select(
+    calls = flatten_traces(slim, "_trace")
+    kept = [c for c in slim.columns if c != "_trace"]
+    keep = [*kept, F.col("call.path").alias("path"), F.upper(F.coalesce("call.type", F.lit(""))).alias("kind")]
+    bare_calls = _stripped(calls, keep, {n: f"call.{n}" for n in ("from", "to", "gas", "gasUsed", "value", "input", "output")})
+    return bare_calls.select(
         "chain_id",
         "tx_hash",
         "block_number",
         "block_time",
         "transaction_index",
-        c("path").alias("trace_address"),
-        hex_to_fixed(c("from"), 20, strict=True).alias("from"),
-        F.coalesce(_optional_fixed(c("to"), 20, True), from_hex(ZERO_ADDRESS)).alias("to"),
-        _or_zero(hex_to_uint(c("gas"), 32)).alias("gas"),
-        _or_zero(hex_to_uint(c("gasUsed"), 32)).alias("gas_used"),
-        F.coalesce(hex_to_u256(c("value")), from_hex(ZERO_HASH)).alias("value"),
-        _or_empty(hex_to_bytes(c("input"))).alias("input"),
-        _or_empty(hex_to_bytes(c("output"))).alias("output"),
-        F.when(kind == "", "CALL").otherwise(kind).alias("call_type"),
+        F.col("path").alias("trace_address"),
+        fixed_of("from", 20, strict=True).alias("from"),
+        fixed_of("to", 20, strict=True).alias("to"),  # no recipient: zero bytes
+        _or_zero(uint_of("gas", 32)).alias("gas"),
+        _or_zero(uint_of("gasUsed", 32)).alias("gas_used"),
+        F.coalesce(fixed_of("value", 32), from_hex(ZERO_HASH)).alias("value"),
+        _or_empty(bytes_of("input")).alias("input"),
+        _or_empty(bytes_of("output")).alias("output"),
+        F.when(F.col("kind") == "", "CALL").otherwise(F.col("kind")).alias("call_type"),
         "tx_success",
         "tx_from",
         "tx_to",
@@ -263,35 +291,40 @@ def normalize_traces(rows: DataFrame) -> DataFrame:
 
 def normalize_logs(rows: DataFrame) -> DataFrame:
     """Transaction rows in the raw_logs layout (one row per log)."""
-    logs = rows.select(
+    header = _stripped(rows, ["chain_id", "receipt.logs"], {**_TIME_FIELDS, "t_from": "tx.from", "t_to": "tx.to"}).select(
         "chain_id",
-        hex_to_uint("block.number", 32, strict=True).alias("block_number"),
-        hex_to_fixed("block.hash", 32, strict=True).alias("block_hash"),
-        _time("block").alias("block_time"),
-        hex_to_fixed("tx.from", 20, strict=True).alias("tx_from"),
-        _optional_fixed(F.col("tx.to"), 20, False).alias("tx_to"),
-        F.explode("receipt.logs").alias("log"),
+        _number().alias("block_number"),
+        fixed_of("b_hash", 32, strict=True).alias("block_hash"),
+        _time().alias("block_time"),
+        fixed_of("t_from", 20, strict=True).alias("tx_from"),
+        _optional_fixed("t_to", 20, False).alias("tx_to"),
+        "logs",
     )
-    c = lambda n: F.col(f"log.{n}")
-    topic = lambda i: F.get(c("topics"), F.lit(i))
-    filled = lambda i: F.when(topic(i).isNotNull() & (topic(i) != ""), hex_to_fixed(topic(i), 32, strict=i == 0))
-    return logs.select(
+    kept = [c for c in header.columns if c != "logs"]
+    logs = header.select(*kept, F.explode("logs").alias("log"))
+    topics = [F.coalesce(F.get("log.topics", F.lit(i)), F.lit("")).alias(f"topic{i}") for i in range(4)]
+    named = logs.select(*kept, "log.*", *topics)
+    fields = ("address", "transactionHash", "transactionIndex", "logIndex", "data", "topic0", "topic1", "topic2", "topic3")
+    keep = [*kept, "removed", *[(F.col(f"topic{i}") != "").alias(f"has{i}") for i in range(4)]]
+    bare = _stripped(named, keep, {f: f for f in fields})
+    topic = lambda i: F.when(F.col(f"has{i}"), fixed_of(f"topic{i}", 32)).alias(f"topic{i}")
+    return bare.select(
         "chain_id",
-        hex_to_fixed(c("address"), 20, strict=True).alias("address"),
+        fixed_of("address", 20, strict=True).alias("address"),
         "block_number",
         "block_hash",
         "block_time",
-        hex_to_fixed(c("transactionHash"), 32, strict=True).alias("transaction_hash"),
-        hex_to_uint(c("transactionIndex"), 16, strict=True).alias("transaction_index"),
-        hex_to_uint(c("logIndex"), 32, strict=True).alias("log_index"),
+        fixed_of("transactionHash", 32, strict=True).alias("transaction_hash"),
+        uint_of("transactionIndex", 16, strict=True).alias("transaction_index"),
+        uint_of("logIndex", 32, strict=True).alias("log_index"),
         "tx_from",
         "tx_to",
-        F.coalesce(filled(0), from_hex(ZERO_HASH)).alias("topic0"),
-        filled(1).alias("topic1"),
-        filled(2).alias("topic2"),
-        filled(3).alias("topic3"),
-        _or_empty(hex_to_bytes(c("data"))).alias("data"),
-        F.coalesce(c("removed"), F.lit(False)).alias("removed"),
+        fixed_of("topic0", 32, strict=True).alias("topic0"),  # an anonymous event: zero bytes
+        topic(1),
+        topic(2),
+        topic(3),
+        _or_empty(bytes_of("data")).alias("data"),
+        F.coalesce("removed", F.lit(False)).alias("removed"),
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from blockloom import schemas
 from blockloom.constants import DEPOSIT, MESSAGE_RECEIVED, MESSAGE_SENT, TRANSFER, WITHDRAWAL
@@ -278,60 +279,77 @@ class Star:
         hx = lambda c: F.concat(F.lit("0x"), F.lower(F.hex(c.cast("bigint"))))
         h32 = lambda c: F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(c.cast("bigint"))), 64, "0"))
         a20 = lambda c: F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(c.cast("bigint"))), 40, "0"))
-        cents = _cents("l_extendedprice")
-        seconds = _seconds(_spread("l_shipdate", F.col("l_orderkey") * 7919))
-        ok = F.when(F.col("l_linestatus") == "O", "0x1").otherwise("0x0")
-        tx = lambda i: F.struct(
-            h32(key * 2 + i).alias("hash"),
-            hx(F.lit(i)).alias("transactionIndex"),
-            hx(F.col("l_linenumber") + i).alias("nonce"),
-            a20(part + i).alias("from"),
-            F.when(F.col("l_discount") != 0, a20(supp)).alias("to"),
-            hx(cents * (i + 1)).alias("value"),
-            hx(F.lit(30000)).alias("gas"),
-            hx(cents + 25).alias("gasPrice"),
-            F.lit("0xabc").alias("input"),
-            F.lit("0x2" if i else None).cast("string").alias("type"),
-            F.when(F.col("l_tax") != 0, hx(cents * 2)).alias("maxFeePerGas"),
-            F.when(F.col("l_tax") != 0, hx(F.lit(20 + i))).alias("maxPriorityFeePerGas"),
-            F.when(F.lit(i == 1), F.concat(F.lit('[{"address":"'), a20(supp), F.lit('","storageKeys":["'), h32(part), F.lit('"]}]'))).alias("accessList"),
-        )
-        log = lambda i: F.struct(
-            a20(supp + i).alias("address"),
-            F.array(F.lit("0x" + TRANSFER), h32(part), h32(F.col("l_orderkey"))).alias("topics"),
-            h32(cents).alias("data"),
-            h32(key * 2 + i).alias("transactionHash"),
-            hx(F.lit(i)).alias("transactionIndex"),
-            hx(F.lit(i)).alias("logIndex"),
-            F.lit(False).alias("removed"),
+        # text forms of the row's numbers, computed once
+        rows = _parallel(self.table("lineitem")).select(
+            "*",
+            key.alias("key"),
+            _cents("l_extendedprice").alias("cents"),
+            _seconds(_spread("l_shipdate", F.col("l_orderkey") * 7919)).alias("seconds"),
+            *[a20(part + i).alias(f"part{i}") for i in (0, 1)],
+            *[a20(supp + i).alias(f"supp{i}") for i in (0, 1)],
+            *[h32(key * 2 + i).alias(f"hash{i}") for i in (0, 1)],
+            h32(part).alias("part32"),
+            h32(key).alias("key32"),
+            hx(F.col("l_quantity").cast("bigint") * 100 + 21000).alias("gas"),
+            F.when(F.col("l_linestatus") == "O", "0x1").otherwise("0x0").alias("status"),
+            F.when(F.col("l_discount") != 0, a20(supp)).alias("recipient"),
         )
-        receipt = lambda i: F.struct(
-            hx(F.col("l_quantity").cast("bigint") * 100 + 21000).alias("gasUsed"),
-            F.array(log(i)).alias("logs"),
-            ok.alias("status"),
-            h32(key * 2 + i).alias("transactionHash"),
-        )
-        call = F.format_string(
-            '{"from":"%s","gas":"0x10","gasUsed":"0x8","to":"%s","input":"0x","type":"call","value":"0x1",'
-            '"calls":[{"from":"%s","gas":"0x5","gasUsed":"none","input":"0x01","type":"create","calls":[{"from":"%s","gas":"0x4","gasUsed":"0x2","to":"%s","input":"0x","type":"staticcall"}]},'
-            '{"from":"%s","gas":"0x3","gasUsed":"0x1","to":"%s","input":"0x","type":""}]}',
-            a20(part), a20(supp), a20(supp), a20(supp + 1), a20(part), a20(supp), a20(part),
+        c = F.col
+        taxed = c("l_tax") != 0
+
+        def tx(i: int) -> Column:
+            keys = F.concat(F.lit('[{"address":"'), c("supp0"), F.lit('","storageKeys":["'), c("part32"), F.lit('"]}]'))
+            return _record(
+                schemas.TX,
+                {
+                    "hash": c(f"hash{i}"), "transactionIndex": F.lit(hex(i)), "nonce": hx(c("l_linenumber") + i), "from": c(f"part{i}"), "to": c("recipient"),
+                    "value": hx(c("cents") * (i + 1)), "gas": F.lit(hex(30000)), "gasPrice": hx(c("cents") + 25), "input": F.lit("0xabc"),
+                    "type": F.lit("0x2" if i else None), "maxFeePerGas": F.when(taxed, hx(c("cents") * 2)), "maxPriorityFeePerGas": F.when(taxed, F.lit(hex(20 + i))),
+                    "accessList": keys if i else F.lit(None),
+                },
+            )
+
+        def receipt(i: int) -> Column:
+            log = _record(
+                schemas.LOG,
+                {
+                    "address": c(f"supp{i}"), "topics": F.array(F.lit("0x" + TRANSFER), c("part32"), h32(c("l_orderkey"))), "data": h32(c("cents")),
+                    "transactionHash": c(f"hash{i}"), "transactionIndex": F.lit(hex(i)), "logIndex": F.lit(hex(i)), "removed": F.lit(False),
+                },
+            )
+            return _record(schemas.RECEIPT, {"gasUsed": c("gas"), "logs": F.array(log), "status": c("status"), "transactionHash": c(f"hash{i}")})
+
+        calls = F.concat(
+            F.lit('{"gas":"0x10","gasUsed":"0x8","input":"0x","type":"call","value":"0x1","from":"'), c("part0"), F.lit('","to":"'), c("supp0"),
+            F.lit('","calls":[{"gas":"0x5","gasUsed":"none","input":"0x01","type":"create","from":"'), c("supp0"),
+            F.lit('","calls":[{"gas":"0x4","gasUsed":"0x2","input":"0x","type":"staticcall","from":"'), c("supp1"), F.lit('","to":"'), c("part0"),
+            F.lit('"}]},{"gas":"0x3","gasUsed":"0x1","input":"0x","type":"","from":"'), c("supp0"), F.lit('","to":"'), c("part0"), F.lit('"}]}'),
         )
-        trace = lambda i: F.struct(h32(key * 2 + i).alias("txHash"), call.alias("result") if i == 0 else F.lit(None).cast("string").alias("result"))
-        header = dict(
-            number=hx(key), hash=h32(key), parentHash=h32(F.greatest(key - 1, F.lit(0))), timestamp=hx(seconds), miner=a20(supp),
-            difficulty=F.lit("0x1"), totalDifficulty=hx(key), size=hx(F.lit(1000) + part), gasLimit=hx(F.lit(8000000)),
-            gasUsed=hx(F.col("l_quantity").cast("bigint") * 100 + 21000), baseFeePerGas=hx(F.when(F.col("l_quantity") < 10, 0).otherwise(cents)),
-            stateRoot=h32(part), transactionsRoot=h32(supp), receiptsRoot=h32(part + 1), mixHash=F.lit("0x0"), nonce=F.lit("0x0"),
-            sha3Uncles=F.lit("0x1"), uncles=F.array(h32(part)), minDelayExcess=F.lit("0x7"),
-            timestampMilliseconds=F.when(F.col("l_tax") != 0, hx(seconds * 1000 + F.pmod(part, F.lit(1000)))),
+        traces = [_record(schemas.TRACE, {"txHash": c(f"hash{i}"), "result": F.lit(None) if i else calls}) for i in (0, 1)]
+        block = _record(
+            schemas.BLOCK,
+            {
+                "number": hx(c("key")), "hash": c("key32"), "parentHash": h32(F.greatest(c("key") - 1, F.lit(0))), "timestamp": hx(c("seconds")), "miner": c("supp0"),
+                "difficulty": F.lit("0x1"), "totalDifficulty": hx(c("key")), "size": hx(F.lit(1000) + c("l_partkey")), "gasLimit": F.lit(hex(8000000)), "gasUsed": c("gas"),
+                "baseFeePerGas": F.when(c("l_quantity") < 10, "0x0").otherwise(hx(c("cents"))), "stateRoot": c("part32"), "transactionsRoot": c("supp0"),
+                "receiptsRoot": c("part1"), "mixHash": F.lit("0x0"), "nonce": F.lit("0x0"), "sha3Uncles": F.lit("0x1"), "uncles": F.array(c("part32")),
+                "minDelayExcess": F.lit("0x7"), "timestampMilliseconds": F.when(taxed, hx(c("seconds") * 1000 + F.pmod(c("l_partkey"), F.lit(1000)))),
+                "transactions": F.array(tx(0), tx(1)),
+            },
         )
-        record = F.struct(
-            F.struct(*[v.alias(k) for k, v in header.items()], F.array(tx(0), tx(1)).alias("transactions")).alias("block"),
-            F.array(trace(0), trace(1)).alias("traces"),
-            F.array(receipt(0), receipt(1)).alias("receipts"),
-        )
-        return self.table("lineitem").select(F.from_json(F.to_json(record), schemas.NESTED_BLOCK).alias("r")).select("r.*")
+        return rows.select(block.alias("block"), F.array(*traces).alias("traces"), F.array(receipt(0), receipt(1)).alias("receipts"))
+
+
+def _parallel(df: DataFrame) -> DataFrame:
+    """Spread a table that sits in fewer files than there are cores; larger inputs pass unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def _record(schema: str, fields: dict[str, Column]) -> Column:
+    """A struct of the schema, NULL in the fields not given."""
+    kind = _parse_datatype_string(schema)
+    return F.struct(*[fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.fields])
 
 
 # The same mappings in DuckDB SQL.  Addresses and hashes are the plain numbers they are made from.
