@@ -87,6 +87,7 @@ METRIC_SQL = {
     "icm_sent": ("M14 F4 X6", "message_logs", _grouped("message_logs", "count(*)", "topic0 = 'sent'")),
     "icm_received": ("M15", "message_logs", _grouped("message_logs", "count(*)", "topic0 = 'received'")),
     "icm_total": ("M16", "message_logs", _grouped("message_logs", "count(*)", "topic0 IN ('sent', 'received')")),
+    "usdc_volume": ("M17 X5", "message_logs", _grouped("message_logs", "CAST(sum(amount) // 1000000 AS BIGINT)", "coin")),
     "cumulative_tx_count": ("M18 W1", "raw_txs", _running("raw_txs")),
     "cumulative_contracts": ("M19", "raw_traces", _running("raw_traces", MADE)),
     "cumulative_addresses": ("M20", "raw_traces", _running_new(_SEEN)),

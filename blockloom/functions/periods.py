@@ -76,6 +76,24 @@ def range_preset(name: str) -> tuple[str, str]:
     return RANGE_PRESETS[name]
 
 
+# --- times on the driver: always UTC, whatever the zone of the driver's machine ---
+
+_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def utc_lit(t: datetime) -> Column:
+    """A naive UTC time as a timestamp literal."""
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+
+
+def utc_text(c) -> Column:
+    return F.date_format(_col(c), _TEXT)
+
+
+def utc_time(text: str | None) -> datetime | None:
+    return datetime.strptime(text, "%Y-%m-%d %H:%M:%S.%f") if text else None
+
+
 # --- driver-side period arithmetic for watermarks -------------------------------
 
 

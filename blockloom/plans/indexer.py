@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from blockloom import schemas
 from blockloom.constants import BLOCKS_PER_BATCH, GRANULARITIES
-from blockloom.functions.periods import floor_period, pending_range
+from blockloom.functions.periods import floor_period, pending_range, utc_lit, utc_text, utc_time
 from blockloom.operators.versioned import latest_by_key
 from blockloom.plans.balances import balance_changes
 from blockloom.plans.dashboards import run_sql
@@ -20,6 +21,14 @@ from blockloom.sources.tables import delete_path, path_exists
 SYNC = "sync"
 
 
+@dataclass(frozen=True)
+class Watermark:
+    last_period: datetime | None
+    last_block_num: int | None
+    seq: int
+    generation: int
+
+
 class WatermarkStore:
     """Progress per (chain, indexer, granularity): an append-only table, the newest entry counts.
 
@@ -54,17 +63,22 @@ class WatermarkStore:
     def current(self) -> DataFrame:
         return latest_by_key(self.table(), self.KEY, "seq", ["updated_at"])
 
-    def get(self, chain_id: int, name: str, granularity: str = ""):
-        """The current entry as a Row (last_period, last_block_num), or None."""
+    def get(self, chain_id: int, name: str, granularity: str = "") -> Watermark | None:
+        """The current entry, or None before the first run."""
         mine = self.table().where((F.col("chain_id") == chain_id) & (F.col("indexer_name") == name) & (F.col("granularity") == granularity))
-        return latest_by_key(mine, self.KEY, "seq", ["updated_at"]).first()
+        row = latest_by_key(mine, self.KEY, "seq", ["updated_at"]).withColumn("period_text", utc_text("last_period")).first()
+        return Watermark(utc_time(row.period_text), row.last_block_num, row.seq, row.generation) if row else None
 
     def set(self, chain_id: int, name: str, granularity: str = "", last_period: datetime | None = None, last_block_num: int | None = None) -> None:
         known = self.get(chain_id, name, granularity)
-        seq = (known.seq if known else 0) + 1
+        seq = known.seq + 1 if known else 1
         generation = known.generation if known else self._generation()
-        row = (chain_id, name, granularity, last_period, last_block_num, datetime.now(), seq)
-        entry = self.spark.createDataFrame([row], schemas.WATERMARKS).coalesce(1)
+        period = utc_lit(last_period) if last_period else F.lit(None).cast("timestamp")
+        values = {
+            "chain_id": F.lit(chain_id).cast("bigint"), "indexer_name": F.lit(name), "granularity": F.lit(granularity), "last_period": period,
+            "last_block_num": F.lit(last_block_num).cast("bigint"), "updated_at": F.current_timestamp(), "seq": F.lit(seq).cast("bigint"),
+        }
+        entry = self.spark.range(1, numPartitions=1).select(*[v.alias(k) for k, v in values.items()])
         entry.write.mode("append").parquet(f"{self.path}/generation={generation}")
         if seq % self.TIDY_EVERY == 0:
             self.tidy()
@@ -93,7 +107,7 @@ def next_block_range(last: int | None, latest: int, start: int = 1, n: int = BLO
 
 def run_granular(
     spark: SparkSession, tables: dict[str, DataFrame], root: str, store: WatermarkStore, chain_id: int, latest: datetime,
-    names: list[str] | None = None, approx: bool = False,
+    names: list[str] | None = None, approx: bool = False, grains: tuple[str, ...] = GRANULARITIES,
 ) -> int:
     """Compute every complete period after the watermarks; returns the number of writes.
 
@@ -101,7 +115,7 @@ def run_granular(
     appended with their time of computation, and readers take the newest, so a repeat is harmless.
     """
     writes = 0
-    for granularity in GRANULARITIES:
+    for granularity in grains:
         groups: dict[tuple, list[str]] = {}
         for name in names or SPECS:
             if SPECS[name].source not in tables:
@@ -111,7 +125,7 @@ def run_granular(
             if pending:
                 groups.setdefault((mark.last_period if mark else None, *pending), []).append(name)
         for (last, first, end), group in groups.items():
-            series = metric_batch(tables, group, chain_id, first if last else None, end, approx, (granularity,))
+            series = metric_batch(tables, group, chain_id, utc_lit(first) if last else None, utc_lit(end), approx, (granularity,))
             out = series.withColumn("computed_at", F.current_timestamp())
             out.write.mode("append").partitionBy("chain_id", "granularity").parquet(f"{root}/metrics")
             last_period = _last_start(end, granularity)
@@ -149,6 +163,5 @@ def load_specs(folder: str) -> dict[str, str]:
 
 def run_spec(spark: SparkSession, text: str, chain_id: int, granularity: str, first: datetime, last: datetime) -> DataFrame:
     """One template for a time range: {chain_id} and {granularity} are replaced, the rest is bound."""
-    return run_sql(
-        spark, text, {"chain_id": chain_id, "first_period": first, "last_period": last}, {"chain_id": chain_id, "granularity": granularity}
-    )
+    bound = {"chain_id": F.lit(chain_id), "first_period": utc_lit(first), "last_period": utc_lit(last)}
+    return run_sql(spark, text, bound, {"chain_id": chain_id, "granularity": granularity})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,19 +43,28 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "blo
     return prepare(spark)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the folder the cluster names in spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in spark.checkpoint.dir, for data that outlives executors.
 
-    The folder must be shared storage on a cluster; only a local session without the
-    setting gets a folder of its own.
+    Only a local session without the setting gets a temporary folder of its own.
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder")
+    return tempfile.mkdtemp(prefix="blockloom-")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new, unused folder path below the shared folder."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` to shared storage, so that lost executors never cost more than the work since."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            configured = tempfile.mkdtemp(prefix="blockloom-checkpoint-")
-        sc.setCheckpointDir(configured)
+        sc.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
 from blockloom import schemas
-from blockloom.constants import DEPOSIT, MESSAGE_RECEIVED, MESSAGE_SENT, TRANSFER, WITHDRAWAL
+from blockloom.constants import DEPOSIT, MESSAGE_RECEIVED, MESSAGE_SENT, TRANSFER, USDC_ADDRESS, WITHDRAWAL
 from blockloom.functions.hexes import address_of, from_hex, hash_of
 from blockloom.functions.u256 import u256_from_words
 
@@ -115,18 +115,19 @@ class Star:
         )
 
     def message_logs(self) -> DataFrame:
-        """events: clicks send, views receive, the rest is other traffic."""
+        """events: clicks send, views receive, the rest transfers; purchases transfer the stable coin."""
         kind = F.col("event_type")
         return self.table("events").select(
             _event_chain().alias("chain_id"),
             F.col("event_id").alias("block_number"),
             F.col("ts").cast("timestamp").alias("block_time"),
-            address_of("user_id").alias("address"),
+            F.when(kind == "purchase", from_hex(USDC_ADDRESS)).otherwise(address_of("user_id")).alias("address"),
             hash_of("event_id").alias("transaction_hash"),
             F.pmod("event_id", F.lit(4)).alias("log_index"),
             F.when(kind == "click", from_hex(MESSAGE_SENT)).when(kind == "view", from_hex(MESSAGE_RECEIVED))
             .otherwise(from_hex(TRANSFER)).alias("topic0"),
             address_of("user_id").alias("tx_from"),
+            hash_of(_cents("value") * 10000).alias("data"),
         )
 
     def token_logs(self) -> DataFrame:
@@ -339,6 +340,44 @@ class Star:
         )
         return rows.select(block.alias("block"), F.array(*traces).alias("traces"), F.array(receipt(0), receipt(1)).alias("receipts"))
 
+    def nested_events(self) -> DataFrame:
+        """events: every row is a block with one transaction, one log and a call tree of two calls."""
+        kind = F.col("event_type")
+        h32 = lambda c: F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(c.cast("bigint"))), 64, "0"))
+        a20 = lambda c: F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(c.cast("bigint"))), 40, "0"))
+        hx = lambda c: F.concat(F.lit("0x"), F.lower(F.hex(c.cast("bigint"))))
+        number, user, ts = F.col("event_id"), F.col("user_id"), F.col("ts").cast("timestamp")
+        status = F.when(F.col("value") >= 5, "0x1").otherwise("0x0")
+        topic = F.when(kind == "click", "0x" + MESSAGE_SENT).when(kind == "view", "0x" + MESSAGE_RECEIVED).otherwise("0x" + TRANSFER)
+        call = F.concat(F.lit('{"type":"CALL","from":"'), a20(user), F.lit('","to":"0x1","calls":[{"type":"'), F.when(kind == "signup", "create2").otherwise("call"), F.lit('","from":"'), a20(user + 1), F.lit('","to":"0x2"}]}'))
+        tx = _record(
+            schemas.TX,
+            {"hash": h32(number), "transactionIndex": F.lit("0x0"), "nonce": F.lit("0x0"), "from": a20(user), "to": F.lit("0x5"), "value": F.lit("0x1"), "gas": F.lit("0x9"), "gasPrice": hx(_cents("value")), "input": F.lit("0x")},
+        )
+        log = _record(
+            schemas.LOG,
+            {"address": a20(user), "topics": F.array(topic), "data": F.lit("0x01"), "transactionHash": h32(number), "transactionIndex": F.lit("0x0"), "logIndex": F.lit("0x0")},
+        )
+        receipt = _record(schemas.RECEIPT, {"gasUsed": F.lit("0x64"), "logs": F.array(log), "status": status, "transactionHash": h32(number)})
+        zero = F.lit("0x0")
+        block = _record(
+            schemas.BLOCK,
+            {
+                "number": hx(number), "hash": h32(number), "parentHash": zero, "timestamp": hx(F.unix_timestamp(ts)), "timestampMilliseconds": hx(F.unix_millis(ts)), "miner": zero, "size": zero, "gasLimit": zero,
+                "gasUsed": F.lit("0x64"), "stateRoot": zero, "transactionsRoot": zero, "receiptsRoot": zero, "mixHash": zero, "nonce": zero, "sha3Uncles": zero, "transactions": F.array(tx),
+            },
+        )
+        trace = _record(schemas.TRACE, {"txHash": h32(number), "result": call})
+        return self.table("events").select(block.alias("block"), F.array(trace).alias("traces"), F.array(receipt).alias("receipts"))
+
+
+class StreamStar(Star):
+    """The same tables as unbounded streams over their files."""
+
+    def table(self, name: str) -> DataFrame:
+        schema = self.spark.read.parquet(f"{self.folder}/{name}.parquet").schema
+        return self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(self.folder)
+
 
 def _parallel(df: DataFrame) -> DataFrame:
     """Spread a table that sits in fewer files than there are cores; larger inputs pass unchanged."""
@@ -375,7 +414,8 @@ SQL = {
   FROM events""",
     "message_logs": """
   SELECT user_id % 3 + 1 AS chain_id, event_id AS block_number, ts AS block_time, user_id AS address, event_id AS transaction_hash,
-         event_id % 4 AS log_index, CASE event_type WHEN 'click' THEN 'sent' WHEN 'view' THEN 'received' ELSE 'other' END AS topic0
+         event_id % 4 AS log_index, CASE event_type WHEN 'click' THEN 'sent' WHEN 'view' THEN 'received' ELSE 'other' END AS topic0,
+         event_type = 'purchase' AS coin, CAST(round(value * 100) AS BIGINT) * 10000 AS amount
   FROM events""",
     "token_logs": """
   SELECT CAST(l_linenumber AS BIGINT) AS chain_id, l_orderkey AS block_number,

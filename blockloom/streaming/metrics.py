@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockloom.constants import GRANULARITIES
-from blockloom.functions.periods import following_period, floor_period, period_seconds
+from blockloom.functions.periods import floor_period, following_period, period_seconds, utc_lit, utc_text, utc_time
 from blockloom.functions.text import trunc_div
 from blockloom.plans.indexer import WatermarkStore, run_granular
 from blockloom.plans.metrics import SPECS, VALUE, MetricSpec, addresses, measure_sum, metric_batch
@@ -76,10 +76,10 @@ def update_metrics(spark: SparkSession, root: str, chain_id: int, names: list[st
     tables = raw_views(spark, root)
     if "raw_blocks" not in tables:
         return 0
-    latest = tables["raw_blocks"].where(F.col("chain_id") == chain_id).agg(F.max("block_time").alias("t")).first().t
+    latest = tables["raw_blocks"].where(F.col("chain_id") == chain_id).agg(utc_text(F.max("block_time")).alias("t")).first().t
     if latest is None:
         return 0
-    return run_granular(spark, tables, root, WatermarkStore(spark, f"{root}/indexer_watermarks"), chain_id, latest, names)
+    return run_granular(spark, tables, root, WatermarkStore(spark, f"{root}/indexer_watermarks"), chain_id, utc_time(latest), names)
 
 
 def recompute_late(spark: SparkSession, root: str, chain_id: int, low: datetime, high: datetime, names: list[str] | None = None) -> None:
@@ -87,7 +87,7 @@ def recompute_late(spark: SparkSession, root: str, chain_id: int, low: datetime,
     tables = raw_views(spark, root)
     for granularity in GRANULARITIES:
         first, end = floor_period(low, granularity), following_period(high, granularity)
-        series = metric_batch(tables, names, chain_id, first, end, grains=(granularity,))
+        series = metric_batch(tables, names, chain_id, utc_lit(first), utc_lit(end), grains=(granularity,))
         out = series.withColumn("computed_at", F.current_timestamp())
         out.write.mode("append").partitionBy("chain_id", "granularity").parquet(f"{root}/metrics")
 
