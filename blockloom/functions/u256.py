@@ -9,7 +9,7 @@ Carrying happens once per group, after the aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LIMB_BITS = 24
@@ -39,54 +39,82 @@ def u256_from_words(high, low) -> Column:
 
 
 def u256_limbs(c) -> list[Column]:
-    """Eleven bigint limbs, most significant first."""
+    """Eleven bigint limbs, most significant first: six parsed words, the lower five split in two."""
     h = F.hex(_col(c))
     number = lambda start, size: F.conv(F.substring(h, start, size), 16, 10).cast("bigint")
-    return [number(1, 4)] + [number(5 + 6 * i, 6) for i in range(LIMBS - 1)]
+    mask = F.lit(_MASK).cast("bigint")
+    limbs = [number(1, 4)]
+    for i in range(5):
+        word = number(5 + 12 * i, 12)
+        limbs += [F.shiftright(word, LIMB_BITS), word.bitwiseAND(mask)]
+    return limbs
 
 
-def _carried(limbs: Column) -> Column:
-    """Limb array (any signed sums) to struct(limbs in range, carry out of the top)."""
-    start = F.struct(F.expr("cast(array() as array<bigint>)").alias("out"), F.lit(0).cast("bigint").alias("carry"))
+def u256_from_sums(sums: list[Column]) -> Column:
+    """Carry signed limb sums into the canonical form (modulo 2^256): a fold that writes hex digits."""
+    mask = F.lit(_MASK).cast("bigint")
+    start = F.struct(F.lit("").alias("digits"), F.lit(0).cast("bigint").alias("carry"))
 
     def step(state, limb):
         total = state["carry"] + limb
         return F.struct(
-            F.concat(F.array(total.bitwiseAND(F.lit(_MASK).cast("bigint"))), state["out"]).alias("out"),
+            F.concat(F.lpad(F.hex(total.bitwiseAND(mask)), 6, "0"), state["digits"]).alias("digits"),
             F.shiftright(total, LIMB_BITS).alias("carry"),
         )
 
-    return F.aggregate(F.reverse(limbs), start, step)
-
-
-def _to_bytes(limbs: Column) -> Column:
-    text = F.array_join(F.transform(limbs, lambda x: F.lpad(F.hex(x), 6, "0")), "")
-    return F.unhex(F.substring(text, 3, 64))
-
-
-def u256_from_sums(sums: list[Column]) -> Column:
-    """Carry limb sums into the canonical form (modulo 2^256)."""
-    return _to_bytes(_carried(F.array(*sums))["out"])
+    return F.unhex(F.substring(F.aggregate(F.array(*sums[::-1]), start, step)["digits"], 3, 64))
+
+
+def _from_columns(sums: list[Column]) -> Column:
+    """The same unrolled into plain arithmetic: several times faster, but only where the sums are
+    columns already; inside an aggregation the generated method would be too large to compile."""
+    mask = F.lit(_MASK).cast("bigint")
+    low, carry = [], None
+    for limb in reversed(sums):
+        total = limb if carry is None else limb + carry
+        low.append(total.bitwiseAND(mask))
+        carry = F.shiftright(total, LIMB_BITS)
+    up, down = F.shiftleft, F.shiftright
+    words = [
+        low[8].bitwiseOR(up(low[9], 24)).bitwiseOR(up(low[10], 48)),
+        down(low[5], 8).bitwiseOR(up(low[6], 16)).bitwiseOR(up(low[7], 40)),
+        down(low[2], 16).bitwiseOR(up(low[3], 8)).bitwiseOR(up(low[4], 32)).bitwiseOR(up(low[5], 56)),
+        low[0].bitwiseOR(up(low[1], 24)).bitwiseOR(up(low[2], 48)),
+    ]
+    return F.unhex(F.concat(*[F.lpad(F.hex(w), 16, "0") for w in words]))
+
+
+def u256_sums_by(df: DataFrame, keys: list, sums: dict[str, tuple[str, Column | None]], others: list[Column] = ()) -> DataFrame:
+    """Group by ``keys`` with many exact sums: ``sums`` maps a result name to (column, condition or None).
+
+    For results with very many groups.  The aggregation yields plain limb sums, and a projection
+    behind it carries them.
+    """
+    limb_sums = [F.coalesce(F.sum(limb), F.lit(0).cast("bigint")).alias(f"_{name}_{i}") for name, (c, where) in sums.items() for i, limb in enumerate(_counted(c, where))]
+    grouped = df.groupBy(*keys).agg(*limb_sums, *others)
+    plain = [c for c in grouped.columns if not any(c.startswith(f"_{name}_") for name in sums)]
+    return grouped.select(*plain, *[_from_columns([F.col(f"_{name}_{i}") for i in range(LIMBS)]).alias(name) for name in sums])
+
+
+def _counted(c, where: Column | None) -> list[Column]:
+    limbs = u256_limbs(c)
+    if where is None:
+        return limbs
+    # a factor instead of a condition, so that sums with different filters share the parsed limbs
+    counted = F.coalesce(where, F.lit(False)).cast("int").cast("bigint")
+    return [limb * counted for limb in limbs]
 
 
 def u256_sum(c, where: Column | None = None) -> Column:
     """Aggregate: exact sum of canonical values, optionally only of rows where ``where`` holds; no rows give 0."""
-    limbs = u256_limbs(c)
-    if where is not None:
-        limbs = [F.when(where, limb) for limb in limbs]
-    return u256_from_sums([F.coalesce(F.sum(limb), F.lit(0).cast("bigint")) for limb in limbs])
+    return u256_from_sums([F.coalesce(F.sum(limb), F.lit(0).cast("bigint")) for limb in _counted(c, where)])
 
 
 def u256_diff(a, b) -> Column:
     """a - b as struct(negative, magnitude)."""
-    pairs = [x - y for x, y in zip(u256_limbs(a), u256_limbs(b))]
-    forward = _carried(F.array(*pairs))
-    backward = _carried(F.array(*[-p for p in pairs]))
-    negative = _col(a) < _col(b)
-    return F.struct(
-        negative.alias("negative"),
-        F.when(negative, _to_bytes(backward["out"])).otherwise(_to_bytes(forward["out"])).alias("magnitude"),
-    )
+    a, b = _col(a), _col(b)
+    pairs = [x - y for x, y in zip(u256_limbs(F.greatest(a, b)), u256_limbs(F.least(a, b)))]
+    return F.struct((a < b).alias("negative"), _from_columns(pairs).alias("magnitude"))
 
 
 def u256_sub(a, b) -> Column:
@@ -122,16 +150,14 @@ def u256_div(c, divisor: int) -> Column:
 def _div_once(c: Column, divisor: int) -> Column:
     d = F.lit(divisor).cast("bigint")
     base = F.lit(1 << LIMB_BITS).cast("bigint")
-    start = F.struct(F.expr("cast(array() as array<bigint>)").alias("out"), F.lit(0).cast("bigint").alias("rest"))
+    start = F.struct(F.lit("").alias("digits"), F.lit(0).cast("bigint").alias("rest"))
 
     def step(state, limb):
         total = state["rest"] * base + limb
-        rest = total % d
-        return F.struct(
-            F.concat(state["out"], F.array(F.call_function("div", total, d))).alias("out"), rest.alias("rest")
-        )
+        digits = F.lpad(F.hex(F.call_function("div", total, d)), 6, "0")
+        return F.struct(F.concat(state["digits"], digits).alias("digits"), (total % d).alias("rest"))
 
-    return _to_bytes(F.aggregate(F.array(*u256_limbs(c)), start, step)["out"])
+    return F.unhex(F.substring(F.aggregate(F.array(*u256_limbs(c)), start, step)["digits"], 3, 64))
 
 
 def u256_to_decimal(c) -> Column:

@@ -105,16 +105,16 @@ def tx_rows(df: DataFrame, chain_id, strict: bool = True) -> DataFrame:
     A block whose receipt count differs from its transaction count is an error if ``strict``,
     otherwise it is left out (``receipt_mismatch`` lists those).
     """
-    txs, receipts = F.coalesce(F.size("block.transactions"), F.lit(0)), F.coalesce(F.size("receipts"), F.lit(0))
-    ok = F.greatest(txs, F.lit(0)) == F.greatest(receipts, F.lit(0))
+    # the check is part of the exploded value, not a filter: a filter on array sizes would be pushed
+    # down and make the scan side build the arrays twice
+    ok = F.coalesce(F.size("tx"), F.lit(0)) == F.coalesce(F.size("receipt"), F.lit(0))
+    zipped = F.when(ok, F.arrays_zip("tx", "receipt", "trace"))
     if strict:
         message = F.concat(F.lit("receipt count differs in block "), F.col("block.number"))
-        ok = F.when(ok, True).otherwise(F.raise_error(message).cast("boolean"))
-    zipped = F.arrays_zip("tx", "receipt", "trace")
+        zipped = F.when(ok, F.arrays_zip("tx", "receipt", "trace")).otherwise(F.raise_error(message).cast("void"))
     arrays = [F.col("block.transactions").alias("tx"), F.col("receipts").alias("receipt"), F.col("traces").alias("trace")]
     return (
-        df.where(ok)
-        .select(_chain(chain_id).alias("chain_id"), _header(), *arrays)
+        df.select(_chain(chain_id).alias("chain_id"), _header(), *arrays)
         .select("chain_id", "block", F.posexplode(zipped).alias("pos", "item"))
         .select("chain_id", "block", "pos", "item.tx", "item.receipt", "item.trace")
         .where(F.col("tx").isNotNull())

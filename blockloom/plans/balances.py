@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from blockloom.constants import BLOCKS_PER_BATCH, DEPOSIT, TRANSFER, WITHDRAWAL
 from blockloom.functions.hexes import byte_length, non_zero, to_hex, topic_address
-from blockloom.functions.u256 import u256_diff, u256_lit, u256_sum, u256_to_text
+from blockloom.functions.u256 import u256_diff, u256_lit, u256_sum, u256_sums_by, u256_to_text
 from blockloom.operators.filters import bytes_in, in_block_range
 from blockloom.operators.joins import compare
 from blockloom.operators.sets import union_endpoints
@@ -40,25 +40,20 @@ def token_entries(logs: DataFrame) -> DataFrame:
     )
 
 
-def _changed() -> Column:
-    zero = u256_lit(0)
-    return (F.col("deposits") != zero) | (F.col("withdrawals") != zero)
+def _changing(logs: DataFrame) -> DataFrame:
+    """Entries that move something: a pair has a change exactly if it has one of these."""
+    return token_entries(logs).where(F.col("amount") != u256_lit(0))
 
 
-def _deposits_withdrawals() -> list[Column]:
-    return [
-        u256_sum("amount", F.col("incoming")).alias("deposits"),
-        u256_sum("amount", ~F.col("incoming")).alias("withdrawals"),
-    ]
+def _in_out() -> dict:
+    return {"deposits": ("amount", F.col("incoming")), "withdrawals": ("amount", ~F.col("incoming"))}
 
 
 def balance_changes(logs: DataFrame, from_block: int, to_block: int) -> DataFrame:
     """Deposits and withdrawals per wallet and token in one inclusive block range; pairs without change are left out."""
-    entries = token_entries(in_block_range(logs, from_block, to_block))
+    entries = _changing(in_block_range(logs, from_block, to_block))
     return (
-        entries.groupBy(*PAIR)
-        .agg(*_deposits_withdrawals())
-        .where(_changed())
+        u256_sums_by(entries, PAIR, _in_out())
         .select(*PAIR, F.lit(from_block).cast("bigint").alias("from_block"), F.lit(to_block).cast("bigint").alias("to_block"), "deposits", "withdrawals")
     )
 
@@ -67,10 +62,7 @@ def balance_changes_by_range(logs: DataFrame, start: int = 0, size: int = BLOCKS
     """The same for every range of ``size`` blocks at once: the backfill of a whole history in one job."""
     low = (F.floor((F.col("block_number") - start) / size) * size + start).cast("bigint")
     return (
-        token_entries(logs)
-        .groupBy(*PAIR, low.alias("from_block"))
-        .agg(*_deposits_withdrawals())
-        .where(_changed())
+        u256_sums_by(_changing(logs), [*PAIR, low.alias("from_block")], _in_out())
         .select(*PAIR, "from_block", (F.col("from_block") + size - 1).alias("to_block"), "deposits", "withdrawals")
     )
 
@@ -80,17 +72,12 @@ def current_changes(changes: DataFrame) -> DataFrame:
     return latest_by_key(changes, RANGE_KEY, "computed_at") if "computed_at" in changes.columns else changes
 
 
+_TOTALS = {"total_in": ("deposits", None), "total_out": ("withdrawals", None)}
+
+
 def balances(changes: DataFrame) -> DataFrame:
     """Balance view: total_in, total_out, signed balance, last block."""
-    return _balance(
-        current_changes(changes)
-        .groupBy(*PAIR)
-        .agg(
-            u256_sum("deposits").alias("total_in"),
-            u256_sum("withdrawals").alias("total_out"),
-            F.max("to_block").alias("last_updated_block"),
-        )
-    )
+    return _balance(u256_sums_by(current_changes(changes), PAIR, _TOTALS, [F.max("to_block").alias("last_updated_block")]))
 
 
 def _balance(sums: DataFrame) -> DataFrame:
@@ -99,23 +86,12 @@ def _balance(sums: DataFrame) -> DataFrame:
 
 def accumulated(logs: DataFrame, to_block: int) -> DataFrame:
     """Rows of the accumulating variant: one batch's sums per pair, added to earlier batches at read time."""
-    return (
-        token_entries(in_block_range(logs, None, to_block))
-        .groupBy(*PAIR)
-        .agg(*_deposits_withdrawals())
-        .where(_changed())
-        .withColumn("last_block", F.lit(to_block).cast("bigint"))
-    )
+    sums = u256_sums_by(_changing(in_block_range(logs, None, to_block)), PAIR, _in_out())
+    return sums.withColumn("last_block", F.lit(to_block).cast("bigint"))
 
 
 def accumulated_balances(rows: DataFrame) -> DataFrame:
-    return _balance(
-        rows.groupBy(*PAIR).agg(
-            u256_sum("deposits").alias("total_in"),
-            u256_sum("withdrawals").alias("total_out"),
-            F.max("last_block").alias("last_updated_block"),
-        )
-    )
+    return _balance(u256_sums_by(rows, PAIR, _TOTALS, [F.max("last_block").alias("last_updated_block")]))
 
 
 def positive() -> Column:
@@ -183,9 +159,7 @@ def negative_holders(bal: DataFrame, k: int = 20) -> DataFrame:
 
 def verify_balances(changes: DataFrame, view: DataFrame) -> DataFrame:
     """Recomputed totals next to those of the balance view, per pair, with a match flag."""
-    manual = (
-        current_changes(changes).groupBy(*PAIR).agg(u256_sum("deposits").alias("total_in"), u256_sum("withdrawals").alias("total_out"))
-    )
+    manual = u256_sums_by(current_changes(changes), PAIR, _TOTALS)
     return compare(manual, view.select(*PAIR, "total_in", "total_out"), PAIR, ["total_in", "total_out"])
 
 

@@ -67,12 +67,22 @@ class Star:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """The table over all cores, for mappings that compute much per row.
+
+        Only a table in fewer files than there are cores is redistributed; a large input has
+        more splits than cores and passes unchanged.
+        """
+        df = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     # --- EVM tables ---------------------------------------------------------------
 
     def raw_txs(self) -> DataFrame:
         """lineitem: chain = line number, block = order, sender = part, recipient = supplier (none without discount)."""
         cents = _cents("l_extendedprice")
-        return self.table("lineitem").select(
+        return self.spread("lineitem").select(
             F.col("l_linenumber").cast("bigint").alias("chain_id"),
             hash_of(F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("hash"),
             F.col("l_orderkey").alias("block_number"),
@@ -134,7 +144,7 @@ class Star:
         """lineitem: token = supplier, sender wallet = part, recipient wallet = order; untaxed rows carry 33 bytes."""
         flag = F.col("l_returnflag")
         word = u256_from_words(_cents("l_extendedprice"), F.col("l_partkey"))
-        return self.table("lineitem").select(
+        return self.spread("lineitem").select(
             F.col("l_linenumber").cast("bigint").alias("chain_id"),
             F.col("l_orderkey").alias("block_number"),
             _spread("l_shipdate", F.col("l_orderkey") * 7919 + F.col("l_partkey") * 31).alias("block_time"),
@@ -184,7 +194,7 @@ class Star:
             F.when(kind == 9, F.lit("C")).alias("destinationChain"),
         )
         types = F.array(*[F.lit(t) for t in PLATFORM_TYPES])
-        return self.table("orders").select(
+        return self.spread("orders").select(
             key.alias("height"),
             _order_time().alias("block_time"),
             F.concat(F.lit("tx"), key.cast("string")).alias("txID"),
@@ -281,7 +291,7 @@ class Star:
         h32 = lambda c: F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(c.cast("bigint"))), 64, "0"))
         a20 = lambda c: F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(c.cast("bigint"))), 40, "0"))
         # text forms of the row's numbers, computed once
-        rows = _parallel(self.table("lineitem")).select(
+        rows = self.spread("lineitem").select(
             "*",
             key.alias("key"),
             _cents("l_extendedprice").alias("cents"),
@@ -374,17 +384,14 @@ class Star:
 class StreamStar(Star):
     """The same tables as unbounded streams over their files."""
 
+    def spread(self, name: str) -> DataFrame:
+        return self.table(name)
+
     def table(self, name: str) -> DataFrame:
         schema = self.spark.read.parquet(f"{self.folder}/{name}.parquet").schema
         return self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(self.folder)
 
 
-def _parallel(df: DataFrame) -> DataFrame:
-    """Spread a table that sits in fewer files than there are cores; larger inputs pass unchanged."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _record(schema: str, fields: dict[str, Column]) -> Column:
     """A struct of the schema, NULL in the fields not given."""
     kind = _parse_datatype_string(schema)
