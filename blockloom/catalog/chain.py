@@ -139,11 +139,12 @@ SELECT l_orderkey, l_linenumber, CAST(a - b AS VARCHAR) AS diff, CAST(a // 10000
 def wide_arithmetic(star: Star):
     a = U.u256_from_words(F.round(F.col("l_extendedprice") * 100).cast("bigint"), F.col("l_partkey"))
     b = U.u256_from_words(F.col("l_suppkey") * 10000, F.when(F.col("l_suppkey") >= 0, 5))
-    rows = star.table("lineitem").select("l_orderkey", "l_linenumber", a.alias("a"), b.alias("b"))
+    rows = star.spread("lineitem").select("l_orderkey", "l_linenumber", a.alias("a"), b.alias("b"))
+    values = rows.withColumns({"d": U.u256_diff("a", "b"), "m": U.u256_div("a", 10**6), "c": U.u256_div("a", 10**18)})
     return plain(
-        rows.select(
-            "l_orderkey", "l_linenumber", U.signed_text(U.u256_diff("a", "b")).alias("diff"), U.u256_to_text(U.u256_div("a", 10**6)).alias("millionth"),
-            U.u256_to_text(U.u256_div("a", 10**18)).alias("coins"), U.u256_cmp("a", "b").alias("cmp"), U.u256_to_hex("a").alias("hex"),
+        values.select(
+            "l_orderkey", "l_linenumber", U.signed_text("d").alias("diff"), U.u256_to_text("m").alias("millionth"), U.u256_to_text("c").alias("coins"),
+            U.u256_cmp("a", "b").alias("cmp"), U.u256_to_hex("a").alias("hex"),
         )
     )
 

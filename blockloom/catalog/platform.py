@@ -8,6 +8,7 @@ from blockloom.catalog import plain, query
 from blockloom.operators import normalize as N
 from blockloom.plans import dashboards as Q
 from blockloom.plans import platform as L
+from blockloom.session import cut_lineage
 from blockloom.sources.platform import platform_txs, registry, validator_state
 from blockloom.sources.star_schema import Star, with_tables
 
@@ -77,20 +78,32 @@ def parts(*names: str) -> str:
     return with_tables("platform_txs") + "".join(f",\n{n} AS ({_PARTS[n]})" for n in order) + "\n"
 
 
+def _once(star: Star, name: str, make):
+    """Tables that several steps read are materialised once per run, as a sync cycle writes them."""
+    kept = star.__dict__.setdefault("_tables", {})
+    if name not in kept:
+        kept[name] = cut_lineage(make())
+    return kept[name]
+
+
 def _state(star: Star):
     return validator_state(star.snapshot(), 0, F.lit(AS_OF).cast("timestamp"))
 
 
+def _txs(star: Star):
+    return _once(star, "txs", lambda: star.platform_txs().where(F.col("tx_type").isin(*L.USED_TYPES)))
+
+
 def _history(star: Star):
-    return L.validator_history(star.platform_txs(), star.registrations(), AS_OF)
+    return _once(star, "history", lambda: L.validator_history(_txs(star), star.registrations(), AS_OF))
 
 
 def _ledger(star: Star):
-    return L.balance_ledger(star.platform_txs(), _state(star), _history(star))
+    return _once(star, "ledger", lambda: L.balance_ledger(_txs(star), _state(star), _history(star)))
 
 
 def _refunds(star: Star):
-    return L.refunds(star.platform_txs(), _ledger(star), _history(star), _state(star))
+    return _once(star, "refunds", lambda: L.refunds(_txs(star), _ledger(star), _history(star), _state(star)))
 
 
 def _subnets(star: Star):
@@ -98,7 +111,7 @@ def _subnets(star: Star):
 
 
 def _fees(star: Star):
-    return L.subnet_fee_stats(_ledger(star), _refunds(star), _state(star), _subnets(star), AS_OF)
+    return _once(star, "fees", lambda: L.subnet_fee_stats(_ledger(star), _refunds(star), _state(star), _subnets(star), AS_OF))
 
 
 def _registry(star: Star):

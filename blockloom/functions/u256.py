@@ -141,23 +141,23 @@ def u256_div(c, divisor: int) -> Column:
         steps.append(factor)
         divisor //= factor
     steps.append(divisor)
-    value = _col(c)
+    limbs = F.array(*u256_limbs(c))
     for step in steps:
-        value = _div_once(value, step)
-    return value
+        limbs = _divided(limbs, step)
+    return F.unhex(F.substring(F.array_join(F.transform(limbs, lambda x: F.lpad(F.hex(x), 6, "0")), ""), 3, 64))
 
 
-def _div_once(c: Column, divisor: int) -> Column:
+def _divided(limbs: Column, divisor: int) -> Column:
+    """Long division of a limb array; the remainder goes down with the fold."""
     d = F.lit(divisor).cast("bigint")
     base = F.lit(1 << LIMB_BITS).cast("bigint")
-    start = F.struct(F.lit("").alias("digits"), F.lit(0).cast("bigint").alias("rest"))
+    start = F.struct(F.expr("cast(array() as array<bigint>)").alias("out"), F.lit(0).cast("bigint").alias("rest"))
 
     def step(state, limb):
         total = state["rest"] * base + limb
-        digits = F.lpad(F.hex(F.call_function("div", total, d)), 6, "0")
-        return F.struct(F.concat(state["digits"], digits).alias("digits"), (total % d).alias("rest"))
+        return F.struct(F.concat(state["out"], F.array(F.call_function("div", total, d))).alias("out"), (total % d).alias("rest"))
 
-    return F.unhex(F.substring(F.aggregate(F.array(*u256_limbs(c)), start, step)["digits"], 3, 64))
+    return F.aggregate(limbs, start, step)["out"]
 
 
 def u256_to_decimal(c) -> Column:
@@ -170,7 +170,10 @@ def u256_to_decimal(c) -> Column:
 
 
 def u256_to_text(c) -> Column:
-    """Exact decimal text of any 256-bit value."""
+    """Exact decimal text of any 256-bit value.
+
+    The argument is used several times: give a computed value a column of its own first.
+    """
     return F.coalesce(u256_to_decimal(c).cast("string"), _long_text(c))
 
 

@@ -60,7 +60,8 @@ def balance_changes(logs: DataFrame, from_block: int, to_block: int) -> DataFram
 
 def balance_changes_by_range(logs: DataFrame, start: int = 0, size: int = BLOCKS_PER_BATCH) -> DataFrame:
     """The same for every range of ``size`` blocks at once: the backfill of a whole history in one job."""
-    low = (F.floor((F.col("block_number") - start) / size) * size + start).cast("bigint")
+    offset = F.col("block_number").cast("bigint") - start
+    low = offset - F.pmod(offset, F.lit(size).cast("bigint")) + start
     return (
         u256_sums_by(_changing(logs), [*PAIR, low.alias("from_block")], _in_out())
         .select(*PAIR, "from_block", (F.col("from_block") + size - 1).alias("to_block"), "deposits", "withdrawals")
@@ -95,7 +96,8 @@ def accumulated_balances(rows: DataFrame) -> DataFrame:
 
 
 def positive() -> Column:
-    return ~F.col("balance.negative") & (F.col("balance.magnitude") != u256_lit(0))
+    """Balance above zero, judged by the totals: a filter on the difference would compute it twice."""
+    return F.col("total_in") > F.col("total_out")
 
 
 def popular_tokens(bal: DataFrame, min_holders: int = 20, k: int = 1) -> DataFrame:
@@ -153,7 +155,7 @@ def wallet_history(changes: DataFrame, wallet=None, token=None) -> DataFrame:
 
 def negative_holders(bal: DataFrame, k: int = 20) -> DataFrame:
     """Tokens ranked by wallets with a negative balance."""
-    counted = bal.where("balance.negative").groupBy("chain_id", "token").agg(F.count("*").alias("negative_holders"))
+    counted = bal.where(F.col("total_in") < F.col("total_out")).groupBy("chain_id", "token").agg(F.count("*").alias("negative_holders"))
     return top_k(counted, "negative_holders", k, ["chain_id", "token"])
 
 

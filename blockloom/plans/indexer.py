@@ -163,5 +163,6 @@ def load_specs(folder: str) -> dict[str, str]:
 
 def run_spec(spark: SparkSession, text: str, chain_id: int, granularity: str, first: datetime, last: datetime) -> DataFrame:
     """One template for a time range: {chain_id} and {granularity} are replaced, the rest is bound."""
-    bound = {"chain_id": F.lit(chain_id), "first_period": utc_lit(first), "last_period": utc_lit(last)}
+    text_of = lambda t: t.strftime("%Y-%m-%d %H:%M:%S.%f")  # noqa: E731  (a zone-free parameter, compared as UTC)
+    bound = {"chain_id": chain_id, "first_period": text_of(first), "last_period": text_of(last)}
     return run_sql(spark, text, bound, {"chain_id": chain_id, "granularity": granularity})

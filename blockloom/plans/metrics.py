@@ -165,7 +165,7 @@ def token_volume(logs: DataFrame, token: str | None, decimals: int, granularity:
     else:
         df = df.where(bytes_in("address", [token]))
     out = df.groupBy(*keys).agg(u256_sum("data").alias("total"))
-    return out.withColumn("value", u256_to_decimal(u256_div("total", 10**decimals))).drop("total")
+    return out.withColumn("coins", u256_div("total", 10**decimals)).withColumn("value", u256_to_decimal("coins")).drop("total", "coins")
 
 
 def cumulative_count(df: DataFrame, ts: str, granularity: str, first=None, last=None, keys=("chain_id",)) -> DataFrame:
@@ -339,8 +339,8 @@ def token_volume_batch(df: DataFrame, spec: MetricSpec, grains: tuple[str, ...])
     rows = df.where(bytes_in("topic0", [TRANSFER]) & bytes_in("address", [spec.token]) & (byte_length("data") == 32))
     hourly = rows.groupBy("chain_id", F.date_trunc("hour", "block_time").alias("hour")).agg(u256_sum("data").alias("total"))
     rolled = _rolled(hourly, grains, [], [u256_sum("total").alias("total")])
-    value = u256_to_decimal(u256_div("total", 10**spec.decimals))
-    return rolled.select("chain_id", F.lit(spec.name).alias("metric_name"), "granularity", "period", value.alias("value"))
+    coins = rolled.withColumn("coins", u256_div("total", 10**spec.decimals))
+    return coins.select("chain_id", F.lit(spec.name).alias("metric_name"), "granularity", "period", u256_to_decimal("coins").alias("value"))
 
 
 def metric_batch(

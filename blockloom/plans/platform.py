@@ -15,6 +15,7 @@ from blockloom.operators.joins import enrich_agg, lookup_first, missing_from, su
 from blockloom.operators.normalize import explode_validators
 from blockloom.operators.versioned import latest_by_key
 from blockloom.operators.windows import first_per_key, previous_event
+from blockloom.session import cut_lineage
 
 UINT = "decimal(20,0)"
 CREATORS = ("CreateChain", "AddSubnetValidator", "ConvertSubnetToL1", "TransformSubnet")
@@ -323,22 +324,32 @@ def validator_fee_stats(state: DataFrame, history: DataFrame, ledger: DataFrame,
     return out.withColumn("fees_paid", fees).withColumn("last_updated", _now(as_of))
 
 
+# Transaction types the derived tables are made from; all others are left in the table.
+USED_TYPES = (*CREATORS, "RegisterL1Validator", "IncreaseL1ValidatorBalance", "DisableL1Validator")
+
+
 def run_platform_cycle(
-    txs: DataFrame, snapshot: DataFrame, registrations: DataFrame | None = None, state: DataFrame | None = None, as_of=None, p_chain_id: int = 0
-) -> dict[str, DataFrame]:
+    txs: DataFrame, snapshot: DataFrame, registrations: DataFrame | None = None, state: DataFrame | None = None, as_of=None, p_chain_id: int = 0,
+    materialize=cut_lineage,
+) -> dict[str, DataFrame]:
     """All derived platform tables from transactions and the current validator snapshot (as state rows).
 
     ``state`` holds earlier state versions; validators missing from the snapshot become inactive.
+    The transactions are scanned once: the few types that matter, and the tables several later
+    steps read, are written to shared storage by ``materialize``, as the steps of a sync cycle are.
     """
     spark = txs.sparkSession
+    txs = materialize(_of_type(txs, *USED_TYPES))
+    snapshot = materialize(snapshot)
     primary, primary_chains = genesis_rows(spark, p_chain_id, as_of)
-    subnets = all_subnets(txs, as_of).unionByName(primary)
+    subnets = materialize(all_subnets(txs, as_of)).unionByName(primary)
     chains = subnet_chains(txs, as_of).unionByName(primary_chains)
-    history = validator_history(txs, registrations, as_of)
+    history = materialize(validator_history(txs, registrations, as_of))
     versions = snapshot if state is None else state.unionByName(snapshot).unionByName(mark_inactive(state, snapshot, as_of))
     current = latest_by_key(versions, STATE_KEY, "last_updated")
-    ledger = balance_ledger(txs, current, history)
-    returned = refunds(txs, ledger, history, current)
+    current = current if state is None else materialize(current)
+    ledger = materialize(balance_ledger(txs, current, history))
+    returned = materialize(refunds(txs, ledger, history, current))
     return {
         "subnets": subnets,
         "subnet_chains": chains,
