@@ -25,7 +25,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "blockloom") -> SparkSession:
+def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "blockloom", extra: dict | None = None) -> SparkSession:
     """A single-machine session for tests and bench.py."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -36,7 +36,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "blo
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.extraJavaOptions", "-Duser.timezone=UTC")
     )
-    for key, value in REQUIRED.items():
+    for key, value in {**REQUIRED, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

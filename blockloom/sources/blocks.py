@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from blockloom import schemas
 from blockloom.functions.hexes import hex_to_uint
 
+# A call tree nests two JSON levels per call and calls nest up to 1024 deep; parser defaults would
+# turn such a record into NULLs.  A record that still cannot be read stops the job.
+JSON_OPTIONS = {"mode": "FAILFAST", "maxNestingDepth": 10_000, "maxStringLen": 2**31 - 1}
+
 # Landing folders may be grouped as block_group=<number // BLOCKS_PER_GROUP>.
 BLOCKS_PER_GROUP = 100_000
 
@@ -19,7 +23,7 @@ def read_blocks(spark: SparkSession, path: str, from_block: int | None = None, t
     """
     grouped = _is_grouped(spark, path)
     schema = schemas.NESTED_BLOCK + (", block_group bigint" if grouped else "")
-    df = spark.read.schema(schema).json(path)
+    df = spark.read.schema(schema).options(**JSON_OPTIONS).json(path)
     number = hex_to_uint("block.number", 32)
     if from_block is not None:
         df = df.where(number >= from_block)
@@ -38,4 +42,4 @@ def _is_grouped(spark: SparkSession, path: str) -> bool:
 
 def stream_blocks(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
     """The same records as an unbounded stream over the files that arrive in the folder."""
-    return spark.readStream.schema(schemas.NESTED_BLOCK).option("maxFilesPerTrigger", max_files).json(path)
+    return spark.readStream.schema(schemas.NESTED_BLOCK).options(**JSON_OPTIONS).option("maxFilesPerTrigger", max_files).json(path)

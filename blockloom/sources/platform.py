@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from blockloom import schemas
 from blockloom.functions.text import json_field, tx_type_name, to_uint_or_zero
 from blockloom.operators.normalize import fill_block_time
+from blockloom.sources.blocks import JSON_OPTIONS
 
 
 def read_platform_txs(spark: SparkSession, path: str, p_chain_id: int = 0) -> DataFrame:
     """One row per transaction with its JSON body as VARIANT."""
-    return platform_txs(spark.read.schema(schemas.PLATFORM_BLOCK).json(path), p_chain_id)
+    return platform_txs(spark.read.schema(schemas.PLATFORM_BLOCK).options(**JSON_OPTIONS).json(path), p_chain_id)
 
 
 def platform_txs(blocks: DataFrame, p_chain_id: int | Column = 0) -> DataFrame:
