@@ -16,12 +16,21 @@ def for_chain(df: DataFrame, chain_id: int | None, col: str = "chain_id") -> Dat
     return df if chain_id is None else df.where(F.col(col) == chain_id)
 
 
+# Partition column of stored raw tables: the day of block_time.
+DAY = "block_date"
+
+
 def in_time_range(df: DataFrame, ts: str = "block_time", first=None, last=None) -> DataFrame:
-    """Half-open range [first, last)."""
+    """Half-open range [first, last); tables partitioned by day are pruned to its days."""
+    by_day = DAY in df.columns and ts == "block_time"
     if first is not None:
-        df = df.where(F.col(ts) >= F.lit(first))
+        first = (first if isinstance(first, Column) else F.lit(first)).cast("timestamp")
+        df = df.where(F.col(ts) >= first)
+        df = df.where(F.col(DAY) >= F.to_date(first)) if by_day else df
     if last is not None:
-        df = df.where(F.col(ts) < F.lit(last))
+        last = (last if isinstance(last, Column) else F.lit(last)).cast("timestamp")
+        df = df.where(F.col(ts) < last)
+        df = df.where(F.col(DAY) <= F.to_date(last)) if by_day else df
     return df
 
 
@@ -61,7 +70,7 @@ def has_length(df: DataFrame, col: str, n: int, op: str = "=") -> DataFrame:
 def since(df: DataFrame, ts: str, interval: str, as_of) -> DataFrame:
     """Rows not older than ``interval`` (for example '7 DAY') before ``as_of``."""
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
-    return df.where(F.col(ts) >= as_of - F.expr(f"INTERVAL {interval}"))
+    return in_time_range(df, ts, as_of - F.expr(f"INTERVAL {interval}"))
 
 
 def having(grouped: DataFrame, condition: Column) -> DataFrame:

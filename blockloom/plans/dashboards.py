@@ -14,7 +14,7 @@ from blockloom.functions.periods import epoch_seconds, period_start
 from blockloom.functions.text import DATE_PATTERN, ISO_PATTERN, days_between, fmt_time, json_field
 from blockloom.functions.u256 import u256_lit, u256_sum, u256_to_double, u256_to_text
 from blockloom.operators.aggregates import scalars
-from blockloom.operators.filters import bytes_in, find_one, for_chain, since
+from blockloom.operators.filters import bytes_in, find_one, for_chain, in_time_range, since
 from blockloom.operators.joins import active_by_type, merge_full, not_in
 from blockloom.operators.sorting import numeric_text, rank_order, top_k
 from blockloom.operators.versioned import latest_by_key
@@ -336,8 +336,7 @@ def tx_details(txs: DataFrame, tx_id: str) -> DataFrame:
 
 
 def _ranged(df: DataFrame, chain_id: int | None, start) -> DataFrame:
-    df = for_chain(df, chain_id)
-    return df if start is None else df.where(F.col("block_time") >= F.lit(start).cast("timestamp"))
+    return in_time_range(for_chain(df, chain_id), "block_time", start)
 
 
 def _per(df: DataFrame, granularity: str, name: str, *aggregates: Column, extra=()) -> DataFrame:

@@ -242,7 +242,7 @@ def refunds(txs: DataFrame, ledger: DataFrame, history: DataFrame, state: DataFr
     disables = _of_type(txs, "DisableL1Validator").select(
         "tx_id", json_field("tx_data", "validationID").alias("validation_id"), "block_number", "block_time", "p_chain_id"
     )
-    spans = previous_event(disables, ["p_chain_id", "validation_id"], "block_time", "previous", width=86400 * 30)
+    spans = previous_event(disables, ["p_chain_id", "validation_id"], "block_time", "previous", width=86400)
     facts = history.groupBy("validation_id").agg(
         F.min_by(F.struct("subnet_id", "remaining_balance_owner", "created_time"), F.struct("created_block", "created_tx_id")).alias("h")
     )
@@ -260,7 +260,7 @@ def refunds(txs: DataFrame, ledger: DataFrame, history: DataFrame, state: DataFr
         )
         .where("subnet_id is not null and start_time is not null")
     )
-    summed = sum_in_span(spans, ledger, "validation_id", "tx_id", out="deposits")
+    summed = sum_in_span(spans, ledger, "validation_id", "tx_id", out="deposits", width=86400)
     seconds = F.greatest(F.unix_timestamp("end_time") - F.unix_timestamp("start_time"), F.lit(0))
     refund = F.greatest(F.col("deposits") - (seconds * rate).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
     return (

@@ -15,6 +15,8 @@ REQUIRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split skewed joins even where an aggregation on the same key follows
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

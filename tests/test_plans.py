@@ -164,3 +164,19 @@ def _source(spark, path, schema):
 
     os.makedirs(path, exist_ok=True)
     return spark.readStream.schema(schema).parquet(path)
+
+
+def test_filters_and_columns_reach_the_scan(spark, star, tmp_path):
+    from blockloom.sources.tables import read_table, write_raw
+
+    write_raw(star.raw_traces(), str(tmp_path), "raw_traces")
+    stored = read_table(spark, str(tmp_path), "raw_traces")
+    df = M.metric("contracts", "day", {"raw_traces": stored}, 2, F.lit("2024-01-05").cast("timestamp"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 5000)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    pruned = scan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "chain_id" in pruned and "block_date" in pruned and ">= 2024-01-05" in pruned
+    assert "In(call_type" in scan and "GreaterThanOrEqual(block_time" in scan and "EqualTo(tx_success,true)" in scan
+    assert "ReadSchema: struct<block_time:timestamp,call_type:string,tx_success:boolean>" in scan
+    assert df.count() > 0
