@@ -16,7 +16,7 @@ from blockloom.session import local_session  # noqa: E402
 from blockloom.sources.star_schema import Star  # noqa: E402
 
 HEADLINES = [
-    "all_metrics_one_pass", "metric_tx_count", "metric_fees_paid", "metric_max_tps", "metric_active_addresses", "metric_cumulative_addresses",
+    "metric_tx_count", "metric_fees_paid", "metric_max_tps", "metric_active_addresses", "metric_cumulative_addresses", "all_metrics_one_pass",
     "token_volume_by_week", "balance_view", "balance_top_holders", "normalize_txs", "normalize_traces", "normalize_logs", "validator_refunds",
     "subnet_fee_stats", "quality_duplicates_txs", "quality_missing_blocks", "window_running_sum", "join_sum_in_span", "stream_count_by_hour",
 ]
