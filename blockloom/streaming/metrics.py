@@ -101,7 +101,8 @@ def update_first_seen(batch: DataFrame, path: str, keys: tuple[str, ...] = ("fro
     """Add a batch's new addresses to the first-seen table and return the rows added.
 
     A row is added when the address is unknown or appeared earlier than stored; readers take the
-    minimum.  The table is sharded by address hash and only joined, never collected.
+    minimum.  The table is sharded by address hash and only joined, never collected.  Each call
+    reads the stored addresses once, so run it per hour or day rather than per micro-batch.
     """
     spark = batch.sparkSession
     shard = F.pmod(F.xxhash64("address"), F.lit(SHARDS)).cast("int")

@@ -180,3 +180,32 @@ def test_filters_and_columns_reach_the_scan(spark, star, tmp_path):
     assert "In(call_type" in scan and "GreaterThanOrEqual(block_time" in scan and "EqualTo(tx_success,true)" in scan
     assert "ReadSchema: struct<block_time:timestamp,call_type:string,tx_success:boolean>" in scan
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["gas_used", "avg_gas_price", "max_gas_price", "avg_tps", "max_tps"])
+def test_stream_equals_batch_for_closed_days(spark, folder, star, tmp_path, name):
+    from blockloom.sources.star_schema import StreamStar
+
+    stream = T.stream_metric(StreamStar(spark, folder).raw_txs(), name, "day")
+    sink = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).option("path", str(tmp_path / "out"))
+    sink.trigger(availableNow=True).start().awaitTermination()
+    got = _rows(spark.read.schema(stream.schema).parquet(str(tmp_path / "out")))
+    latest = star.raw_txs().agg(F.max("block_time")).scalar()
+    want = _rows(M.only_complete(M.metric(name, "day", {"raw_txs": star.raw_txs()}), latest))
+    assert got == want and len(got) > 100
+
+
+def test_empty_snapshot_deactivates_nobody(spark, star):
+    from blockloom.sources.platform import validator_state
+
+    state = validator_state(star.snapshot(), 0, F.lit("2024-01-01").cast("timestamp"))
+    assert L.mark_inactive(state, state.where("false"), "2024-01-02").count() == 0
+    one = state.where("subnet_id = 'subnet1'").withColumn("validation_id", F.lit("another"))
+    gone = L.mark_inactive(state, one, "2024-01-02").collect()
+    assert {r.subnet_id for r in gone} <= {"subnet1"} and not any(r.active for r in gone)
+
+
+def test_search_text_routes():
+    from blockloom.plans.dashboards import lookup
+
+    assert lookup(" 42 ") == ("block", 42) and lookup("4x") == ("tx", "4x")
