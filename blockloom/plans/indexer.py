@@ -66,11 +66,14 @@ class WatermarkStore:
     def get(self, chain_id: int, name: str, granularity: str = "") -> Watermark | None:
         """The current entry, or None before the first run."""
         mine = self.table().where((F.col("chain_id") == chain_id) & (F.col("indexer_name") == name) & (F.col("granularity") == granularity))
-        row = latest_by_key(mine, self.KEY, "seq", ["updated_at"]).withColumn("period_text", utc_text("last_period")).first()
+        row = mine.withColumn("period_text", utc_text("last_period")).orderBy(F.desc("seq"), F.desc("updated_at")).first()
         return Watermark(utc_time(row.period_text), row.last_block_num, row.seq, row.generation) if row else None
 
-    def set(self, chain_id: int, name: str, granularity: str = "", last_period: datetime | None = None, last_block_num: int | None = None) -> None:
-        known = self.get(chain_id, name, granularity)
+    def set(
+        self, chain_id: int, name: str, granularity: str = "", last_period: datetime | None = None, last_block_num: int | None = None, known: Watermark | None = None
+    ) -> None:
+        """Append an entry; ``known`` is the current one, if the caller has just read it."""
+        known = known or self.get(chain_id, name, granularity)
         seq = known.seq + 1 if known else 1
         generation = known.generation if known else self._generation()
         period = utc_lit(last_period) if last_period else F.lit(None).cast("timestamp")
@@ -117,10 +120,11 @@ def run_granular(
     writes = 0
     for granularity in grains:
         groups: dict[tuple, list[str]] = {}
+        marks: dict[str, Watermark | None] = {}
         for name in names or SPECS:
             if SPECS[name].source not in tables:
                 continue
-            mark = store.get(chain_id, f"evm_metrics/{name}", granularity)
+            mark = marks[name] = store.get(chain_id, f"evm_metrics/{name}", granularity)
             pending = pending_range(mark.last_period if mark else None, latest, granularity)
             if pending:
                 groups.setdefault((mark.last_period if mark else None, *pending), []).append(name)
@@ -130,7 +134,7 @@ def run_granular(
             out.write.mode("append").partitionBy("chain_id", "granularity").parquet(f"{root}/metrics")
             last_period = _last_start(end, granularity)
             for name in group:
-                store.set(chain_id, f"evm_metrics/{name}", granularity, last_period)
+                store.set(chain_id, f"evm_metrics/{name}", granularity, last_period, known=marks[name])
             writes += 1
     return writes
 
@@ -151,7 +155,7 @@ def run_balances(
             break
         rows = balance_changes(logs.where(F.col("chain_id") == chain_id), *pending).withColumn("computed_at", F.current_timestamp())
         rows.write.mode("append").partitionBy("chain_id").parquet(f"{root}/erc20_balance_changes")
-        store.set(chain_id, "incremental/erc20_balances", "", None, pending[1])
+        store.set(chain_id, "incremental/erc20_balances", "", None, pending[1], mark)
         done += 1
     return done
 

@@ -18,7 +18,7 @@ REQUIRED = {
     # split skewed joins even where an aggregation on the same key follows
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # call traces, the only data handed to Python, can be megabytes each
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
