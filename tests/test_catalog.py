@@ -33,5 +33,5 @@ def test_estimates_are_close(spark, folder):
 def test_every_entry_has_operators_and_runs_from_the_contract():
     import __spark_entry__ as entry
 
-    assert set(entry.queries()) == set(CATALOG) and set(entry.oracle_sql()) <= set(CATALOG)
+    assert set(CATALOG) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     assert all(q.ids for q in CATALOG.values())
