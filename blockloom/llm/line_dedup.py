@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blockloom.llm.tables import Carried, stored
-from blockloom.session import scratch
 
 PERCENT = 90
 RANK_BITS = 14
@@ -37,13 +36,6 @@ _HASH_BITS = 63 - RANK_BITS
 _LINE = ("id", "dh", "no")
 
 
-def _table(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the cluster's shared folder."""
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _words(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(line), SPACE), "")
 
@@ -136,7 +128,7 @@ def kept_lines(rows: DataFrame, percent: int) -> DataFrame:
         F.aggregate("tokens", F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), t.bitwiseAND(F.lit(63)).cast("int")))).alias("sig"),
     )
     classes = lines.groupBy("k1", "k2").agg(F.min("line").alias("first"), *[F.any_value(c).alias(c) for c in ("n", "prefix", "sig")])
-    classes = _table(classes.select("first", "n", "prefix", "sig"))
+    classes = stored(classes.select("first", "n", "prefix", "sig"))
 
     own = _entries(classes).withColumn("salt", F.pmod(F.col("first.dh"), _salts(F.col("token"), counts)))
     order = Window.partitionBy("token", "salt").orderBy("first").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -167,7 +159,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id", tex
     whole = held.df.withColumns({"text": F.col("text").cast("string"), "dh": F.xxhash64("text")})
     joined = whole.join(stay, F.col("id").eqNullSafe(F.col("sid")) & (F.col("dh") == F.col("sdh")), "left")
     lines = F.split("text", "\n")
-    blank = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.size(_words(F.get("lines", i))) == 0)
+    blank = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: ~F.rlike(F.get("lines", i), F.lit(r"[^\x20\x09-\x0D]")))
     out = joined.withColumn("lines", lines).withColumn("places", F.array_sort(F.concat(F.coalesce("stay", F.array().cast("array<int>")), blank)))
     out = out.withColumns(
         {
