@@ -10,8 +10,9 @@ is at least ``percent`` / 100.  The join is a rare-first prefix filter:
 3. Back at its class, a set is ordered by (count, hash).  Linked sets share an n-gram among the first
    ``n - ceil(n * percent / 100) + 1`` of that order; a class with as many n-grams of its own has no link at all.
 4. Pairs of classes meet on n-grams of their prefixes, under the length and the positional filter.  Of the pairs of an
-   n-gram only those between different components are made: the first rounds compare with one hub each n-gram, and what
-   a round links needs no further pair.  So a group of near copies costs about its size, not its square.
+   n-gram only those between different components are made: the first rounds compare with a few hubs each n-gram, and
+   what a round links needs no further pair.  What a class shares with another component after that
+   is settled block by block against the component's members, without a row for each pair.
 5. Each pair is verified once, with the whole sets: the suffix filter (n-grams in 16 ranges of the hash space) first, then
    the exact intersection.
 
@@ -39,7 +40,7 @@ from blockloom.llm.words import shingles, word_hashes
 PART_NGRAMS = 1_500_000
 MIN_PARTS = 64
 RANGES = 16
-HUB_ROUNDS = 6
+HUBS, HUB_ROUNDS, BLOCK = 3, 3, 128
 
 
 def _sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -208,37 +209,92 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").mapInArrow(_verified(percent), "a bigint, b bigint")
 
 
+def _block_verified(percent: int):
+    """Links (a, b) of a class with the members of a block."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found_a, found_b = [], []
+        for a, na, sa, members in zip(*(batch[k].to_pylist() for k in ("a", "na", "sa", "members"))):
+            x = np.frombuffer(sa, np.uint64)
+            near = [m for m in members if 100 * min(na, m["n"]) >= percent * max(na, m["n"])]
+            if not near or not len(x):
+                continue
+            sizes = [len(m["shared"]) // 8 for m in near]
+            every = np.frombuffer(b"".join(m["shared"] for m in near), np.uint64)
+            place = np.minimum(np.searchsorted(x, every), len(x) - 1)
+            ends = np.cumsum([0, *sizes])
+            hits = np.concatenate([[0], np.cumsum(x[place] == every)])
+            for m, both in zip(near, hits[ends[1:]] - hits[ends[:-1]]):
+                if m["cls"] != a and 100 * both >= percent * (na + m["n"] - both):
+                    found_a.append(a)
+                    found_b.append(m["cls"])
+        return pa.RecordBatch.from_pydict({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+    return each_batch(work)
+
+
+def _placed(classes: DataFrame) -> DataFrame:
+    """``classes`` with the block that holds each: blocks of a component, or of lone classes with the same last n-gram."""
+    alone = F.col("comp") == F.col("cls")
+    family = classes.groupBy("comp").agg(F.count("*").alias("m"))
+    classes = classes.join(family, "comp").withColumn("family", F.when(alone & (F.col("m") == 1), F.struct(F.lit(True).alias("lone"), F.element_at("prefix", -1).alias("name"))).otherwise(F.struct(F.lit(False).alias("lone"), F.col("comp").alias("name"))))
+    sizes = classes.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    return classes.join(sizes, "family").select("cls", "n", "own", "comp", "prefix", F.struct("family.lone", "family.name", F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("part")).alias("block"))
+
+
+def _block_links(asked: DataFrame, placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of classes ``a`` with members of the blocks they are asked for."""
+    wanted = placed.select("cls", "block").join(asked.select("block").distinct(), "block", "left_semi")
+    blocks = wanted.join(sets.select("cls", "n", "shared"), "cls").groupBy("block").agg(F.collect_list(F.struct("cls", "n", "shared")).alias("members"))
+    a = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
+    return asked.join(a, "a").join(blocks, "block").select("a", "na", "sa", "members").mapInArrow(_block_verified(percent), "a bigint, b bigint")
+
+
 def _may_link(percent: int, x: str, y: str) -> str:
     """SQL for the length and the positional filter between two prefix entries."""
     need = f"CEIL({percent} * ({x}n + {y}n) / {100 + percent}D)"
     return (
         f"100 * LEAST({x}n, {y}n) >= {percent} * GREATEST({x}n, {y}n) AND "
-        f"1 + LEAST({x}n - {x}at, {y}n - {y}at) + LEAST({x}at, {y}at) - 1 >= {need}"
+        f"LEAST({x}n - {x}at, {y}n - {y}at) + LEAST({x}at, {y}at) >= {need}"
     )
 
 
 def similar_classes(sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of all linked classes."""
-    entries = stored(sets.selectExpr("cls", "n", "posexplode(prefix) AS (i, gram)", "own").selectExpr("gram", "cls", "n", "own + i AS at"))
     found, tried, labels = None, None, None
     for turn in range(HUB_ROUNDS):
-        now = entries if labels is None else entries.join(labels.select(F.col("node").alias("cls"), "root"), "cls", "left")
-        now = now.select("gram", "cls", "n", "at", (F.col("cls") if labels is None else F.coalesce("root", "cls")).alias("comp"))
-        by_comp = now.groupBy("gram", "comp").agg(F.count("*").alias("m"), F.min(F.struct("cls", "n", "at")).alias("first"))
-        by_gram = by_comp.groupBy("gram").agg(F.sum("m").alias("m"), F.count("*").alias("comps"), F.max(F.struct("m", "comp", "first")).alias("main"))
-        open_grams = stored(by_gram.where("comps > 1").selectExpr("gram", "m", "comps", "main.m AS most", "main.comp AS main", "main.first.cls AS hcls", "main.first.n AS hn", "main.first.at AS hat"))
-        size = open_grams.agg(F.sum("m"), F.sum(F.expr("(m - most) * m"))).first()
+        classes = sets.select("cls", "n", "own", "prefix", F.col("cls").alias("comp"))
+        if labels is not None:
+            own = labels.select(F.col("node").alias("cls"), F.col("root").alias("comp"))
+            classes = classes.drop("comp").join(own, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+        now = classes.selectExpr("cls", "n", "own", "comp", "posexplode(prefix) AS (i, gram)").selectExpr("gram", "cls", "n", "own + i AS at", "comp")
+        hubs = [F.min(F.struct(F.xxhash64("cls", F.lit(turn * HUBS + k)).alias("h"), "cls", "n", "at")).alias(f"hub{k}") for k in range(HUBS)]
+        by_comp = now.groupBy("gram", "comp").agg(F.count("*").alias("m"), *hubs)
+        main = F.max(F.struct("m", "comp", *[f"hub{k}" for k in range(HUBS)])).alias("main")
+        by_gram = by_comp.groupBy("gram").agg(F.sum("m").alias("m"), F.count("*").alias("comps"), main).where("comps > 1")
+        open_grams = stored(by_gram.select("gram", "m", "main.*").toDF("gram", "all", "most", "main", *[f"hub{k}" for k in range(HUBS)]))
+        size = open_grams.agg(F.sum("all"), F.sum(F.expr("(all - most) * all"))).first()
         if not size[0]:
             break
         last = turn == HUB_ROUNDS - 1 or size[1] <= 8 * size[0]
-        now = stored(now.join(open_grams.select("gram", "main", "hcls", "hn", "hat"), "gram"))
-        if last:  # few enough: every pair between different components
-            y = now.select("gram", F.col("cls").alias("ycls"), F.col("n").alias("yn"), F.col("at").alias("yat"), F.col("comp").alias("ycomp"))
-            x = now.where("comp <> main").select("gram", F.col("cls").alias("xcls"), F.col("n").alias("xn"), F.col("at").alias("xat"), F.col("comp").alias("xcomp"), "main")
-            pairs = x.join(y, "gram").where(f"xcomp <> ycomp AND (ycomp = main OR xcls < ycls) AND {_may_link(percent, 'x', 'y')}")
-            pairs = pairs.selectExpr("LEAST(xcls, ycls) AS a", "GREATEST(xcls, ycls) AS b")
-        else:  # the main component's first class against the others
-            pairs = now.where(f"comp <> main AND {_may_link(percent, '', 'h')}").selectExpr("LEAST(cls, hcls) AS a", "GREATEST(cls, hcls) AS b")
+        if last:  # whole blocks of classes against the classes that share an n-gram with them
+            placed = stored(_placed(classes))
+            here = placed.selectExpr("cls", "n", "own", "comp", "block", "posexplode(prefix) AS (i, gram)").selectExpr("gram", "cls", "n", "own + i AS at", "comp", "block")
+            here = stored(here.join(open_grams.select("gram", "main"), "gram"))
+            x = here.where("comp <> main").select("gram", F.col("cls").alias("a"), "n", "at", F.col("comp").alias("xcomp"), F.col("block").alias("xblock"))
+            y = here.groupBy("gram", "block").agg(*[F.expr(e) for e in ("min(n) AS least", "max(n) AS most", "max(n - at) AS rest", "max(at) AS last", "min(comp) AS first", "bool_or(comp = main) AS main")])
+            # the filters of a pair, for the member of the block that passes them most easily
+            may = f"100 * LEAST(n, most) >= {percent} * GREATEST(n, least) AND LEAST(n - at, rest) + LEAST(at, last) >= CEIL({percent} * (n + least) / {100 + percent}D)"
+            asked = stored(x.join(y, "gram").where(f"(block.lone OR xcomp <> first) AND (main OR xblock <= block) AND {may}").select("a", "block").distinct())
+            new = stored(_block_links(asked, placed, sets, percent))
+            if not new.isEmpty():
+                labels = components(new if found is None else found.union(new))
+            break
+        now = stored(now.join(open_grams, "gram"))
+        # some classes of the main component, others each round, against those outside it
+        hub = F.explode(F.array(*[f"hub{k}" for k in range(HUBS)])).alias("hub")
+        pairs = now.where("comp <> main").select("cls", "n", "at", hub).select("cls", "n", "at", F.col("hub.cls").alias("hcls"), F.col("hub.n").alias("hn"), F.col("hub.at").alias("hat"))
+        pairs = pairs.where(_may_link(percent, "", "h")).selectExpr("LEAST(cls, hcls) AS a", "GREATEST(cls, hcls) AS b")
         pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -248,8 +304,6 @@ def similar_classes(sets: DataFrame, percent: int) -> DataFrame:
         if not new.isEmpty():
             found = new if found is None else found.union(new)
             labels = components(found)
-        if last:
-            break
     return labels if labels is not None else sets.selectExpr("cls AS node", "cls AS root").limit(0)
 
 

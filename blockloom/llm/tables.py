@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.session import cut_lineage, prepare
+from blockloom.session import prepare, scratch
 
 #: Rows up to which the small side of a join is broadcast; checked by counting.
 BROADCAST_ROWS = 100_000
@@ -59,8 +59,14 @@ class Carried:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the cluster's shared folder."""
-    return cut_lineage(df)
+    """``df`` computed once and kept as a table in the cluster's shared folder.
+
+    A table rather than a checkpoint: a checkpoint hands on the size estimates of its plan, and those of joins multiply
+    with each round, until planning takes longer than the work; a table is planned by its true size.
+    """
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def join_small(large: DataFrame, small: DataFrame, on: str, salts: int = 16, limit: int = BROADCAST_ROWS) -> DataFrame:
