@@ -31,8 +31,10 @@ from blockloom.llm.words import _LOWER_CODE, mix, raw, slices
 BITS = 13
 CELLS = 1 << BITS
 SAMPLE = 4000
-MIN_SAMPLE = 20
+MIN_SAMPLE = 10
 MAX_DECLARED = 1000
+#: Imagined trigrams with the shares of all languages together, added to each one's own.
+SMOOTHING = 4000.0
 WEIGHT = 60.0
 STRENGTH = 20.0
 MIN_POSTERIOR = 0.5
@@ -103,7 +105,9 @@ class Model:
             sums[r["lang"]] = sums.get(r["lang"], 0) + np.frombuffer(r["counts"], np.int64)
             docs_of[r["lang"]] = docs_of.get(r["lang"], 0) + r["docs"]
         languages = sorted(k for k in sums if docs_of[k] >= min(min_sample, max(docs_of.values())))
-        counts = np.array([sums[k] for k in languages], float).reshape(-1, CELLS) + 0.5
+        counts = np.array([sums[k] for k in languages], float).reshape(-1, CELLS)
+        pooled = counts.sum(axis=0) + 0.5
+        counts += SMOOTHING * pooled / pooled.sum()
         return Model(languages, np.log(counts / counts.sum(axis=1, keepdims=True)))
 
     def scores(self, column: pa.Array, weight: float) -> tuple[np.ndarray, np.ndarray]:
