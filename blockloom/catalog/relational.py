@@ -523,6 +523,11 @@ def quality_missing_blocks(star: Star):
     return D.missing_blocks(star.raw_blocks(), "block_number", ["chain_id"], width=100)
 
 
+@query("sort_page_after_ties", "K8", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE (l_orderkey, l_linenumber) > (100, 2) ORDER BY 1, 2 LIMIT 200")
+def sort_page_after_ties(star: Star):
+    return K.page_after(star.table("lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], (100, 2))
+
+
 @query("quality_missing_in_range", "D3", """
 SELECT k.block_number FROM (SELECT unnest(generate_series(100, 5000)) AS block_number) k
 LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem) x ON x.l_orderkey = k.block_number WHERE l_orderkey IS NULL""")

@@ -76,7 +76,8 @@ def missing_blocks(df: DataFrame, n: str = "block_number", keys: list[str] | Non
 def missing_in_range(df: DataFrame, from_block: int, to_block: int, n: str = "block_number") -> DataFrame:
     """Numbers of one inclusive range that ``df`` does not hold."""
     spine = df.sparkSession.range(from_block, to_block + 1).withColumnRenamed("id", n)
-    return spine.join(df.select(F.col(n).cast("bigint").alias(n)), n, "left_anti")
+    here = df.where(F.col(n).between(from_block, to_block))  # before the cast, so that it reaches the scan
+    return spine.join(here.select(F.col(n).cast("bigint").alias(n)).distinct(), n, "left_anti")
 
 
 def receipt_mismatch(blocks: DataFrame) -> DataFrame:

@@ -58,6 +58,15 @@ def page(df: DataFrame, order: list, n: int, size: int = ROWS_PER_PAGE) -> DataF
     return df.orderBy(*order).offset(n * size).limit(size)
 
 
-def page_after(df: DataFrame, key: str, last, size: int = ROWS_PER_PAGE) -> DataFrame:
-    """The page that follows key value ``last``; cost does not grow with the page number."""
-    return (df if last is None else df.where(F.col(key) > last)).orderBy(key).limit(size)
+def page_after(df: DataFrame, key: str | list[str], last, size: int = ROWS_PER_PAGE) -> DataFrame:
+    """The page that follows ``last``; cost does not grow with the page number.
+
+    ``key`` names the columns of a unique order, so that rows that tie in the first are neither lost nor repeated;
+    ``last`` holds their values in the last row seen, None for the first page.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    if last is not None:
+        values = [F.lit(v) for v in (last if isinstance(last, (tuple, list)) else [last])]
+        df = df.where(F.col(keys[0]) >= values[0])  # reaches the scan, which a comparison of structs does not
+        df = df.where(F.struct(*keys) > F.struct(*[v.alias(k) for v, k in zip(values, keys, strict=True)]))
+    return df.orderBy(*keys).limit(size)

@@ -78,3 +78,12 @@ def test_scalar_subquery_is_no_cross_join(spark):
     df = J.with_scalar(spark.range(5), "top", spark.range(9).agg(F.max("id")))
     assert {r.top for r in df.collect()} == {8}
     assert "NestedLoop" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_by_a_unique_order_lose_no_ties(spark):
+    df = spark.createDataFrame([(k, i) for k in range(4) for i in range(5)], "k int, i int")
+    seen, last = [], None
+    while rows := K.page_after(df, ["k", "i"], last, 3).collect():
+        seen += [tuple(r) for r in rows]
+        last = seen[-1]
+    assert seen == sorted((k, i) for k in range(4) for i in range(5))
