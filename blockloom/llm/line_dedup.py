@@ -4,14 +4,15 @@ A line's set holds its distinct words in lower case.  A line is removed if an ea
 has a set whose Jaccard likeness to it is at least ``percent`` / 100; it does not matter whether that line is removed
 itself.  Lines without words stay.
 
-1. Documents with a word are counted in 2**RANK_BITS cells of the word's hash (a fixed number, collected), and a word
-   ranks by its cell, rare cells first.  A token is one integer: rank above hash, so sorted tokens are in order of rarity.
+1. Words are counted in 2**RANK_BITS cells of their hash (a fixed number, collected), and a word ranks by its cell, rare
+   cells first.  A token is one integer: rank above hash, so sorted tokens are in order of rarity.
 2. Lines with equal sets form a class, which its earliest line stands for.  Only that line can stay.
 3. Linked sets share one of their first ``n - ceil(n * percent / 100) + 1`` tokens.  Classes meet on these under the length
    and the positional filter and a parity filter: the 64-bit parities of two sets differ in no more bits than the sets
    differ in words.
 4. First every class is compared with the earliest ``HUBS`` of each of its prefix tokens.  A class that is thereby removed
-   is settled, so a group of near copies costs about its size.  Then the unsettled ones are joined with all earlier classes.
+   is settled, so a group of near copies costs about its size.  Then the unsettled ones are joined with all earlier classes
+   that were no hub of the token; a token of few classes has none.
 5. Pairs are verified with the words of both lines, read again from the texts for just the lines that occur in pairs.
 
 A token that many lines share is dealt over several tasks in step 4, by the count of its cell; in step 5 the lines asked
@@ -31,17 +32,19 @@ RANK_BITS = 14
 HUBS = 3
 #: Lines of one token that a task takes at a time, and lines to verify that are broadcast.
 TOKEN_ROWS, BROADCAST_LINES = 50_000, 500_000
-SPACE = r"[\x20\x09-\x0D]+"
 _HASH_BITS = 63 - RANK_BITS
 _LINE = ("id", "dh", "no")
+WORD = r"[^\x20\x09-\x0D]"
 
 
-def _words(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), SPACE), "")
+def _words(text: Column) -> Column:
+    """Words in lower case, and empty texts where spaces meet; splitting at one plain character needs no pattern."""
+    other = F.lit(r"[\x09-\x0D]")
+    return F.split(F.lower(F.when(F.rlike(text, other), F.regexp_replace(text, other, F.lit(" "))).otherwise(text)), " ")
 
 
 def _hashes(line: Column) -> Column:
-    return F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w)))
+    return F.array_remove(F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def _lines(rows: DataFrame) -> DataFrame:
@@ -49,9 +52,9 @@ def _lines(rows: DataFrame) -> DataFrame:
 
 
 def _ranks(rows: DataFrame) -> tuple[list[int], list[int]]:
-    """The rank of each cell by its count of documents, and the counts in order of rank."""
-    words = rows.select(F.explode(F.array_distinct(F.split(F.lower("text"), SPACE))).alias("word"))
-    cells = words.groupBy(F.shiftrightunsigned(F.xxhash64("word"), 64 - RANK_BITS).cast("int").alias("cell")).count()
+    """The rank of each cell by its count of words, and the counts in order of rank."""
+    words = rows.select(F.explode(_words(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("word"))
+    cells = words.where("word <> ''").groupBy(F.shiftrightunsigned(F.xxhash64("word"), 64 - RANK_BITS).cast("int").alias("cell")).count()
     counts = [0] * (1 << RANK_BITS)
     for r in cells.collect():  # at most 2**RANK_BITS rows
         counts[r["cell"]] = r["count"]
@@ -63,18 +66,18 @@ def _ranks(rows: DataFrame) -> tuple[list[int], list[int]]:
 
 
 def _tokens(line: Column, ranks: list[int]) -> Column:
-    table = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
+    table = F.split(F.lit(",".join(str(r << _HASH_BITS) for r in ranks)), ",").cast("array<bigint>")
     own = (1 << _HASH_BITS) - 1
 
     def token(h: Column) -> Column:
         rank = F.get(table, F.shiftrightunsigned(h, 64 - RANK_BITS).cast("int"))
-        return F.shiftleft(rank, _HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit(own)))
+        return rank.bitwiseOR(h.bitwiseAND(F.lit(own)))
 
     return F.sort_array(F.transform(_hashes(line), token))
 
 
 def _salts(token: Column, counts: list[int]) -> Column:
-    """Tasks over which a token's lines are dealt: one for each TOKEN_ROWS documents that its cell counts."""
+    """Tasks over which a token's lines are dealt: one for each TOKEN_ROWS words that its cell counts."""
     rank, out, most = F.shiftrightunsigned(token, _HASH_BITS), F.lit(1), 1
     for i, c in enumerate(counts):  # counts ascend; a step where they have doubled
         if c >= 2 * most * TOKEN_ROWS:
@@ -117,7 +120,9 @@ def kept_lines(rows: DataFrame, percent: int) -> DataFrame:
     ranks, counts = _ranks(rows)
     n = F.size("tokens")
     length = n - F.ceil(n * percent / F.lit(100.0)).cast("int") + 1
-    lines = _lines(rows).select(F.struct(*_LINE).alias("line"), _tokens(F.col("line"), ranks).alias("tokens")).where(n > 0)
+    # asked of the line, as a filter on the tokens would make them a second time
+    lines = _lines(rows).where(F.rlike("line", F.lit(WORD)))
+    lines = lines.select(F.struct(*_LINE).alias("line"), _tokens(F.col("line"), ranks).alias("tokens"))
     lines = lines.select(
         "line",
         n.alias("n"),
@@ -130,21 +135,21 @@ def kept_lines(rows: DataFrame, percent: int) -> DataFrame:
     classes = lines.groupBy("k1", "k2").agg(F.min("line").alias("first"), *[F.any_value(c).alias(c) for c in ("n", "prefix", "sig")])
     classes = stored(classes.select("first", "n", "prefix", "sig"))
 
-    own = _entries(classes).withColumn("salt", F.pmod(F.col("first.dh"), _salts(F.col("token"), counts)))
-    order = Window.partitionBy("token", "salt").orderBy("first").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    own = own.withColumn("own", F.struct("first", "n", "at", "sig"))
-    hubs = own.select("own", F.array(*[F.nth_value("own", k + 1).over(order) for k in range(HUBS)]).alias("hubs"))
-    hubs = hubs.select("own", F.explode(F.array_compact("hubs")).alias("hub")).where("hub.first < own.first")
-    pairs = stored(hubs.where(F.expr(_may_link(percent, "own", "hub"))).select(F.col("own.first").alias("x"), F.col("hub.first").alias("y")).distinct())
+    entries = _entries(classes).select("token", F.struct("first", "n", "at", "sig").alias("own"))
+    salts = _salts(F.col("token"), counts)
+    order = Window.partitionBy("token", F.pmod(F.col("own.first.dh"), salts)).orderBy("own").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hubs = {f"hub{k}": F.nth_value("own", k + 1).over(order) for k in range(HUBS)}
+    near = [F.expr(f"CASE WHEN {h}.first < own.first AND {_may_link(percent, 'own', h)} THEN {h}.first END") for h in hubs]
+    met = entries.select("token", "own", F.row_number().over(order).alias("place"), *[c.alias(h) for h, c in hubs.items()])
+    met = met.select("token", "own", F.array_compact(F.array(*near)).alias("near"), ((F.col("place") > HUBS) | (salts > 1)).alias("deep"))
+    met = stored(met.where("deep OR SIZE(near) > 0"))
+    pairs = stored(met.select(F.col("own.first").alias("x"), F.explode("near").alias("y")).distinct())
     settled = stored(_matched(pairs, rows, percent).select(F.col("x").alias("first")))
 
-    unsettled = _entries(classes.join(settled, "first", "left_anti"))
-    others = _entries(classes.join(settled, "first", "left_semi"))
-    may = F.expr(_may_link(percent, "a", "b") + " AND b.first < a.first")
-    found = None
-    for earlier in (unsettled, others):
-        some = unsettled.alias("a").join(earlier.alias("b"), F.expr("a.token = b.token") & may).select(F.col("a.first").alias("x"), F.col("b.first").alias("y"))
-        found = some if found is None else found.union(some)
+    deep = met.where("deep").select("token", "own.*")
+    unsettled = deep.join(settled, "first", "left_anti")
+    may = F.expr("a.token = b.token AND b.first < a.first AND " + _may_link(percent, "a", "b"))
+    found = unsettled.alias("a").join(deep.alias("b"), may).select(F.col("a.first").alias("x"), F.col("b.first").alias("y"))
     rest = stored(found.distinct().join(pairs, ["x", "y"], "left_anti"))
     more = stored(_matched(rest, rows, percent).select(F.col("x").alias("first")))
     return classes.select("first").join(settled.union(more), "first", "left_anti").select("first.*")
@@ -159,7 +164,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id", tex
     whole = held.df.withColumns({"text": F.col("text").cast("string"), "dh": F.xxhash64("text")})
     joined = whole.join(stay, F.col("id").eqNullSafe(F.col("sid")) & (F.col("dh") == F.col("sdh")), "left")
     lines = F.split("text", "\n")
-    blank = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: ~F.rlike(F.get("lines", i), F.lit(r"[^\x20\x09-\x0D]")))
+    blank = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: ~F.rlike(F.get("lines", i), F.lit(WORD)))
     out = joined.withColumn("lines", lines).withColumn("places", F.array_sort(F.concat(F.coalesce("stay", F.array().cast("array<int>")), blank)))
     out = out.withColumns(
         {
