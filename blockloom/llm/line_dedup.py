@@ -1,6 +1,6 @@
 """Line dedup by an exact set-similarity join, on DataFrame functions alone.
 
-A line's set holds its distinct words in lower case.  A line is removed if an earlier line, by (id, text hash, line number),
+A line's set holds its distinct words in lower case.  A line is removed if an earlier line, by (id, text hash where ids repeat, line number),
 has a set whose Jaccard likeness to it is at least ``percent`` / 100; it does not matter whether that line is removed
 itself.  Lines without words stay.
 
@@ -12,7 +12,9 @@ itself.  Lines without words stay.
    differ in words.
 4. First every class is compared with the earliest ``HUBS`` of each of its prefix tokens.  A class that is thereby removed
    is settled, so a group of near copies costs about its size.  Then the unsettled ones are joined with all earlier classes
-   that were no hub of the token; a token of few classes has none.
+   that were no hub of the token; a token of few classes has none.  Two linked sets share one of the first
+   ``m - ceil(2 * m * percent / (100 + percent)) + 1`` tokens of the shorter one (m words): its *index* tokens.  So one side
+   of that join holds index tokens alone, and the many pairs that meet on later, more common tokens of both are not made.
 5. Pairs are verified with the words of both lines, read again from the texts for just the lines that occur in pairs.
 
 A token that many lines share is dealt over several tasks in step 4, by the count of its cell; in step 5 the lines asked
@@ -116,7 +118,7 @@ def _matched(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
 
 
 def kept_lines(rows: DataFrame, percent: int) -> DataFrame:
-    """(id, dh, no) of the lines with words that stay; ``rows`` has id, text and dh, the hash of the text."""
+    """(id, dh, no) of the lines with words that stay; ``rows`` has id, text and dh, which tells rows of one id with different texts apart."""
     ranks, counts = _ranks(rows)
     n = F.size("tokens")
     length = n - F.ceil(n * percent / F.lit(100.0)).cast("int") + 1
@@ -137,19 +139,23 @@ def kept_lines(rows: DataFrame, percent: int) -> DataFrame:
 
     entries = _entries(classes).select("token", F.struct("first", "n", "at", "sig").alias("own"))
     salts = _salts(F.col("token"), counts)
-    order = Window.partitionBy("token", F.pmod(F.col("own.first.dh"), salts)).orderBy("own").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy("token", F.pmod(F.xxhash64("own.first"), salts)).orderBy("own").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hubs = {f"hub{k}": F.nth_value("own", k + 1).over(order) for k in range(HUBS)}
-    near = [F.expr(f"CASE WHEN {h}.first < own.first AND {_may_link(percent, 'own', h)} THEN {h}.first END") for h in hubs]
+    near = [F.expr(f"CASE WHEN {_may_link(percent, 'own', h)} AND {h}.first < own.first THEN {h}.first END") for h in hubs]
     met = entries.select("token", "own", F.row_number().over(order).alias("place"), *[c.alias(h) for h, c in hubs.items()])
     met = met.select("token", "own", F.array_compact(F.array(*near)).alias("near"), ((F.col("place") > HUBS) | (salts > 1)).alias("deep"))
     met = stored(met.where("deep OR SIZE(near) > 0"))
     pairs = stored(met.select(F.col("own.first").alias("x"), F.explode("near").alias("y")).distinct())
     settled = stored(_matched(pairs, rows, percent).select(F.col("x").alias("first")))
 
-    deep = met.where("deep").select("token", "own.*")
-    unsettled = deep.join(settled, "first", "left_anti")
-    may = F.expr("a.token = b.token AND b.first < a.first AND " + _may_link(percent, "a", "b"))
-    found = unsettled.alias("a").join(deep.alias("b"), may).select(F.col("a.first").alias("x"), F.col("b.first").alias("y"))
+    deep = met.where("deep").select("token", "own.*").join(settled.withColumn("settled", F.lit(True)), "first", "left")
+    deep = deep.withColumn("index", F.expr(f"at <= n - CEIL({2 * percent} * n / {100 + percent}D)"))
+    may = F.expr(
+        "a.token = b.token AND " + _may_link(percent, "a", "b") + " AND IF(b.index, b.first < a.first, a.n < b.n) "
+        "AND IF(b.first < a.first, a.settled, b.settled) IS NULL"
+    )
+    found = deep.where("index").alias("a").join(deep.alias("b"), may)
+    found = found.select(F.greatest("a.first", "b.first").alias("x"), F.least("a.first", "b.first").alias("y"))
     rest = stored(found.distinct().join(pairs, ["x", "y"], "left_anti"))
     more = stored(_matched(rest, rows, percent).select(F.col("x").alias("first")))
     return classes.select("first").join(settled.union(more), "first", "left_anti").select("first.*")
@@ -158,10 +164,12 @@ def kept_lines(rows: DataFrame, percent: int) -> DataFrame:
 def dedup_lines(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the lines that match an earlier one; n_lines and n_removed are added."""
     held = Carried(docs, id=id, text=text)
-    rows = held.df.select("id", F.col("text").cast("string"), F.xxhash64("text").alias("dh"))
+    # an id that is of one row needs no hash of the text beside it
+    repeated = not held.df.groupBy("id").count().where("count > 1").isEmpty()
+    whole = held.df.withColumns({"text": F.col("text").cast("string"), "dh": F.xxhash64("text") if repeated else F.lit(0).cast("bigint")})
+    rows = whole.select("id", "text", "dh")
     stay = kept_lines(rows, percent).groupBy("id", "dh").agg(F.collect_list("no").alias("stay"))
     stay = stay.select(F.col("id").alias("sid"), F.col("dh").alias("sdh"), "stay")
-    whole = held.df.withColumns({"text": F.col("text").cast("string"), "dh": F.xxhash64("text")})
     joined = whole.join(stay, F.col("id").eqNullSafe(F.col("sid")) & (F.col("dh") == F.col("sdh")), "left")
     lines = F.split("text", "\n")
     blank = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: ~F.rlike(F.get("lines", i), F.lit(WORD)))
