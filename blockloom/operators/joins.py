@@ -79,8 +79,8 @@ def with_scalar(df: DataFrame, name: str, scalar_df: DataFrame) -> DataFrame:
 def sum_in_span(
     spans: DataFrame,
     events: DataFrame,
-    key: str,
-    span_id: str,
+    key: str | list[str],
+    span_id: str | list[str],
     start: str = "start_time",
     end: str = "end_time",
     exclusive: str = "start_exclusive",
@@ -96,35 +96,37 @@ def sum_in_span(
     with many spans and many events stays linear.
     """
     number = F.lit(0).cast("decimal(38,0)")
+    keys, ids = [key] if isinstance(key, str) else key, [span_id] if isinstance(span_id, str) else span_id
+    span = F.struct(*ids)
     marks = spans.select(
-        F.col(key),
+        *keys,
         F.explode(
             F.array(
                 F.struct(F.col(start).alias("at"), F.when(F.col(exclusive), 2).otherwise(0).alias("rank"), F.lit(-1).alias("sign")),
                 F.struct(F.col(end).alias("at"), F.lit(2).alias("rank"), F.lit(1).alias("sign")),
             )
         ).alias("m"),
-        F.col(span_id).alias("_span"),
-    ).select(key, "m.at", "m.rank", "m.sign", "_span", number.alias("_amount"))
+        span.alias("_span"),
+    ).select(*keys, "m.at", "m.rank", "m.sign", "_span", number.alias("_amount"))
     points = events.select(
-        F.col(key),
+        *keys,
         F.col(ts).alias("at"),
         F.lit(1).alias("rank"),
         F.lit(0).alias("sign"),
-        F.lit(None).cast(spans.schema[span_id].dataType).alias("_span"),
+        F.lit(None).cast(spans.select(span.alias("s")).schema["s"].dataType).alias("_span"),
         F.col(amount).cast("decimal(38,0)").alias("_amount"),
     )
-    line = running_sum(marks.unionByName(points), "_amount", "at", [key], "_run", width, ["rank"])
+    line = running_sum(marks.unionByName(points), "_amount", "at", keys, "_run", width, ["rank"])
     sums = line.where("sign <> 0").groupBy("_span").agg(F.sum(F.col("_run") * F.col("sign")).cast("decimal(38,0)").alias(out))
-    return spans.join(sums.withColumnRenamed("_span", span_id), span_id, "left")
+    return spans.join(sums.select("_span.*", out), ids, "left")
 
 
-def lookup_first(df: DataFrame, sources: list[DataFrame], key: str, col: str, out: str | None = None) -> DataFrame:
+def lookup_first(df: DataFrame, sources: list[DataFrame], key: str | list[str], col: str, out: str | None = None) -> DataFrame:
     """``col`` from the first source that has the key; every source is reduced to one row per key."""
-    names = []
+    names, key = [], [key] if isinstance(key, str) else key
     for i, source in enumerate(sources):
         name = f"_{col}_{i}"
-        df = df.join(source.groupBy(key).agg(F.min(col).alias(name)), key, "left")
+        df = df.join(source.groupBy(*key).agg(F.min(col).alias(name)), key, "left")
         names.append(name)
     return df.withColumn(out or col, F.coalesce(*names)).drop(*names)
 

@@ -53,8 +53,14 @@ def _now(as_of) -> Column:
 # --- platform overview -------------------------------------------------------------------
 
 
-def platform_stats(state: DataFrame, subnets: DataFrame, txs: DataFrame, fees: DataFrame, as_of) -> DataFrame:
+def _platform(df: DataFrame, p_chain_id: int | None) -> DataFrame:
+    """Rows of one platform chain, or all of them."""
+    return df if p_chain_id is None else df.where(F.col("p_chain_id") == p_chain_id)
+
+
+def platform_stats(state: DataFrame, subnets: DataFrame, txs: DataFrame, fees: DataFrame, as_of, p_chain_id: int | None = None) -> DataFrame:
     """Six global numbers in one row."""
+    state, subnets, txs, fees = (_platform(df, p_chain_id) for df in (state, subnets, txs, fees))
     recent = since(txs, "block_time", "7 DAY", as_of)
     return scalars(
         active_l1_subnets=_wide(active_by_type(state, subnets, ["l1"])),
@@ -81,8 +87,8 @@ def conversion_timeline(subnets: DataFrame) -> DataFrame:
     return running_sum(months, "n", "period", [], "value").select("period", "value").orderBy("period")
 
 
-def tx_type_activity(txs: DataFrame, as_of, days: int = 30, k: int = 10) -> DataFrame:
-    counted = since(txs, "block_time", f"{days} DAY", as_of).groupBy("tx_type").agg(F.count("*").alias("count"))
+def tx_type_activity(txs: DataFrame, as_of, days: int = 30, k: int = 10, p_chain_id: int | None = None) -> DataFrame:
+    counted = since(_platform(txs, p_chain_id), "block_time", f"{days} DAY", as_of).groupBy("tx_type").agg(F.count("*").alias("count"))
     return top_k(counted, "count", k, ["tx_type"])
 
 
@@ -112,8 +118,8 @@ def subnet_table(subnets: DataFrame, registry: DataFrame, state: DataFrame, fees
     return rank_order(out, "subnet_type", TYPE_ORDER, [F.desc("validator_count"), F.desc("created_time"), F.asc("subnet_id")])
 
 
-def recent_blocks(txs: DataFrame, as_of, k: int = 8) -> DataFrame:
-    recent = since(txs, "block_time", "1 DAY", as_of)
+def recent_blocks(txs: DataFrame, as_of, k: int = 8, p_chain_id: int | None = None) -> DataFrame:
+    recent = since(_platform(txs, p_chain_id), "block_time", "1 DAY", as_of)
     blocks = recent.groupBy("block_number").agg(
         epoch_seconds(F.max("block_time")).alias("timestamp"),
         F.count("*").alias("tx_count"),
@@ -122,8 +128,8 @@ def recent_blocks(txs: DataFrame, as_of, k: int = 8) -> DataFrame:
     return top_k(blocks, "block_number", k)
 
 
-def recent_txs(txs: DataFrame, as_of, k: int = 8) -> DataFrame:
-    rows = top_k(since(txs, "block_time", "1 DAY", as_of).select("tx_id", "tx_type", "block_time", "block_number"), "block_time", k, ["tx_id"])
+def recent_txs(txs: DataFrame, as_of, k: int = 8, p_chain_id: int | None = None) -> DataFrame:
+    rows = top_k(since(_platform(txs, p_chain_id), "block_time", "1 DAY", as_of).select("tx_id", "tx_type", "block_time", "block_number"), "block_time", k, ["tx_id"])
     return rows.select("tx_id", "tx_type", fmt_time("block_time", ISO_PATTERN).alias("formatted_time"), "block_number")
 
 

@@ -96,6 +96,10 @@ class WatermarkStore:
     def sync_set(self, chain_id: int, block_number: int) -> None:
         self.set(chain_id, SYNC, "", None, block_number)
 
+    def sync_reset(self, chain_id: int) -> None:
+        """Forget how far a chain was synced."""
+        self.set(chain_id, SYNC)
+
     def resume_at(self, chain_id: int, start: int = 1) -> int:
         """First block still to sync."""
         last = self.sync_get(chain_id)

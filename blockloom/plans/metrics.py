@@ -208,10 +208,12 @@ def cumulative_first_seen(seen: DataFrame, granularity: str, first=None, by=("ch
 def cumulative_from_metric(metrics: DataFrame, name: str, granularity: str, first=None, last=None, out: str | None = None) -> DataFrame:
     """Extend a stored cumulative metric: its last value before ``first`` plus the running sum of the regular one.
 
-    ``name`` is the regular metric; the cumulative one is cumulative_<name>.
+    ``name`` is the regular metric; the cumulative one is cumulative_<name>.  Of periods stored more than once the newest counts.
     """
     out = out or f"cumulative_{name}"
-    current = metrics.where(F.col("granularity") == granularity)
+    current = metrics.where((F.col("granularity") == granularity) & F.col("metric_name").isin(name, out))
+    if "computed_at" in current.columns:
+        current = current_metrics(current)
     base = current.where(F.col("metric_name") == out)
     base = base.where(F.col("period") < F.lit(first)) if first is not None else base.where(F.lit(False))
     base = base.groupBy("chain_id").agg(F.max("value").alias("_base"))

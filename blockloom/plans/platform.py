@@ -154,8 +154,8 @@ def subnet_chains(txs: DataFrame, as_of=None) -> DataFrame:
 def validator_history(txs: DataFrame, registrations: DataFrame | None = None, as_of=None) -> DataFrame:
     """Every L1 validator from its creation: conversion lists and register transactions.
 
-    ``registrations`` holds the decoded register messages by tx_id: subnet_id, node_id,
-    validation_id, weight, bls_public_key, owner_addresses.
+    ``registrations`` holds the decoded register messages by tx_id, and p_chain_id where it has several: subnet_id,
+    node_id, validation_id, weight, bls_public_key, owner_addresses.
     """
     v = lambda path, kind="string": F.try_variant_get("validator", f"$.{path}", kind)
     listed = explode_validators(_of_type(txs, "ConvertSubnetToL1")).select(
@@ -174,7 +174,8 @@ def validator_history(txs: DataFrame, registrations: DataFrame | None = None, as
     )
     out = listed.where(F.coalesce("node_id", F.lit("")) != "")
     if registrations is not None:
-        registered = _of_type(txs, "RegisterL1Validator").join(registrations, "tx_id").select(
+        keys = [c for c in ("p_chain_id", "tx_id") if c in registrations.columns]
+        registered = _of_type(txs, "RegisterL1Validator").join(registrations, keys).select(
             "subnet_id", "node_id", "validation_id", F.col("tx_id").alias("created_tx_id"), F.col("tx_type").alias("created_tx_type"),
             F.col("block_number").alias("created_block"), F.col("block_time").alias("created_time"),
             to_uint_or_zero(json_field("tx_data", "balance")).alias("initial_balance"), F.col("weight").cast(UINT).alias("initial_weight"),
@@ -243,13 +244,14 @@ def refunds(txs: DataFrame, ledger: DataFrame, history: DataFrame, state: DataFr
         "tx_id", json_field("tx_data", "validationID").alias("validation_id"), "block_number", "block_time", "p_chain_id"
     )
     spans = previous_event(disables, ["p_chain_id", "validation_id"], "block_time", "previous", width=86400)
-    facts = history.groupBy("validation_id").agg(
+    keys = ["p_chain_id", "validation_id"]
+    facts = history.groupBy(*keys).agg(
         F.min_by(F.struct("subnet_id", "remaining_balance_owner", "created_time"), F.struct("created_block", "created_tx_id")).alias("h")
     )
-    known = state.groupBy("validation_id").agg(F.min("subnet_id").alias("state_subnet"), F.min("start_time").alias("state_start"))
+    known = state.groupBy(*keys).agg(F.min("subnet_id").alias("state_subnet"), F.min("start_time").alias("state_start"))
     spans = (
-        spans.join(facts, "validation_id", "left")
-        .join(known, "validation_id", "left")
+        spans.join(facts, keys, "left")
+        .join(known, keys, "left")
         .select(
             "tx_id", "validation_id", "p_chain_id", "block_number", "block_time",
             F.coalesce("h.subnet_id", "state_subnet").alias("subnet_id"),
@@ -260,7 +262,7 @@ def refunds(txs: DataFrame, ledger: DataFrame, history: DataFrame, state: DataFr
         )
         .where("subnet_id is not null and start_time is not null")
     )
-    summed = sum_in_span(spans, ledger, "validation_id", "tx_id", out="deposits", width=86400)
+    summed = sum_in_span(spans, ledger, keys, ["p_chain_id", "tx_id"], out="deposits", width=86400)
     seconds = F.greatest(F.unix_timestamp("end_time") - F.unix_timestamp("start_time"), F.lit(0))
     refund = F.greatest(F.col("deposits") - (seconds * rate).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
     return (
@@ -364,5 +366,6 @@ def run_platform_cycle(
 
 def subnet_of_validation(rows: DataFrame, history: DataFrame, state: DataFrame) -> DataFrame:
     """Subnet id of a validation id, from history first, then from state."""
-    return lookup_first(rows, [history, state], "validation_id", "subnet_id")
+    keys = [c for c in ("p_chain_id", "validation_id") if c in rows.columns]
+    return lookup_first(rows, [history, state], keys, "subnet_id")
 

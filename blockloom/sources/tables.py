@@ -89,8 +89,13 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(jpath, True)
 
 
-def purge_chain(spark: SparkSession, root: str, chain_id: int, tables=tuple(RAW_LAYOUT)) -> list[str]:
-    """Delete one chain's partitions of the raw tables; returns the folders deleted."""
+def purge_chain(spark: SparkSession, root: str, chain_id: int, tables=tuple(RAW_LAYOUT), marks=None) -> list[str]:
+    """Delete one chain's partitions of the raw tables; returns the folders deleted.
+
+    ``marks`` is the store of the chain's sync watermark, which is reset first, so that a resumed sync starts anew.
+    """
+    if marks is not None:
+        marks.sync_reset(chain_id)
     gone = []
     for table in tables:
         path = f"{root}/{table}/chain_id={int(chain_id)}"

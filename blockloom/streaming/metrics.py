@@ -8,15 +8,16 @@ micro-batch from the stored raw tables.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blockloom.constants import GRANULARITIES
 from blockloom.functions.periods import floor_period, following_period, period_seconds, utc_lit, utc_text, utc_time
 from blockloom.functions.text import trunc_div
 from blockloom.plans.indexer import WatermarkStore, run_granular
-from blockloom.plans.metrics import SPECS, VALUE, MetricSpec, addresses, measure_sum, metric_batch
+from blockloom.plans.metrics import SPECS, SERIES, VALUE, MetricSpec, addresses, current_metrics, measure_sum, metric_batch
 from blockloom.sources.tables import RAW_LAYOUT, path_exists, read_table
 
 # Window lengths; the week starts on Sunday, three days after the epoch's Thursday.
@@ -83,15 +84,46 @@ def update_metrics(spark: SparkSession, root: str, chain_id: int, names: list[st
 
 
 def recompute_late(spark: SparkSession, root: str, chain_id: int, low: datetime, high: datetime, names: list[str] | None = None) -> None:
-    """Recompute the periods between two times, after late blocks arrived there; newer versions replace the old."""
+    """Recompute the periods between two times, after late blocks arrived there; newer versions replace the old.
+
+    Cumulative metrics are recomputed from there on for all periods stored, since late rows raise every later value.
+    """
     tables = raw_views(spark, root)
+    wanted = [n for n in (names or SPECS) if SPECS[n].source in tables]
+    running = [n for n in wanted if SPECS[n].kind.startswith("cumulative")]
+    bounded = [n for n in wanted if n not in running]
     for granularity in GRANULARITIES:
         first, end = floor_period(low, granularity), following_period(high, granularity)
-        series = metric_batch(tables, names, chain_id, utc_lit(first), utc_lit(end), grains=(granularity,))
-        out = series.withColumn("computed_at", F.current_timestamp())
+        parts = []
+        if bounded:
+            parts.append(metric_batch(tables, bounded, chain_id, utc_lit(first), utc_lit(end), grains=(granularity,)))
+        if running:
+            onward = metric_batch(tables, running, chain_id, utc_lit(first), grains=(granularity,))
+            parts.append(_for_stored(onward, root, utc_lit(first), utc_lit(end)))
+        if not parts:
+            return
+        out = reduce(DataFrame.unionByName, parts).withColumn("computed_at", F.current_timestamp())
         out.write.mode("append").partitionBy("chain_id", "granularity").parquet(f"{root}/metrics")
 
 
+def _for_stored(onward: DataFrame, root: str, first: Column, end: Column) -> DataFrame:
+    """Cumulative values of the periods before ``end`` and of all later ones that are stored.
+
+    A stored period may have no row of its own any more, if what was new in it now appears earlier; it has the value of
+    the period before.
+    """
+    spark, keys = onward.sparkSession, ["chain_id", "metric_name", "granularity"]
+    here = onward.withColumn("wanted", F.col("period") < end)
+    if path_exists(spark, f"{root}/metrics"):
+        series = onward.select(*keys).distinct()
+        stored = spark.read.parquet(f"{root}/metrics").join(series, keys, "left_semi").where(F.col("period") >= first)
+        stored = current_metrics(stored.withColumn("chain_id", F.col("chain_id").cast(onward.schema["chain_id"].dataType)))
+        here = here.unionByName(stored.select(*keys, "period", F.lit(None).cast(VALUE).alias("value"), F.lit(True).alias("wanted")))
+    by_period = here.groupBy(*keys, "period").agg(F.max("value").alias("value"), F.max("wanted").alias("wanted"))
+    so_far = Window.partitionBy(*keys).orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return by_period.withColumn("value", F.max("value").over(so_far)).where("wanted AND value IS NOT NULL").select(*SERIES)
+
+
 # --- first appearances -------------------------------------------------------------------
 
 SHARDS = 256

@@ -209,3 +209,42 @@ def test_search_text_routes():
     from blockloom.plans.dashboards import lookup
 
     assert lookup(" 42 ") == ("block", 42) and lookup("4x") == ("tx", "4x")
+
+
+def test_late_rows_raise_all_later_cumulative_values(spark, tmp_path):
+    from blockloom.sources.tables import write_raw
+
+    root, a, b, c = str(tmp_path), bytes([1] * 20), bytes([2] * 20), bytes([3] * 20)
+
+    def write(*rows):
+        data = spark.createDataFrame([(1, t, n, 0, f, f, True, "CALL") for t, n, f in rows], "chain_id bigint, t string, block_number bigint, transaction_index int, `from` binary, `to` binary, tx_success boolean, call_type string")
+        write_raw(data.withColumn("block_time", F.to_timestamp("t")).withColumn("block_date", F.to_date("block_time")).drop("t"), root, "raw_traces")
+
+    write(("2024-01-01 10:00:00", 1, a), ("2024-01-02 10:00:00", 2, b), ("2024-01-03 10:00:00", 3, a))
+    write_series = M.metric_batch(T.raw_views(spark, root), ["cumulative_addresses"], 1, grains=("day",)).withColumn("computed_at", F.to_timestamp(F.lit("2024-01-04")))
+    write_series.write.partitionBy("chain_id", "granularity").parquet(f"{root}/metrics")
+    write(("2024-01-01 11:00:00", 4, b), ("2024-01-01 11:00:00", 4, c))  # what was new on the second day is now of the first
+    late = datetime(2024, 1, 1, 11)
+    T.recompute_late(spark, root, 1, late, late, ["cumulative_addresses"])
+    days = M.current_metrics(spark.read.parquet(f"{root}/metrics")).where("granularity = 'day'").orderBy("period").collect()
+    assert [int(r.value) for r in days] == [3, 3]
+
+
+def test_cumulative_from_stored_values_takes_the_newest(spark):
+    rows = [(1, "tx_count", "day", d, v, at) for d, v, at in (("2024-01-01", 9, 1), ("2024-01-01", 10, 2), ("2024-01-02", 5, 1))]
+    stored = spark.createDataFrame(rows, "chain_id bigint, metric_name string, granularity string, d string, value bigint, at bigint")
+    stored = stored.withColumns({"period": F.to_timestamp("d"), "computed_at": F.timestamp_seconds("at"), "value": F.col("value").cast(M.VALUE)}).drop("d", "at")
+    assert [int(r.value) for r in M.cumulative_from_metric(stored, "tx_count", "day").orderBy("period").collect()] == [10, 15]
+
+
+def test_spans_of_two_platform_chains_stay_apart(spark):
+    from blockloom.operators.joins import lookup_first, sum_in_span
+
+    at = lambda s: F.timestamp_seconds(s)
+    spans = spark.createDataFrame([(1, "v", "t", 0, 9), (2, "v", "t", 0, 9)], "p bigint, v string, tx string, a bigint, b bigint")
+    spans = spans.withColumns({"start_time": at("a"), "end_time": at("b"), "start_exclusive": F.lit(False)})
+    events = spark.createDataFrame([(1, "v", 5, 7), (2, "v", 5, 11)], "p bigint, v string, s bigint, amount bigint").withColumn("block_time", at("s"))
+    got = {r.p: int(r.total) for r in sum_in_span(spans, events, ["p", "v"], ["p", "tx"]).collect()}
+    assert got == {1: 7, 2: 11}
+    found = lookup_first(spans.select("p", "v"), [events.select("p", "v", F.col("amount").alias("x"))], ["p", "v"], "x")
+    assert {r.p: r.x for r in found.collect()} == got
