@@ -189,6 +189,34 @@ def test_line_dedup_edges(spark, edge):
     assert line_dedup.dedup_lines(edge.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("token_rows", [50_000, 20])
+def test_line_dedup_is_brute_force(spark, monkeypatch, token_rows):
+    """Families of near lines over few words, so that tokens are of many classes; a low limit deals tokens over tasks."""
+    monkeypatch.setattr(line_dedup, "TOKEN_ROWS", token_rows)
+    draw = random.Random(7)
+    bases = [[f"w{draw.randrange(60)}" for _ in range(draw.randint(12, 40))] for _ in range(12)]
+
+    def line():
+        own = list(draw.choice(bases))
+        for _ in range(draw.randint(0, 3)):
+            own[draw.randrange(len(own))] = f"w{draw.randrange(60)}"
+        return draw.choice([" ", "\t", "  "]).join(own[: draw.randint(len(own) - 2, len(own))])
+
+    texts = {i: "\n".join([line() for _ in range(4)] + [""]) for i in range(60)}
+    seen, expected = [], {}
+    for i, t in texts.items():
+        stay = []
+        for own in t.split("\n"):
+            words = set(own.split())
+            if not words or not any(100 * len(words & w) >= 90 * len(words | w) for w in seen):
+                stay.append(own)
+            if words:
+                seen.append(words)
+        expected[i] = "\n".join(stay)
+    got = line_dedup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"))
+    assert {r.doc_id: r.text for r in got.collect()} == expected
+
+
 def _groups(texts, percent=75, size=5):
     sets = {}
     for i, t in texts.items():
