@@ -3,10 +3,13 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter
 
 import duckdb
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from oracle import compare
@@ -123,6 +126,35 @@ def test_licenses_by_line_and_inheritance(spark, edge):
     assert licenses.scan_licenses(edge.withColumnRenamed("token", "path")).count() == len(EDGE)
 
 
+def test_licenses_wrapped_over_lines(spark, monkeypatch):
+    def wrapped(text, width, mark="", top="", end="code here\nmore code\n" * 30):
+        return top + "".join(f"{mark}{x}\n" for x in textwrap.wrap(text, width)) + end
+
+    sentence = licenses.TEMPLATES["GPL-3.0"][1]
+    cases = []
+    for name, texts in licenses.NOTICES.items():
+        cases += [(name, wrapped(texts[0], 70, " * ", "/*\n * Copyright (C) 2020 Some Body.\n * All rights reserved.\n *\n")), (name, wrapped(texts[-1], 58, "# ", "x = 1\n" * 300))]
+    cases += [("GPL-3.0", wrapped(sentence, 60, "// ")), ("MPL-2.0", wrapped(licenses.TEMPLATES["MPL-2.0"][0], 30, "; ")), (None, "code here\nnothing to see\n" * 50)]
+    rows = [(i, f"d{i}/x.py", text) for i, (_, text) in enumerate(cases)]
+    rows += [(50, "gnu/COPYING", wrapped(licenses.NOTICES["GPL-2.0"][1], 70, "   ", end="terms of the license and conditions for all\n" * 200))]
+    filler = [(100 + i, f"other/{i}.txt", f"the and of to license work under {i} reserved for all") for i in range(300)]
+    docs = spark.createDataFrame(rows + filler, "doc_id bigint, path string, text string")
+    got = by_id(licenses.scan_licenses(docs))
+    assert [got[i].own_license for i in range(len(cases))] == [name for name, _ in cases]
+    assert got[50].own_license == "GPL-2.0" and got[1].line == 300
+    # a notice over the edge of two parts of a long text
+    long = "plain words here\n" * 600
+    for at in range(0, 30, 3):
+        text = "x\n" * at + long[: 2 * 17 * 60] + wrapped(sentence, 40, "# ", end=long)
+        scanner = licenses.Scanner(np.zeros(1 << 18, np.int64), 1000, (licenses.NOTICES, licenses.TEMPLATES), licenses.MIN_COSINE)
+        batch = pa.RecordBatch.from_pydict({"id": [1], "path": ["a"], "license_file": [False], "text": [text]})
+        one = scanner.scan(batch).to_pylist()[0]
+        with monkeypatch.context() as m:
+            m.setattr(licenses, "SLICE_BYTES", 512)
+            m.setattr(words, "SLICE_BYTES", 512)
+            assert scanner.scan(batch).to_pylist()[0] == one and one["own_license"] == "GPL-3.0" and one["line"] == at + 120
+
+
 def test_bpe_is_the_librarys_and_round_trips(docs, edge, texts):
     ranks = bpe.ranks_of(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     own = bpe.encoder(ranks, public_tokenizers.PATTERN)
