@@ -2,17 +2,22 @@
 
 For language l the posterior is, up to a factor, ``p(l | host) * p(declared | l) * exp(tempered text log-likelihood)``:
 
-- the text model holds shares of byte trigrams (in ``CELLS`` cells of a hash) by language, trained on at most
-  ``SAMPLE`` documents with a declared language, those with the least hash of their id;
+- the text model holds shares of byte trigrams (in ``CELLS`` cells of a hash) by language, trained for each declared
+  language on its documents with the least hashes of their id: all of them up to ``SAMPLE``, about as many beyond.  So
+  every language that documents with a trigram declare has a model, however small its share;
+- a text may be of a language outside the model, with a prior of ``OTHER``: its trigrams are then dealt half as in the
+  mean of all languages and half evenly, which is likelier than any language as soon as much of the text is strange to all;
 - the log-likelihood of a text is tempered to that of ``WEIGHT`` trigrams, so that text, of which neighbouring trigrams
   tell much the same, doesn't drown the other evidence;
 - ``p(declared | l)`` comes from counts of declared against text-only decisions over all documents, and so learns how far
-  declarations can be trusted; a missing declaration is no evidence;
+  declarations can be trusted, each declaration by a table joined to the documents; outside the model declarations are
+  as frequent as overall; a missing declaration is no evidence.  Text-only decisions for no language are not counted;
 - host priors are counts of text-only decisions, smoothed to the host's address suffix and that to all documents, each
   with ``STRENGTH`` imagined documents.  They come from one grouped aggregation with partial sums, so a host with a third
   of all rows costs no more than others, and reach the documents by a join of checked size.
 
-A document is rejected if it has no trigram (null, empty, one or two bytes) or if no language reaches ``MIN_POSTERIOR``.
+A document is rejected if it has no trigram (null, empty, one or two bytes) or if no language reaches ``MIN_POSTERIOR``
+of the posterior, of which what lies outside the model has its part; the language then is only the likeliest of the model.
 Ties between languages go to the first by name.  A null or unknown declaration or host counts as missing.
 """
 
@@ -25,19 +30,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.tables import Carried, each_batch, join_small, pick
+from blockloom.llm.tables import Carried, each_batch, join_small, pick, stored
 from blockloom.llm.words import _LOWER_CODE, mix, raw, slices
 
 BITS = 13
 CELLS = 1 << BITS
 SAMPLE = 4000
-MIN_SAMPLE = 10
-MAX_DECLARED = 1000
 #: Imagined trigrams with the shares of all languages together, added to each one's own.
 SMOOTHING = 4000.0
 WEIGHT = 60.0
 STRENGTH = 20.0
 MIN_POSTERIOR = 0.5
+OTHER = 0.01
 PIECE = 1 << 18
 
 
@@ -71,57 +75,74 @@ def _trigrams(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, np.ndarray] = {}
-    docs: dict[str, int] = {}
     for batch in batches:
         langs = batch["lang"].to_pylist()
-        for x in langs:
-            docs[x] = docs.get(x, 0) + 1
         for at, owner, cells in _trigrams(batch["text"]):
             for i in np.unique(owner):
                 got = np.bincount(cells[owner == i], minlength=CELLS)
                 name = langs[at + i]
                 held[name] = held[name] + got if name in held else got
-    for k, n in docs.items():
-        yield pa.RecordBatch.from_pydict({"lang": [k], "docs": [n], "counts": pa.array([held.get(k, np.zeros(CELLS, np.int64)).astype(np.int64).tobytes()], pa.binary())})
+        if len(held) > 256:
+            yield _counts(held)
+            held.clear()
+    if held:
+        yield _counts(held)
+
+
+def _counts(held: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"lang": pa.array(list(held), pa.string()), "counts": pa.array([v.astype(np.int64).tobytes() for v in held.values()], pa.binary())})
+
+
+def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[str, np.ndarray] = {}
+    for batch in batches:
+        for k, blob in zip(batch["lang"].to_pylist(), batch["counts"].to_pylist()):
+            got = np.frombuffer(blob, np.int64)
+            held[k] = held[k] + got if k in held else got
+    if held:
+        yield _counts(held)
 
 
 class Model:
-    """Log shares of the trigram cells by language, fitted on a bounded sample."""
+    """Log shares of the trigram cells by language, fitted on a bounded sample of each, and outside all of them."""
 
     def __init__(self, languages: list[str], logs: np.ndarray):
         self.languages, self.logs = languages, logs
+        self.other = np.log(0.5 / CELLS + np.exp(logs).sum(axis=0) / (2 * max(len(languages), 1)))
 
     @staticmethod
-    def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", declared: str = "lang", sample: int = SAMPLE, min_sample: int = MIN_SAMPLE) -> Model:
-        rows = pick(docs, id=id, text=text, lang=declared).where("lang IS NOT NULL AND lang <> '' AND text IS NOT NULL")
-        least = rows.select(F.xxhash64("id").alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-        if least is None:
+    def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", declared: str = "lang", sample: int = SAMPLE) -> Model:
+        rows = pick(docs, id=id, text=text, lang=declared).select(F.col("lang").cast("string"), F.col("text").cast("string"), F.xxhash64("id").alias("h"))
+        rows = rows.where("lang <> '' AND octet_length(text) >= 3")
+        # hashes are even over 64 bits, so a share of them is that share of the documents; the least is always in, whatever repeats
+        bounds = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least"))
+        share = (F.lit(-(2.0**63)) + F.lit(2.0**64) * sample / F.col("n")).cast("bigint")
+        bounds = bounds.select("lang", F.when(F.col("n") <= sample, F.lit((1 << 63) - 1)).otherwise(F.greatest("least", share)).alias("bound"))
+        chosen = join_small(rows, bounds, "lang").where("h <= bound").select("lang", "text")
+        schema = "lang string, counts binary"
+        sums = {}
+        for r in chosen.mapInArrow(_trained, schema).repartition("lang").mapInArrow(_sum, schema).toLocalIterator():  # one row a language
+            sums[r["lang"]] = np.frombuffer(r["counts"], np.int64)
+        languages = sorted(sums)
+        if not languages:
             return Model([], np.zeros((0, CELLS)))
-        # bound of the sample: documents up to the sample-th least hash; ties are the same id repeated
-        chosen = rows.where(F.xxhash64("id") <= F.lit(least)).select(F.col("lang").cast("string"), F.col("text").cast("string"))
-        sums: dict[str, np.ndarray] = {}
-        docs_of: dict[str, int] = {}
-        for r in chosen.mapInArrow(_trained, "lang string, docs bigint, counts binary").toLocalIterator():
-            sums[r["lang"]] = sums.get(r["lang"], 0) + np.frombuffer(r["counts"], np.int64)
-            docs_of[r["lang"]] = docs_of.get(r["lang"], 0) + r["docs"]
-        languages = sorted(k for k in sums if docs_of[k] >= min(min_sample, max(docs_of.values())))
-        counts = np.array([sums[k] for k in languages], float).reshape(-1, CELLS)
+        counts = np.array([sums[k] for k in languages], float)
         pooled = counts.sum(axis=0) + 0.5
         counts += SMOOTHING * pooled / pooled.sum()
         return Model(languages, np.log(counts / counts.sum(axis=1, keepdims=True)))
 
     def scores(self, column: pa.Array, weight: float) -> tuple[np.ndarray, np.ndarray]:
-        """Tempered log-likelihoods (texts x languages) and the number of trigrams of each text."""
-        n, k = len(column), len(self.languages)
-        total, grams = np.zeros((n, k)), np.zeros(n, np.int64)
+        """Tempered log-likelihoods (texts x languages, and outside the model last) and the number of trigrams of each text."""
+        n, logs = len(column), [*self.logs, self.other]
+        total, grams = np.zeros((n, len(logs))), np.zeros(n, np.int64)
         for at, owner, cells in _trigrams(column):
             if not len(owner):
                 continue
             starts = np.flatnonzero(np.diff(owner, prepend=-1))
             who = at + owner[starts]
             grams[who] += np.diff(np.append(starts, len(owner)))
-            for j in range(k):
-                total[who, j] += np.add.reduceat(self.logs[j][cells], starts)
+            for j, shares in enumerate(logs):
+                total[who, j] += np.add.reduceat(shares[cells], starts)
         return total * np.minimum(1, weight / np.maximum(grams, 1))[:, None], grams
 
 
@@ -129,25 +150,27 @@ def _text_only(model: Model, weight: float):
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         scores, grams = model.scores(batch["text"], weight)
         best = scores.argmax(axis=1)
+        told = (grams > 0) & (best < len(model.languages))
         return pa.RecordBatch.from_pydict(
-            {"host": batch["host"], "suffix": batch["suffix"], "declared": batch["declared"], "best": pa.array(np.where(grams > 0, best, -1), pa.int32())},
+            {"host": batch["host"], "suffix": batch["suffix"], "declared": batch["declared"], "best": pa.array(np.where(told, best, -1), pa.int32())},
         )
 
     return each_batch(work)
 
 
-def _fused(model: Model, weight: float, declared: dict[str, np.ndarray], overall: np.ndarray, least: float, kind: str):
+def _fused(model: Model, weight: float, overall: np.ndarray, least: float):
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         scores, grams = model.scores(batch["text"], weight)
-        none = np.zeros(len(model.languages))
-        if kind:
-            prior = np.array([overall if p is None else p for p in batch["prior"].to_pylist()]).reshape(len(grams), -1)
-            said = np.array([declared.get(d, none) for d in batch["declared"].to_pylist()]).reshape(len(grams), -1)
-            scores = scores + np.log(prior) + said
+        none = np.zeros(len(model.languages) + 1)
+        prior = np.array([overall if p is None else p for p in batch["prior"].to_pylist()]).reshape(len(grams), -1)
+        said = np.array([none if d is None else d for d in batch["said"].to_pylist()]).reshape(len(grams), -1)
+        scores = scores + said
+        scores[:, :-1] += np.log(prior) + np.log(1 - OTHER)
+        scores[:, -1] += np.log(OTHER)
         scores -= scores.max(axis=1, keepdims=True)
         odds = np.exp(scores)
         odds /= odds.sum(axis=1, keepdims=True)
-        best = odds.argmax(axis=1)
+        best = odds[:, :-1].argmax(axis=1)
         top = odds[np.arange(len(best)), best]
         kept = (grams > 0) & (top >= least)
         names = pa.array(model.languages, pa.string()).take(pa.array(best, pa.int64()))
@@ -187,30 +210,31 @@ def identify(
     small = rows.select("host", "suffix", "declared", "text").mapInArrow(_text_only(model, weight), "host string, suffix string, declared string, best int")
     cells = small.where("best >= 0").groupBy("host", "suffix", "declared", "best").agg(F.count("*").alias("n"))
     by_host, by_declared, overall = _evidence(cells, count, strength)
-    rows = join_small(rows, by_host, "host")
-    work = _fused(model, weight, by_declared, overall, min_posterior, "all")
+    rows = join_small(join_small(rows, by_host, "host"), by_declared, "declared")
+    work = _fused(model, weight, overall, min_posterior)
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in own)
-    out = rows.select(*own, "text", "declared", "prior").mapInArrow(work, f"{schema}, language string, posterior double, n_trigrams bigint, kept boolean")
+    out = rows.select(*own, "text", "prior", "said").mapInArrow(work, f"{schema}, language string, posterior double, n_trigrams bigint, kept boolean")
     return held.back(out, added=added)
 
 
-def _evidence(cells: DataFrame, count: int, strength: float) -> tuple[DataFrame, dict[str, np.ndarray], np.ndarray]:
-    """Smoothed priors (host, prior), log p(declared | language) by declaration, and the overall prior."""
-    from blockloom.llm.tables import stored
-
+def _evidence(cells: DataFrame, count: int, strength: float) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """Smoothed priors (host, prior), log p(declared | language) of every declaration (declared, said), and the overall prior."""
     cells = stored(cells)
     total = np.ones(count)
     for r in cells.groupBy("best").agg(F.sum("n").alias("n")).collect():  # one row a language
         total[r["best"]] += r["n"]
     overall = total / total.sum()
-    by = lambda *keys: cells.groupBy(*keys).agg(F.array(*[F.sum(F.when(F.col("best") == j, F.col("n")).otherwise(0)) for j in range(count)]).alias("c"))
+    add = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    dense = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda j: F.coalesce(F.try_element_at("m", j), F.lit(0).cast("bigint")))
+    pairs = F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("m")
+    by = lambda *keys: cells.groupBy(*keys, "best").agg(F.sum("n").alias("n")).groupBy(*keys).agg(pairs).select(*keys, dense.alias("c"))
     up = F.array(*[F.lit(float(x)) for x in overall])
-    smooth = lambda c, prior: F.zip_with(c, prior, lambda x, p: (x + strength * p) / (F.aggregate(c, F.lit(0).cast("bigint"), lambda a, b: a + b) + strength))
+    smooth = lambda c, prior: F.zip_with(c, prior, lambda x, p: (x + strength * p) / (add(c) + strength))
     suffix = by("suffix").select("suffix", smooth(F.col("c"), up).alias("above"))
     hosts = by("host", "suffix").join(suffix, "suffix").select("host", smooth(F.col("c"), F.col("above")).alias("prior"))
-    # a declaration that few documents make says little; the most frequent are all that have a table of their own
-    top = by("declared").where("declared IS NOT NULL AND declared <> ''").withColumn("n", F.aggregate("c", F.lit(0).cast("bigint"), lambda a, b: a + b))
-    said = {r["declared"]: np.array(r["c"], float) for r in top.orderBy(F.desc("n"), "declared").limit(MAX_DECLARED).collect()}
-    kinds = max(len(said), 1)
-    declared = {k: np.log((v + 1) / (total + kinds)) for k, v in said.items()}
+    made = cells.where("declared <> ''").select("declared").distinct().count()
+    said = by("declared").where("declared <> ''")
+    totals = F.array(*[F.lit(float(x) + max(made, 1)) for x in total])
+    outside = F.log((add(F.col("c")) + 1) / F.lit(float(total.sum()) + max(made, 1)))
+    declared = said.select("declared", F.concat(F.zip_with("c", totals, lambda x, t: F.log((x + 1) / t)), F.array(outside)).alias("said"))
     return hosts, declared, overall

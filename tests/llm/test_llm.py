@@ -1,6 +1,7 @@
 """The corpus operators against plain Python, DuckDB and the public libraries, and their edge cases."""
 
 import hashlib
+import math
 import random
 import re
 import textwrap
@@ -211,6 +212,32 @@ def test_language(spark, docs, edge):
     assert language_id.identify(edge.limit(0)).count() == 0
 
 
+def test_language_of_small_share_and_outside_the_model(spark, docs, texts):
+    for small in ("de", "es"):
+        rare = docs.where(F.col("lang") == small).orderBy("doc_id").limit(4)
+        skewed = docs.where("lang = 'en' AND n_chars > 100").unionByName(rare.where("n_chars > 100"))
+        model = language_id.Model.fit(skewed, sample=60)
+        assert model.languages == sorted([small, "en"])
+        got = language_id.identify(skewed, model).collect()
+        assert sum(r.lang == r.language and r.kept for r in got) >= 0.95 * len(got) and all(r.language == small for r in got if r.lang == small)
+        known = language_id.Model.fit(docs.where(F.col("lang") != small))
+        assert small not in known.languages
+        blind = language_id.identify(docs.where("n_chars > 300"), known, declared=None, host=None).select("lang", "language", "kept").collect()
+        strange = [r.kept for r in blind if r.lang == small]
+        assert sum(strange) <= 0.1 * len(strange) and sum(r.kept for r in blind if r.lang != small) >= 0.97 * (len(blind) - len(strange))
+    one = spark.createDataFrame([(None, "one text of a language", "xx")] * 50, "doc_id bigint, text string, lang string")
+    assert language_id.Model.fit(one, sample=3).languages == ["xx"]
+
+
+def test_language_evidence_of_every_declaration(spark):
+    rows = [("h", "", f"d{i}", i % 2, 3 + i) for i in range(1200)]
+    _, declared, overall = language_id._evidence(spark.createDataFrame(rows, "host string, suffix string, declared string, best int, n bigint"), 2, 20.0)
+    got = {r.declared: r.said for r in declared.collect()}
+    total = [1 + sum(n for *_, b, n in rows if b == j) for j in (0, 1)]
+    assert len(got) == 1200 and overall == pytest.approx([t / sum(total) for t in total])
+    assert got["d0"] == pytest.approx([math.log(4 / (total[0] + 1200)), math.log(1 / (total[1] + 1200)), math.log(4 / (sum(total) + 1200))])
+
+
 def test_line_dedup_edges(spark, edge):
     out = line_dedup.dedup_lines(edge)
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "TEXT", "token", "kept", "n_lines", "n_removed"]
