@@ -6,8 +6,9 @@ One pass sums, for each language of the label column, a histogram of character c
 distance (root of the divergence in bits, 0 to 1) of both histograms.  Small samples diverge by chance by about
 (cells - 1) / (8 ln 2 length), which is taken off first, and below the minimum lengths a distance is not judged at all.
 
-References are kept for languages with at least a thousandth of all words (so at most 1000), others and a null label use
-the pooled reference.  Base rules fail a document with fewer than 50 words or with more than half of its words in repeated
+Every language with ``REFERENCE_WORDS`` words or more has a reference of its own, whatever its share: the ``HELD`` largest
+go to the tasks at once, those of further languages are a table of common cells that is joined to the documents by
+language.  Languages with fewer words and a null label use the pooled reference.  Base rules fail a document with fewer than 50 words or with more than half of its words in repeated
 3-word windows.  A null text has no words and fails; repeated rows are judged alike.
 """
 
@@ -20,12 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.tables import each_batch, pick
+from blockloom.llm.tables import each_batch, join_small, pick, stored
 from blockloom.llm.words import mix, pieces, raw, slices, span_hashes, spans, SLICE_BYTES
 
 WORD_CELLS = 1 << 12
 COMMON_SHARE = 0.002
-REFERENCE_SHARE = 0.001
+REFERENCE_WORDS = 1000
+HELD = 1000
+#: Languages beyond the held ones whose references (8 KB each at most) are broadcast; more are joined by salted keys.
+BROADCAST_REFERENCES = 4000
 POOLED = "*"
 #: Production thresholds and length guards.
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.285
@@ -167,22 +171,39 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each language of some weight and for POOLED: class shares, common word cells, shares of those cells and the rest."""
+Reference = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _reference(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(lang, words, chars, common, shares): class shares, common word cells, shares of those cells and the rest."""
+    out: dict[str, list] = {"chars": [], "common": [], "shares": []}
+    for blob in batch["counts"].to_pylist():
+        counts = np.frombuffer(blob, np.int64).astype(float)
+        chars, cells = counts[:CLASSES], counts[CLASSES:]
+        cells = cells / max(cells.sum(), 1)
+        common = np.flatnonzero(cells >= COMMON_SHARE)
+        out["chars"].append(chars / max(chars.sum(), 1))
+        out["common"].append(common.astype(np.int32))
+        out["shares"].append(np.append(cells[common], 1 - cells[common].sum()))
+    kinds = {"chars": pa.list_(pa.float64()), "common": pa.list_(pa.int32()), "shares": pa.list_(pa.float64())}
+    return pa.RecordBatch.from_pydict({"lang": batch["lang"], "words": batch["words"], **{c: pa.array(v, kinds[c]) for c, v in out.items()}})
+
+
+def references(docs: DataFrame, text: str = "text", lang: str = "lang", held: int = HELD) -> tuple[dict[str, Reference], DataFrame | None]:
+    """References of POOLED and the ``held`` largest languages, and a table (lang, reference) of the others, None if there are none."""
     schema = "lang string, words bigint, counts binary"
     docs = pick(docs, text=text, lang=lang).select(F.col("text").cast("string"), F.col("lang").cast("string"))
     sums = docs.mapInArrow(_histograms, schema).repartition("lang").mapInArrow(_sum, schema)
-    top = sums.orderBy(F.desc("words"), "lang").limit(int(1 / REFERENCE_SHARE) + 1).collect()
-    total = max((r["words"] for r in top if r["lang"] == POOLED), default=0)
-    out = {}
-    for r in top:
-        counts = np.frombuffer(r["counts"], np.int64).astype(float)
-        if r["lang"] == POOLED or r["words"] >= REFERENCE_SHARE * total:
-            chars, cells = counts[:CLASSES], counts[CLASSES:]
-            cells = cells / max(cells.sum(), 1)
-            common = np.flatnonzero(cells >= COMMON_SHARE)
-            out[r["lang"]] = (chars / max(chars.sum(), 1), common, np.append(cells[common], 1 - cells[common].sum()))
-    return out
+    sums = sums.where((F.col("lang") == POOLED) | (F.col("words") >= REFERENCE_WORDS))
+    table = stored(sums.mapInArrow(each_batch(_reference), "lang string, words bigint, chars array<double>, common array<int>, shares array<double>"))
+    order = [F.col("lang") != POOLED, F.desc("words"), F.col("lang")]
+    top = table.orderBy(*order).limit(held + 1).collect()
+    out = {r["lang"]: (np.array(r["chars"]), np.array(r["common"], np.int64), np.array(r["shares"])) for r in top}
+    if len(top) <= held:
+        return out, None
+    last = top[-1]
+    rest = table.where((F.col("lang") != POOLED) & ((F.col("words") < last["words"]) | ((F.col("words") == last["words"]) & (F.col("lang") > last["lang"]))))
+    return out, rest.select("lang", F.struct("chars", "common", "shares").alias("reference"))
 
 
 def _plogp(p: np.ndarray) -> np.ndarray:
@@ -202,15 +223,23 @@ def distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
 OUTPUT = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, char_distance double, word_distance double, kept boolean"
 
 
-def _judge(refs: dict, max_char: float, max_word: float, min_chars: int, min_words: int):
-    table = {}
-    for name, (chars, common, shares) in refs.items():
-        place = np.full(WORD_CELLS, len(common), np.int64)
-        place[common] = np.arange(len(common))
-        table[name] = (chars, place, shares)
+def _placed(chars: np.ndarray, common: np.ndarray, shares: np.ndarray) -> Reference:
+    place = np.full(WORD_CELLS, len(common), np.int64)
+    place[common] = np.arange(len(common))
+    return chars, place, shares
+
+
+def _judge(refs: dict[str, Reference], max_char: float, max_word: float, min_chars: int, min_words: int):
+    held = {name: _placed(*ref) for name, ref in refs.items()}
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         k = batch.num_rows
+        table = dict(held)
+        if "reference" in batch.schema.names:
+            for i, name in enumerate(batch["lang"].to_pylist()):
+                if name is not None and name not in table and batch["reference"][i].is_valid:
+                    ref = batch["reference"][i].as_py()
+                    table[name] = _placed(np.array(ref["chars"]), np.array(ref["common"], np.int64), np.array(ref["shares"]))
         langs = [x if x in table and x != POOLED else POOLED for x in batch["lang"].to_pylist()]
         got: dict[str, np.ndarray] = {c: np.zeros(k, np.int64) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
         char_d, word_d, n_chars = np.zeros(k), np.zeros(k), np.zeros(k, np.int64)
@@ -247,9 +276,13 @@ def quality(
     max_word: float = MAX_WORD_DISTANCE,
     min_chars: int = MIN_CHARS,
     min_words: int = MIN_WORDS,
+    held: int = HELD,
 ) -> DataFrame:
     """Base counts, distances and the verdict for every row of ``docs``."""
-    refs = references(docs, text, lang) or {POOLED: (np.full(CLASSES, 1 / CLASSES), np.zeros(0, np.int64), np.ones(1))}
+    refs, more = references(docs, text, lang, held)
+    refs = refs or {POOLED: (np.full(CLASSES, 1 / CLASSES), np.zeros(0, np.int64), np.ones(1))}
     rows = pick(docs, id=id, text=text, lang=lang).select("id", F.col("text").cast("string"), F.col("lang").cast("string"))
     kind = rows.schema["id"].dataType.simpleString()
+    if more is not None:
+        rows = join_small(rows, more, "lang", limit=BROADCAST_REFERENCES)
     return rows.mapInArrow(_judge(refs, max_char, max_word, min_chars, min_words), f"id {kind}, {OUTPUT}").withColumnRenamed("id", id)

@@ -96,6 +96,21 @@ def test_quality_base_counts_and_verdict(spark, folder, docs, edge, texts):
     assert quality_divergence.quality(edge.limit(0)).count() == 0
 
 
+def test_quality_of_a_language_of_small_share(spark, monkeypatch):
+    deal = random.Random(5)
+    latin = ["".join(deal.choices("abcdefgh", k=5)) for _ in range(80)]
+    greek = ["".join(deal.choices("αβγδεζηθ", k=5)) for _ in range(80)]
+    text = lambda of, n: " ".join(deal.choices(of, k=n))
+    rows = [(i, text(latin, 3000), "la") for i in range(900)] + [(i, text(greek, 250), "el") for i in range(900, 908)] + [(908, text(greek, 250), "la"), (909, text(greek, 250), None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert 8 * 250 < 0.001 * 900 * 3000
+    got = by_id(quality_divergence.quality(docs))
+    assert all(got[i].kept == (i < 908) for i in range(len(rows)))
+    for held, broadcast in ((1, 100), (1, 0), (0, 100)):
+        monkeypatch.setattr(quality_divergence, "BROADCAST_REFERENCES", broadcast)
+        assert by_id(quality_divergence.quality(docs, held=held)) == got
+
+
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_queries_with_sql(spark, folder, name):
     assert compare(queries.QUERIES[name](spark, folder), queries.ORACLES[name], folder) is None
