@@ -127,8 +127,41 @@ def u256_cmp(a, b) -> Column:
     return F.when(a < b, -1).when(a > b, 1).when(a == b, 0)
 
 
+def limb_sums(limbs: list[Column]) -> Column:
+    """Aggregate: the sum of each limb, not carried, so that a total may pass 256 bits; such sums can be summed again."""
+    return F.array(*[F.coalesce(F.sum(limb), F.lit(0).cast("bigint")) for limb in limbs])
+
+
+def _carried(sums: Column) -> Column:
+    """Limb sums, most significant first, as limbs of a number of up to 24 * (LIMBS + 2) bits."""
+    mask = F.lit(_MASK).cast("bigint")
+    start = F.struct(F.expr("cast(array() as array<bigint>)").alias("out"), F.lit(0).cast("bigint").alias("carry"))
+
+    def step(state, limb):
+        total = state["carry"] + limb
+        return F.struct(F.concat(F.array(total.bitwiseAND(mask)), state["out"]).alias("out"), F.shiftright(total, LIMB_BITS).alias("carry"))
+
+    zeros = F.array(*[F.lit(0).cast("bigint")] * 2)
+    return F.aggregate(F.concat(F.reverse(sums), zeros), start, step)["out"]
+
+
+def quotient_text(sums, divisor: int) -> Column:
+    """Exact decimal text of the whole quotient of limb sums by a constant."""
+    limbs = _carried(_col(sums))
+    for step in _steps(divisor):
+        limbs = _divided(limbs, step)
+    return _limbs_text(limbs)
+
+
 def u256_div(c, divisor: int) -> Column:
     """Whole quotient by a small constant; larger powers of ten divide in steps."""
+    limbs = F.array(*u256_limbs(c))
+    for step in _steps(divisor):
+        limbs = _divided(limbs, step)
+    return F.unhex(F.substring(F.array_join(F.transform(limbs, lambda x: F.lpad(F.hex(x), 6, "0")), ""), 3, 64))
+
+
+def _steps(divisor: int) -> list[int]:
     if divisor <= 0:
         raise ValueError("divisor must be positive")
     steps = []
@@ -140,11 +173,7 @@ def u256_div(c, divisor: int) -> Column:
             raise ValueError("divisor is too large and has no small factor")
         steps.append(factor)
         divisor //= factor
-    steps.append(divisor)
-    limbs = F.array(*u256_limbs(c))
-    for step in steps:
-        limbs = _divided(limbs, step)
-    return F.unhex(F.substring(F.array_join(F.transform(limbs, lambda x: F.lpad(F.hex(x), 6, "0")), ""), 3, 64))
+    return [*steps, divisor]
 
 
 def _divided(limbs: Column, divisor: int) -> Column:
@@ -178,6 +207,10 @@ def u256_to_text(c) -> Column:
 
 
 def _long_text(c) -> Column:
+    return F.when(_col(c).isNotNull(), _limbs_text(F.array(*u256_limbs(c))))
+
+
+def _limbs_text(limbs: Column) -> Column:
     base = F.lit(1 << LIMB_BITS).cast("bigint")
     ten = F.lit(_DIGIT).cast("bigint")
     zeros = F.array(*[F.lit(0).cast("bigint")] * _DIGITS)
@@ -196,10 +229,10 @@ def _long_text(c) -> Column:
 
         return F.aggregate(number, start, step)["out"]
 
-    number = F.aggregate(F.array(*u256_limbs(c)), zeros, absorb)
+    number = F.aggregate(limbs, zeros, absorb)
     text = F.array_join(F.transform(F.reverse(number), lambda d: F.lpad(d.cast("string"), 11, "0")), "")
     trimmed = F.regexp_replace(text, "^0+", "")
-    return F.when(_col(c).isNull(), F.lit(None)).when(trimmed == "", "0").otherwise(trimmed)
+    return F.when(trimmed == "", "0").otherwise(trimmed)
 
 
 def u256_to_double(c) -> Column:

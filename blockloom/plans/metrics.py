@@ -27,7 +27,7 @@ from blockloom.constants import (
 from blockloom.functions.hexes import byte_length, non_zero
 from blockloom.functions.periods import interval, next_period, period_seconds, period_start, range_preset, second_bucket
 from blockloom.functions.text import trunc_div
-from blockloom.functions.u256 import u256_div, u256_sum, u256_to_decimal
+from blockloom.functions.u256 import LIMBS, limb_sums, quotient_text, u256_limbs
 from blockloom.operators.filters import bytes_in, for_chain, in_time_range
 from blockloom.operators.versioned import latest_by_key
 from blockloom.operators.windows import running_sum
@@ -157,15 +157,18 @@ def metric(
 
 
 def token_volume(logs: DataFrame, token: str | None, decimals: int, granularity: str, signature: str = TRANSFER) -> DataFrame:
-    """Whole coins moved per chain and period; all tokens apart (column ``address``) if ``token`` is None."""
+    """Whole coins moved per chain and period; all tokens apart (column ``address``) if ``token`` is None.
+
+    The value is exact text: a sum of 256-bit amounts may pass the digits of a decimal, and 256 bits.
+    """
     df = logs.where(bytes_in("topic0", [signature]) & (byte_length("data") == 32))
     keys = ["chain_id", period_start("block_time", granularity).alias("period")]
     if token is None:
         keys.append("address")
     else:
         df = df.where(bytes_in("address", [token]))
-    out = df.groupBy(*keys).agg(u256_sum("data").alias("total"))
-    return out.withColumn("coins", u256_div("total", 10**decimals)).withColumn("value", u256_to_decimal("coins")).drop("total", "coins")
+    out = df.groupBy(*keys).agg(limb_sums(u256_limbs("data")).alias("total"))
+    return out.withColumn("value", quotient_text("total", 10**decimals)).drop("total")
 
 
 def cumulative_count(df: DataFrame, ts: str, granularity: str, first=None, last=None, keys=("chain_id",)) -> DataFrame:
@@ -337,12 +340,14 @@ def _batch_cumulative(df: DataFrame, spec: MetricSpec, grains: tuple[str, ...],
 
 
 def token_volume_batch(df: DataFrame, spec: MetricSpec, grains: tuple[str, ...]) -> DataFrame:
-    """Volume of one token at several granularities from one scan: hourly 256-bit sums, then sums of those."""
+    """Volume of one token at several granularities from one scan: hourly limb sums, then sums of those.
+
+    The value is exact text, as in ``token_volume``.
+    """
     rows = df.where(bytes_in("topic0", [TRANSFER]) & bytes_in("address", [spec.token]) & (byte_length("data") == 32))
-    hourly = rows.groupBy("chain_id", F.date_trunc("hour", "block_time").alias("hour")).agg(u256_sum("data").alias("total"))
-    rolled = _rolled(hourly, grains, [], [u256_sum("total").alias("total")])
-    coins = rolled.withColumn("coins", u256_div("total", 10**spec.decimals))
-    return coins.select("chain_id", F.lit(spec.name).alias("metric_name"), "granularity", "period", u256_to_decimal("coins").alias("value"))
+    hourly = rows.groupBy("chain_id", F.date_trunc("hour", "block_time").alias("hour")).agg(limb_sums(u256_limbs("data")).alias("total"))
+    rolled = _rolled(hourly, grains, [], [limb_sums([F.col("total")[i] for i in range(LIMBS)]).alias("total")])
+    return rolled.select("chain_id", F.lit(spec.name).alias("metric_name"), "granularity", "period", quotient_text("total", 10**spec.decimals).alias("value"))
 
 
 def metric_batch(
@@ -362,7 +367,7 @@ def metric_batch(
             parts.append(_batch_additive(ranged, additive, grains))
         if distinct:
             parts.append(_batch_distinct(ranged, distinct, grains, approx))
-        parts += [token_volume_batch(ranged, s, grains) for s in mine if s.kind == "token_volume"]
+        parts += [token_volume_batch(ranged, s, grains).withColumn("value", F.col("value").cast(VALUE)) for s in mine if s.kind == "token_volume"]
         parts += [_batch_cumulative(history, s, grains, first) for s in mine if s.kind.startswith("cumulative")]
     return reduce(DataFrame.unionByName, parts)
 

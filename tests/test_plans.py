@@ -29,6 +29,17 @@ def test_batch_equals_single_metrics(star):
     assert _rows(batch) == sorted(single, key=repr)
 
 
+def test_token_volume_of_huge_transfers(spark):
+    amounts = [2**256 - 1, 2**256 - 1, 10**45, 7 * 10**6, 3]
+    rows = [(1, bytes.fromhex(f"{7:040x}"), bytes.fromhex(M.TRANSFER.removeprefix("0x")), n.to_bytes(32, "big"), f"2024-01-03 0{i}:10:00") for i, n in enumerate(amounts)]
+    logs = spark.createDataFrame(rows, "chain_id int, address binary, topic0 binary, data binary, at string").withColumn("block_time", F.to_timestamp("at"))
+    spec = M.MetricSpec("token_7", "raw_logs", "token_volume", token=f"{7:040x}", decimals=6)
+    want = str(sum(amounts) // 10**6)
+    assert [r.value for r in M.token_volume(logs, None, 6, "day").collect()] == [want]
+    batch = {(r.granularity, r.period.hour): r.value for r in M.token_volume_batch(logs, spec, ("hour", "week")).collect()}
+    assert batch["week", 0] == want and [batch["hour", i] for i in range(5)] == [str(n // 10**6) for n in amounts]
+
+
 def test_granularities_agree(star):
     series = M.metric_batch({"raw_txs": star.raw_txs()}, ["tx_count"])
     totals = series.groupBy("granularity").agg(F.sum("value").alias("n")).collect()
