@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.llm import bpe, fingerprints, html_extract, language_id, licenses, line_dedup, mixing, ngram_join, quality_divergence, token_counts
+from blockloom.llm import (
+    bpe, conversations, fingerprints, html_extract, language_id, lexical_search, licenses, line_dedup, mixing, ngram_join, packing, quality_divergence,
+    token_counts,
+)
 from blockloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {"op2_mix_sources": mixing.oracle(), "op8_line_dedup": line_dedup.oracle()}
+ORACLES: dict[str, str] = {"op2_mix_sources": mixing.oracle(), "op8_line_dedup": line_dedup.oracle(), "op12_ranked_search": lexical_search.oracle()}
 
 
 def _query(run: Query) -> Query:
@@ -76,3 +79,20 @@ def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@_query
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    original = table(spark, folder, "conversations")
+    return conversations.audited(original, conversations.damage(original))
+
+
+@_query
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    index, documents = lexical_search.build_index(table(spark, folder, "documents"))
+    return lexical_search.search(index, documents, table(spark, folder, "benchmark"))
+
+
+@_query
+def op13_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
