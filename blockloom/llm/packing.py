@@ -37,7 +37,7 @@ from blockloom.llm.tables import pick, stored
 from blockloom.llm.token_counts import _LETTER, _NUMBER, _PLAIN
 
 CAPACITY = 2048
-#: Words whose ids a worker keeps; characters of a text split into words at once; pieces in a batch of output.
+#: Words whose ids a worker keeps, twice; characters of a text split into words at once; pieces in a batch of output.
 MAX_WORDS, SLICE, BATCH = 500_000, 1 << 20, 4_096
 
 _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
@@ -60,18 +60,19 @@ class WordEncoder:
         self.ends = np.zeros(self.library.get_vocab_size(), bool)
         self.ends[[i for t, i in spec["model"]["vocab"].items() if t.endswith(_END_OF_WORD)]] = True
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _of(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.words) + len(words) > MAX_WORDS:
-            self.words.clear()
         ids = self._of(" ".join(words))
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) == len(words):
-            for word, part in zip(words, np.split(ids, ends)):
-                self.words[word] = part.tobytes()
+            data, at = ids.tobytes(), 0
+            for word, end in zip(words, (4 * ends).tolist()):
+                self.words[word] = data[at:end]
+                at = end
         else:
             for word in words:
                 self.words[word] = self._of(word).tobytes()
@@ -81,12 +82,18 @@ class WordEncoder:
         if not _PLAIN(low) or any(s in text for s in self.special):
             return self._of(text).tobytes()
         words = _SPLIT.findall(low)
-        known = self.words
-        if unknown := [w for w in dict.fromkeys(words) if w not in known]:
-            self._learn(unknown)
-            if any(w not in known for w in words):  # the table was emptied: once more, with all of the slice's words
-                self._learn(list(dict.fromkeys(words)))
-        return b"".join(map(known.__getitem__, words))
+        distinct = set(words)
+        unknown = distinct.difference(self.words)
+        if unknown and len(self.words) + len(unknown) > MAX_WORDS:  # words in use come back from the older half
+            self.words, self.older = {}, self.words
+            unknown = distinct
+        if unknown and self.older:
+            back = {w: self.older[w] for w in unknown if w in self.older}
+            self.words.update(back)
+            unknown -= back.keys()
+        if unknown:
+            self._learn(list(unknown))
+        return b"".join(map(self.words.__getitem__, words))
 
     def ids(self, text: str) -> np.ndarray:
         parts, at = [], 0
