@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockloom.catalog import plain, query
 from blockloom.operators import normalize as N
 from blockloom.plans import dashboards as Q
 from blockloom.plans import platform as L
-from blockloom.session import cut_lineage
+from blockloom.session import cut_lineage, scratch
 from blockloom.sources.platform import platform_txs, registry, validator_state
 from blockloom.sources.star_schema import Star, with_tables
 
@@ -262,6 +265,71 @@ def platform_cycle(star: Star):
     return plain(tables["l1_validator_state"].select("subnet_id", "validation_id", "node_id", "initial_deposit", "total_topups", "refund_amount", "fees_paid"))
 
 
+# --- the stored cycle ----------------------------------------------------------------------------
+
+_MOVED = "c_custkey % 7 = 0 AND c_mktsegment <> 'HOUSEHOLD'"  # validators that are replaced before the second cycle
+_TWO_CYCLES = {n: p for n, p in _PARTS.items()}
+_TWO_CYCLES["state"] = f"""SELECT subnet_id, validation_id, node_id, balance, weight, start_time, end_time, uptime, active AND NOT moved AS active FROM (
+  SELECT s.*, {_MOVED} AS moved FROM ({_PARTS["state"]}) s JOIN customer ON s.subnet_id = 'subnet' || c_custkey)
+  UNION ALL SELECT subnet_id, 'new' || validation_id, node_id, balance, weight, start_time, end_time, uptime, active FROM ({_PARTS["state"]}) s JOIN customer ON s.subnet_id = 'subnet' || c_custkey WHERE {_MOVED}"""
+
+
+def _cycle_sql(table: str, key: str, facts: list[str], source: str) -> str:
+    text = ", ".join(f"coalesce(CAST({f} AS VARCHAR), '')" for f in facts)
+    return f"SELECT '{table}' AS \"table\", {key} AS id, concat_ws('|', {text}) AS facts FROM {source}"
+
+
+_CYCLE_FACTS = {
+    "subnets": ("subnet_id", ["created_block", "subnet_type", "chain_id", "converted_block"]),
+    "subnet_chains": ("chain_id", ["subnet_id", "chain_name", "vm_id", "created_block"]),
+    "l1_subnets": ("subnet_id", ["chain_id", "conversion_block"]),
+    "l1_validator_history": ("concat_ws('|', created_tx_id, node_id)", ["subnet_id", "validation_id", "created_tx_type", "created_block", "initial_balance", "initial_weight", "bls_public_key", "remaining_balance_owner"]),
+    "l1_validator_balance_txs": ("concat_ws('|', tx_id, node_id)", ["subnet_id", "validation_id", "tx_type", "block_number", "amount"]),
+    "l1_validator_refunds": ("tx_id", ["validation_id", "subnet_id", "refund_amount", "refund_address", "block_number"]),
+    "l1_fee_stats": ("subnet_id", ["total_deposited", "initial_deposits", "top_up_deposits", "total_refunded", "current_balance", "total_fees_paid", "deposit_tx_count", "validator_count"]),
+    "l1_validator_state": ("validation_id", ["subnet_id", "node_id", "balance", "weight", "active", "initial_deposit", "total_topups", "refund_amount", "fees_paid"]),
+}
+_CYCLE_SOURCES = {
+    "subnets": "(SELECT * FROM subnets UNION ALL SELECT '11111111111111111111111111111111LpoYY', 0, NULL, 'primary', '', 0, NULL)",
+    "subnet_chains": """(SELECT c.chain_id, c.subnet_id, coalesce('Chain ' || b, '') AS chain_name, coalesce('vm' || b % 7, '') AS vm_id, coalesce(b, 0) AS created_block
+  FROM (SELECT DISTINCT 'chain' || cust AS chain_id, subnet_id FROM platform_txs WHERE kind = 1) c LEFT JOIN (SELECT subnet_id, min(block_number) AS b FROM platform_txs WHERE kind = 0 GROUP BY 1) f ON c.subnet_id = f.subnet_id
+  UNION ALL SELECT x.c, '11111111111111111111111111111111LpoYY', x.n, x.v, 0 FROM (VALUES
+ ('2q9e4r6Mu3U68nU1fYjgbR6JvwrRx36CohpAX5UQxse55x1Q5', 'C-Chain', 'mgj786NP7uDwBCcq6YwThhaN8FLyybkCa4zBWTQbNgmK6k9A6'), ('2oYMBNV4eNHyqk2fjjV5nVQLDbtmNJzq5s3qs3Lo6ftnC6FByM', 'X-Chain', 'avm'),
+ ('11111111111111111111111111111111LpoYY', 'P-Chain', 'platform')) x(c, n, v))""",
+    "l1_subnets": "(SELECT subnet_id, CASE WHEN arg_max(kind, block_number) = 1 THEN 'chain' || any_value(cust) ELSE '' END AS chain_id, max(block_number) AS conversion_block FROM platform_txs WHERE kind IN (1, 5) GROUP BY 1)",
+    "l1_validator_history": "history",
+    "l1_validator_balance_txs": "ledger",
+    "l1_validator_refunds": "(SELECT * FROM refunds r WHERE r.refund_amount > 0)",
+    "l1_fee_stats": "fees",
+    "l1_validator_state": """(SELECT s.*, coalesce(i.b, 0) AS initial_deposit, coalesce(t.b, 0) AS total_topups, coalesce(r.b, 0) AS refund_amount, greatest(coalesce(i.b, 0) + coalesce(t.b, 0) - coalesce(r.b, 0) - s.balance, 0) AS fees_paid FROM state s
+  LEFT JOIN (SELECT validation_id, sum(initial_balance) AS b FROM history GROUP BY 1) i ON i.validation_id = s.validation_id
+  LEFT JOIN (SELECT validation_id, sum(amount) AS b FROM ledger WHERE tx_type = 'IncreaseL1ValidatorBalance' GROUP BY 1) t ON t.validation_id = s.validation_id
+  LEFT JOIN (SELECT validation_id, sum(refund_amount) AS b FROM refunds WHERE refund_amount > 0 GROUP BY 1) r ON r.validation_id = s.validation_id)""",
+}
+
+
+def _cycle_parts() -> str:
+    names = ["listed", "history", "state", "subnets", "ledger", "spans", "refunds", "fees"]
+    return with_tables("platform_txs") + "".join(f",\n{n} AS ({_TWO_CYCLES[n]})" for n in names) + "\n"
+
+
+@query("stored_platform_cycle", "L13 T8 V2 L8", _cycle_parts() + "\nUNION ALL ".join(_cycle_sql(t, *_CYCLE_FACTS[t], _CYCLE_SOURCES[t]) for t in L.PLATFORM_TABLES))
+def stored_platform_cycle(star: Star):
+    """All eight stored tables after two cycles; before the second, each seventh subnet's validator is replaced by another."""
+    spark, root = star.spark, scratch(star.spark)
+    first, second = (validator_state(star.snapshot(), 0, F.lit(t).cast("timestamp")) for t in ("2001-08-31 00:00:00", AS_OF))
+    number = F.substring("subnet_id", 7, 20).cast("bigint")
+    moved = (number % 7 == 0) & F.col("validation_id").startswith("val")
+    second = second.withColumn("validation_id", F.when(moved, F.concat(F.lit("new"), F.col("validation_id"))).otherwise(F.col("validation_id")))
+    L.store_platform_cycle(spark, root, star.platform_txs(), first, star.registrations(), "2001-08-31 00:00:00")
+    tables = L.store_platform_cycle(spark, root, star.platform_txs(), second, star.registrations(), AS_OF)
+    out = []
+    for name, (key, facts) in _CYCLE_FACTS.items():
+        text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in facts]
+        out.append(tables[name].select(F.lit(name).alias("table"), F.expr(key).alias("id"), F.concat_ws("|", *text).alias("facts")))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("subnet_of_validation", "J12", parts("history", "state") + """
 SELECT 'val1x' || o_custkey AS validation_id, o_orderkey, coalesce(h.s, t.s) AS subnet_id FROM orders
 LEFT JOIN (SELECT validation_id, min(subnet_id) AS s FROM history GROUP BY 1) h ON h.validation_id = 'val1x' || o_custkey LEFT JOIN (SELECT validation_id, min(subnet_id) AS s FROM state GROUP BY 1) t ON t.validation_id = 'val1x' || o_custkey""")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blockloom.catalog import plain, query
@@ -16,6 +17,7 @@ from blockloom.operators.versioned import overwrite_periods
 from blockloom.plans import balances as B
 from blockloom.plans import indexer as I
 from blockloom.plans import metrics as M
+from blockloom.plans.status import ChainStatus, stored_sync_status
 from blockloom.session import cut_lineage, scratch
 from blockloom.sources import blocks as S
 from blockloom.sources import tables as ST
@@ -149,8 +151,15 @@ SELECT chain_id, strftime(block_time, '%Y-%m-%d') AS day, count(*) AS rows FROM
 def write_and_purge_chain(star: Star):
     root = scratch(star.spark)
     ST.write_raw(star.raw_traces(), root, "raw_traces", max_records_per_file=5000)
-    star.raw_traces().limit(1).write.parquet(f"{root}/metrics")
-    ST.purge_chain(star.spark, root, 2)
+    tables = {"raw_traces": ST.read_table(star.spark, root, "raw_traces")}
+    M.metric_batch(tables, ["contracts", "deployers"]).write.parquet(f"{root}/metrics")
+    marks, status = I.WatermarkStore(star.spark, f"{root}/sync_watermark"), ChainStatus(star.spark, f"{root}/chain_status")
+    for chain in (1, 2, 3):
+        marks.sync_set(chain, 7)
+        status.upsert(chain, f"chain {chain}", 9)
+    ST.purge_chain(star.spark, root, 2, marks=marks, status=status)
+    if [marks.sync_get(c) for c in (1, 2, 3)] != [7, None, 7] or {r.chain_id for r in status.current().collect()} != {1, 3}:
+        raise AssertionError("the mark and the status of the purged chain alone are to go")
     if ST.drop_derived(star.spark, root) != ["metrics"]:
         raise AssertionError("only the calculated table is to be dropped")
     kept = ST.read_table(star.spark, root, "raw_traces")
@@ -177,11 +186,76 @@ def indexer_metrics_in_two_runs(star: Star):
     return plain(series.withColumn("chain_id", F.col("chain_id").cast("bigint")))
 
 
+class _Broken(I.WatermarkStore):
+    """The marks of a run that breaks off before it has written them."""
+
+    def set_all(self, chain_id, marks):
+        pass
+
+
+_CARRIED = ["cumulative_contracts", "cumulative_addresses", "cumulative_deployers"]
+
+
+@query("indexer_cumulative_in_three_runs", "V5 V9 M18 M19 M20 M21 M22 T5 T6", with_tables("raw_traces") + f"""
+, made AS (SELECT * FROM raw_traces WHERE call_type IN ('CREATE', 'CREATE2') AND tx_success)
+, firsts AS (
+  SELECT chain_id, 'cumulative_contracts' AS m, block_time AS t FROM made
+  UNION ALL SELECT chain_id, 'cumulative_deployers', min(block_time) FROM made WHERE sender <> 0 GROUP BY chain_id, sender
+  UNION ALL SELECT chain_id, 'cumulative_addresses', min(block_time) FROM (SELECT chain_id, sender AS a, block_time FROM raw_traces UNION ALL SELECT chain_id, recipient, block_time FROM raw_traces) WHERE a IS NOT NULL AND a <> 0 GROUP BY chain_id, a)
+, c AS (SELECT chain_id, m, date_trunc('day', t) AS p, count(*) AS n FROM firsts GROUP BY 1, 2, 3)
+SELECT chain_id, m AS metric_name, 'day' AS granularity, {TIME("p")} AS period, CAST(CAST(sum(n) OVER (PARTITION BY chain_id, m ORDER BY p) AS BIGINT) AS VARCHAR) AS value FROM c WHERE p < TIMESTAMP '2024-01-30'""")
+def indexer_cumulative_in_three_runs(star: Star):
+    """Three runs of which the second breaks off and is repeated; late rows come in between."""
+    spark, root = star.spark, scratch(star.spark)
+    path = f"{root}/indexer_watermarks"
+    late = (F.col("block_number") % 97 == 5) & (F.col("block_time") < F.lit("2024-01-08").cast("timestamp"))
+
+    def run(store, latest: datetime) -> None:
+        tables = T.raw_views(spark, root)
+        chains(lambda c: I.run_granular(spark, tables, root, store, c, latest, _CARRIED, grains=("day",), buckets=4))
+
+    def chains(work) -> None:
+        with ThreadPoolExecutor(3) as pool:
+            list(pool.map(work, (1, 2, 3)))
+
+    ST.write_raw(star.raw_traces().where(~late), root, "raw_traces")
+    run(I.WatermarkStore(spark, path), datetime(2024, 1, 10, 5))
+    run(_Broken(spark, path), datetime(2024, 1, 15, 3))
+    run(I.WatermarkStore(spark, path), datetime(2024, 1, 20, 7))
+    ST.write_raw(star.raw_traces().where(late), root, "raw_traces")
+    chains(lambda c: T.recompute_late(spark, root, c, datetime(2024, 1, 1), datetime(2024, 1, 8), _CARRIED, grains=("day",), buckets=4))
+    run(I.WatermarkStore(spark, path), datetime(2024, 1, 30, 7))
+    series = M.current_metrics(spark.read.parquet(f"{root}/metrics")).select(*M.SERIES)
+    before = F.lag("value").over(Window.partitionBy("chain_id", "metric_name").orderBy("period"))
+    grown = series.withColumn("before", before).where("before IS NULL OR value > before").drop("before")
+    return plain(grown.withColumn("chain_id", F.col("chain_id").cast("bigint")))
+
+
+@query("stored_sync_status", "Q-1 S11 V2 V7", """
+WITH c AS (SELECT CAST(n_nationkey AS BIGINT) AS k, n_name FROM nation WHERE n_nationkey <> 7),
+     w AS (SELECT k, k * 1000 + 500 - k * k * 3 AS b FROM c WHERE k % 3 <> 2)
+SELECT c.k AS chain_id, n_name AS name, 1700000000 - c.k * c.k * 30 AS last_updated, c.k * 1000 + 500 AS last_block_on_chain, b AS watermark_block,
+       coalesce(b / (c.k * 1000 + 500) * 100, 0.0) AS sync_percentage, c.k * 1000 + 500 - b AS blocks_behind FROM c LEFT JOIN w ON c.k = w.k""")
+def stored_sync_status_query(star: Star):
+    """From the engine's own tables: an older status and older marks are passed over, a purged chain is gone."""
+    spark, root = star.spark, scratch(star.spark)
+    status, marks = ChainStatus(spark, f"{root}/chain_status"), I.WatermarkStore(spark, f"{root}/sync_watermark")
+    chains = star.chain_status()
+    status.upsert_all(chains)
+    older = {"last_updated": F.col("last_updated") - F.expr("INTERVAL 1 DAY"), "last_block_on_chain": F.col("last_block_on_chain") - 7, "name": F.lit("before")}
+    status.upsert_all(chains.withColumns(older))
+    for back in (0, 3):  # the lower marks come last
+        rows = star.sync_watermarks().select("chain_id", F.col("block_number") - back)
+        marks.append(rows.toDF("chain_id", "last_block_num").withColumns({"indexer_name": F.lit(I.SYNC), "granularity": F.lit("")}))
+    ST.purge_chain(spark, root, 7, marks=[marks], status=status)
+    return plain(stored_sync_status(spark, root))
+
+
 @query("indexer_balances_in_ranges", "V4 V6 V7 B2 B3", with_tables("token_logs") + """
 , entries AS (
-  SELECT chain_id, token, w2 AS wallet, amount FROM token_logs WHERE kind = 'A' AND whole AND block_number >= 1
-  UNION ALL SELECT chain_id, token, w1, amount FROM token_logs WHERE kind = 'N' AND whole AND block_number >= 1
-  UNION ALL SELECT chain_id, token, w1, -amount FROM token_logs WHERE kind IN ('A', 'R') AND whole AND block_number >= 1)
+  SELECT chain_id, token, w2 AS wallet, amount FROM token_logs WHERE kind = 'A' AND whole
+  UNION ALL SELECT chain_id, token, w1, amount FROM token_logs WHERE kind = 'N' AND whole
+  UNION ALL SELECT chain_id, token, w1, -amount FROM token_logs WHERE kind IN ('A', 'R') AND whole)
 SELECT chain_id, wallet, token, CAST(sum(amount) AS VARCHAR) AS balance FROM entries WHERE wallet <> 0 GROUP BY 1, 2, 3""")
 def indexer_balances_in_ranges(star: Star):
     spark, root = star.spark, scratch(star.spark)
@@ -190,7 +264,7 @@ def indexer_balances_in_ranges(star: Star):
     top = logs.agg(F.max("block_number").alias("n")).first().n
     for latest in (top // 2, top):
         for chain in range(1, 8):
-            I.run_balances(spark, logs, root, store, chain, latest, n=top)
+            I.run_balances(spark, logs, root, store, chain, latest, start=0)
     view = B.balances(spark.read.parquet(f"{root}/erc20_balance_changes"))
     return plain(view.select(F.col("chain_id").cast("bigint").alias("chain_id"), "wallet", "token", signed_text("balance").alias("balance")))
 

@@ -69,8 +69,12 @@ def balance_changes_by_range(logs: DataFrame, start: int = 0, size: int = BLOCKS
 
 
 def current_changes(changes: DataFrame) -> DataFrame:
-    """Newest version per range row, if the table is versioned."""
-    return latest_by_key(changes, RANGE_KEY, "computed_at") if "computed_at" in changes.columns else changes
+    """Newest version per range row, if the table is versioned.
+
+    A range is named by its first block: a last range that was not full grows when it is run again.
+    """
+    keys = [c for c in RANGE_KEY if c != "to_block"]
+    return latest_by_key(changes, keys, "computed_at", ["to_block"]) if "computed_at" in changes.columns else changes
 
 
 _TOTALS = {"total_in": ("deposits", None), "total_out": ("withdrawals", None)}

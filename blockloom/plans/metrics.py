@@ -100,7 +100,7 @@ for _spec in (
 
 def _named(df: DataFrame, name: str, granularity: str, value: Column) -> DataFrame:
     return df.select(
-        "chain_id", F.lit(name).alias("metric_name"), F.lit(granularity).alias("granularity"), "period", value.cast(VALUE).alias("value")
+        "chain_id", F.lit(name).alias("metric_name"), F.lit(granularity).alias("granularity"), "period", value.try_cast(VALUE).alias("value")
     )
 
 
@@ -228,7 +228,7 @@ def cumulative_from_metric(metrics: DataFrame, name: str, granularity: str, firs
 # --- many metrics, one scan per source -------------------------------------------------
 
 
-def _rolled(df: DataFrame, grains: tuple[str, ...], extra: list, aggregates: list[Column], hour: str = "hour") -> DataFrame:
+def roll_up(df: DataFrame, grains: tuple[str, ...], extra: list, aggregates: list[Column], hour: str = "hour") -> DataFrame:
     """Hour rows aggregated to the given granularities (columns granularity, period)."""
     periods = F.array(*[F.struct(F.lit(g).alias("granularity"), period_start(hour, g).alias("period")) for g in grains])
     rest = [c for c in df.columns if c != hour]
@@ -271,7 +271,7 @@ def _batch_additive(df: DataFrame, specs: list[MetricSpec], grains: tuple[str, .
     fine = df.groupBy("chain_id", bucket.alias("hour")).agg(*[c for s in specs for c in partial(s)])
     if peaks:
         fine = fine.groupBy("chain_id", F.date_trunc("hour", "hour").alias("hour")).agg(*[c for s in specs for c in merge(s)])
-    rolled = _rolled(fine, grains, [], [c for s in plain + peaks for c in merge(s)])
+    rolled = roll_up(fine, grains, [], [c for s in plain + peaks for c in merge(s)])
 
     def final(spec: MetricSpec) -> Column:
         if spec.kind == "avg":
@@ -312,9 +312,9 @@ def _batch_distinct(df: DataFrame, specs: list[MetricSpec], grains: tuple[str, .
         sketches = hourly.groupBy("chain_id", "hour").agg(
             *[F.hll_sketch_agg(F.when(F.col(s.name), F.col("address"))).alias(s.name) for s in specs]
         )
-        rolled = _rolled(sketches, grains, [], [F.hll_sketch_estimate(F.hll_union_agg(s.name)).alias(s.name) for s in specs])
+        rolled = roll_up(sketches, grains, [], [F.hll_sketch_estimate(F.hll_union_agg(s.name)).alias(s.name) for s in specs])
     else:
-        per_period = _rolled(hourly, grains, ["address"], [F.max(s.name).alias(s.name) for s in specs])
+        per_period = roll_up(hourly, grains, ["address"], [F.max(s.name).alias(s.name) for s in specs])
         rolled = per_period.groupBy("chain_id", "granularity", "period").agg(*[F.count_if(F.col(s.name)).alias(s.name) for s in specs])
     pairs = F.array(*[F.struct(F.lit(s.name).alias("metric_name"), F.col(s.name).cast(VALUE).alias("value")) for s in specs])
     return rolled.select("chain_id", "granularity", "period", F.inline(pairs)).where("value > 0").select(*SERIES)
@@ -332,7 +332,7 @@ def _batch_cumulative(df: DataFrame, spec: MetricSpec, grains: tuple[str, ...],
         hourly = seen.groupBy("chain_id", F.date_trunc("hour", "first_seen").alias("hour")).agg(
             F.count("*").alias("n"), F.max("first_seen").alias("latest")
         )
-    counts = _rolled(hourly, grains, [], [F.sum("n").alias("n"), F.max("latest").alias("latest")])
+    counts = roll_up(hourly, grains, [], [F.sum("n").alias("n"), F.max("latest").alias("latest")])
     total = running_sum(counts, "n", "period", ["chain_id", "granularity"], "value")
     if first is not None:
         total = total.where(F.col("latest") >= F.lit(first))
@@ -346,7 +346,7 @@ def token_volume_batch(df: DataFrame, spec: MetricSpec, grains: tuple[str, ...])
     """
     rows = df.where(bytes_in("topic0", [TRANSFER]) & bytes_in("address", [spec.token]) & (byte_length("data") == 32))
     hourly = rows.groupBy("chain_id", F.date_trunc("hour", "block_time").alias("hour")).agg(limb_sums(u256_limbs("data")).alias("total"))
-    rolled = _rolled(hourly, grains, [], [limb_sums([F.col("total")[i] for i in range(LIMBS)]).alias("total")])
+    rolled = roll_up(hourly, grains, [], [limb_sums([F.col("total")[i] for i in range(LIMBS)]).alias("total")])
     return rolled.select("chain_id", F.lit(spec.name).alias("metric_name"), "granularity", "period", quotient_text("total", 10**spec.decimals).alias("value"))
 
 
@@ -367,7 +367,7 @@ def metric_batch(
             parts.append(_batch_additive(ranged, additive, grains))
         if distinct:
             parts.append(_batch_distinct(ranged, distinct, grains, approx))
-        parts += [token_volume_batch(ranged, s, grains).withColumn("value", F.col("value").cast(VALUE)) for s in mine if s.kind == "token_volume"]
+        parts += [token_volume_batch(ranged, s, grains).withColumn("value", F.col("value").try_cast(VALUE)) for s in mine if s.kind == "token_volume"]
         parts += [_batch_cumulative(history, s, grains, first) for s in mine if s.kind.startswith("cumulative")]
     return reduce(DataFrame.unionByName, parts)
 

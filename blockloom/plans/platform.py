@@ -6,16 +6,21 @@ one lazy graph.  ``as_of`` stands for the present, so that results can be repeat
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from blockloom.constants import FEE_PER_SECOND, GENESIS_SECONDS, PRIMARY_CHAINS, PRIMARY_SUBNET
 from blockloom.functions.text import json_field, to_uint_or_zero
 from blockloom.operators.joins import enrich_agg, lookup_first, missing_from, sum_in_span
 from blockloom.operators.normalize import explode_validators
-from blockloom.operators.versioned import latest_by_key
+from blockloom.operators.versioned import latest_by_key, upsert
 from blockloom.operators.windows import first_per_key, previous_event
 from blockloom.session import cut_lineage
+from blockloom.sources.tables import path_exists
 
 UINT = "decimal(20,0)"
 CREATORS = ("CreateChain", "AddSubnetValidator", "ConvertSubnetToL1", "TransformSubnet")
@@ -361,9 +366,84 @@ def run_platform_cycle(
         "l1_validator_refunds": returned,
         "l1_fee_stats": subnet_fee_stats(ledger, returned, current, subnets, as_of),
         "l1_validator_state": validator_fee_stats(current, history, ledger, returned, as_of),
+        "primary_validators": current.where(F.col("subnet_id") == PRIMARY_SUBNET),
     }
 
 
+# --- the stored cycle -----------------------------------------------------------------------------
+
+#: Stored tables and what names a row of each.
+PLATFORM_TABLES = {
+    "subnets": ["p_chain_id", "subnet_id"],
+    "subnet_chains": ["p_chain_id", "chain_id"],
+    "l1_subnets": ["p_chain_id", "subnet_id"],
+    "l1_validator_history": ["p_chain_id", "created_tx_id", "node_id", "validation_id"],
+    "l1_validator_balance_txs": [*LEDGER_KEY, "validation_id"],
+    "l1_validator_refunds": ["p_chain_id", "tx_id"],
+    "l1_fee_stats": ["p_chain_id", "subnet_id"],
+    "l1_validator_state": STATE_KEY,
+}
+_VERSION = "stored_at"
+_NOT_COMPARED = ("last_updated", "last_synced", _VERSION)
+
+
+def platform_versions(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """Every stored version of a platform table's rows, or None before the first cycle."""
+    path = f"{root}/platform/{name}"
+    return spark.read.parquet(path) if path_exists(spark, path) else None
+
+
+def platform_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The newest version of each row of a platform table."""
+    stored = platform_versions(spark, root, name)
+    return None if stored is None else latest_by_key(stored, PLATFORM_TABLES[name], _VERSION).drop(_VERSION)
+
+
+def changed_rows(rows: DataFrame, current: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Rows that ``current`` lacks or holds with other values; when they were last looked at does not count."""
+    if current is None:
+        return rows
+    facts = [c for c in rows.columns if c not in keys and c not in _NOT_COMPARED]
+    same_type = [F.col(c).cast(rows.schema[c].dataType).alias(c) for c in facts]
+    held = current.select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(*same_type).alias("_held"))
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return rows.join(held, match, "left").where(~F.struct(*facts).eqNullSafe(F.col("_held"))).select(*rows.columns)
+
+
+def store_platform_cycle(
+    spark: SparkSession, root: str, txs: DataFrame, snapshot: DataFrame, registrations: DataFrame | None = None, as_of=None, p_chain_id: int = 0
+) -> dict[str, DataFrame]:
+    """One sync cycle over what earlier cycles stored: derive all tables, append the rows that differ from the stored ones.
+
+    Validators that the snapshot no longer lists get an inactive version, those that come back an active one.  A cycle that
+    broke half-way can be repeated: what it has stored does not differ any more.  Returns the tables as they are then.
+    """
+    state = platform_table(spark, root, "l1_validator_state")
+    done = run_platform_cycle(txs, snapshot, registrations, state, as_of, p_chain_id)
+    primary = done.pop("primary_validators")
+    done["l1_validator_state"] = done["l1_validator_state"].unionByName(primary.select(*done["l1_validator_state"].columns))
+    for name, keys in PLATFORM_TABLES.items():
+        new = changed_rows(done[name], platform_table(spark, root, name), keys)
+        upsert(new.withColumn(_VERSION, _now(as_of)), f"{root}/platform/{name}")
+    return {name: platform_table(spark, root, name) for name in PLATFORM_TABLES}
+
+
+def start_platform_cycles(
+    ticks: DataFrame, root: str, checkpoint: str, inputs: Callable[[], tuple[DataFrame, DataFrame, DataFrame | None]], p_chain_id: int = 0, every: str = "5 minutes", once: bool = False
+) -> StreamingQuery:
+    """Repeat the cycle whenever ``ticks``, a stream of snapshot files or the like, brings something, at most once in ``every``.
+
+    ``inputs`` gives the transactions, the current snapshot (as state rows) and the registrations at that moment.
+    """
+    spark = ticks.sparkSession
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        store_platform_cycle(spark, root, *inputs(), p_chain_id=p_chain_id)
+
+    writer = ticks.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
+
+
 def subnet_of_validation(rows: DataFrame, history: DataFrame, state: DataFrame) -> DataFrame:
     """Subnet id of a validation id, from history first, then from state."""
     keys = [c for c in ("p_chain_id", "validation_id") if c in rows.columns]

@@ -68,7 +68,7 @@ METRICS = """chain_id bigint, metric_name string, granularity string, period tim
  computed_at timestamp"""
 
 WATERMARKS = """chain_id bigint, indexer_name string, granularity string, last_period timestamp, last_block_num bigint,
- updated_at timestamp, seq bigint"""
+ updated_at timestamp, epoch bigint"""
 
 VALIDATOR_STATE = """subnet_id string, validation_id string, node_id string, balance decimal(20,0), weight decimal(20,0),
  start_time timestamp, end_time timestamp, uptime_percentage double, active boolean, initial_deposit decimal(20,0),

@@ -17,7 +17,8 @@ RAW_LAYOUT = {
     "raw_logs": ["block_time", "address", "topic0"],
 }
 RAW_PARTITIONS = ["chain_id", "block_date"]
-KEPT_TABLES = ("raw_blocks", "raw_txs", "raw_traces", "raw_logs", "p_chain_txs", "sync_watermark")
+BATCH = "batch"  # the innermost partition: which write the rows came with
+KEPT_TABLES = ("raw_blocks", "raw_txs", "raw_traces", "raw_logs", "block_days", "p_chain_txs", "sync_watermark", "chain_status")
 
 
 def write_table(
@@ -27,11 +28,17 @@ def write_table(
     order: list[str] | None = None,
     mode: str = "append",
     max_records_per_file: int | None = None,
+    dynamic: bool = False,
 ) -> None:
-    """Parquet write with sorted files, so that min/max statistics prune, and bounded file sizes."""
+    """Parquet write with sorted files, so that min/max statistics prune, and bounded file sizes.
+
+    ``dynamic`` with mode overwrite replaces the partitions that have rows in ``df`` and leaves all others.
+    """
     if order:
         df = df.sortWithinPartitions(*(partition_by or []), *order)
     writer = df.write.mode(mode)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
@@ -39,17 +46,30 @@ def write_table(
     writer.parquet(path)
 
 
-def write_raw(df: DataFrame, root: str, table: str, load: str = "batch", max_records_per_file: int | None = None) -> None:
-    """Append to a raw table, partitioned by chain and day.
+def write_raw(df: DataFrame, root: str, table: str, load: str = "batch", max_records_per_file: int | None = None, batch: str | None = None) -> None:
+    """Write to a raw table, partitioned by chain, day and batch.
 
     A bulk load is range-partitioned by (chain, day, order key) first: few files per day, and a
     chain-day too large for one task is split by block.  Small micro-batches skip that shuffle.
+    A named ``batch`` that comes again replaces what it wrote before, files of a broken write included.
     """
     order = RAW_LAYOUT[table]
-    df = df.withColumn("block_date", F.to_date("block_time"))
+    df = df.withColumns({"block_date": F.to_date("block_time"), BATCH: F.lit(batch or "append")})
     if load == "batch":
         df = df.repartitionByRange(*RAW_PARTITIONS, *order)
-    write_table(df, f"{root}/{table}", RAW_PARTITIONS, order, "append", max_records_per_file)
+    if batch is None:
+        write_table(df, f"{root}/{table}", [*RAW_PARTITIONS, BATCH], order, "append", max_records_per_file)
+    else:
+        write_table(df, f"{root}/{table}", [*RAW_PARTITIONS, BATCH], order, "overwrite", max_records_per_file, dynamic=True)
+
+
+def write_of_chain(df: DataFrame, path: str, chain_id: int, partition_by: list[str] | None = None) -> None:
+    """Append rows of one chain to a table that is partitioned by chain first.
+
+    The chain's folder is written to by itself, so that runs of several chains at the same time do not meet in one folder.
+    """
+    writer = df.drop("chain_id").write.mode("append")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}/chain_id={int(chain_id)}")
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
@@ -58,20 +78,21 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
-def write_new(df: DataFrame, root: str, table: str, keys: list[str], load: str = "stream") -> None:
-    """Append only rows whose block is not stored yet, which makes a repeated batch harmless.
+def stored_blocks(spark: SparkSession, root: str, table: str, chain_id, low, high, batch: str) -> DataFrame | None:
+    """(chain_id, block_number) that other batches have stored in the days from ``low`` to ``high``, from those folders alone."""
+    stored = read_table(spark, root, table)
+    if stored is None:
+        return None
+    mine = stored.where((F.col("chain_id") == chain_id) & F.col("block_date").between(F.lit(low), F.lit(high)) & (F.col(BATCH) != batch))
+    return mine.select("chain_id", "block_number").distinct()
+
 
-    Only the chain-days of the batch are read back, one column each.
+def write_new(df: DataFrame, root: str, table: str, batch: str, known: DataFrame | None, load: str = "stream") -> None:
+    """Write a batch's rows without the blocks that other batches have stored (``known``).
+
+    What the batch itself wrote before is replaced, so one that broke half-way through a block is whole after its repeat.
     """
-    spark = df.sparkSession
-    df = df.withColumn("block_date", F.to_date("block_time"))
-    stored = read_table(spark, root, table)
-    if stored is not None:
-        days = df.agg(F.min("block_date").alias("a"), F.max("block_date").alias("b")).first()
-        if days.a is None:
-            return
-        stored = stored.where(F.col("block_date").between(F.lit(days.a), F.lit(days.b))).select(*keys).distinct()
-    write_raw(only_new(df, stored, keys).drop("block_date"), root, table, load)
+    write_raw(only_new(df, known, ["chain_id", "block_number"]), root, table, load, batch=batch)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -89,13 +110,16 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(jpath, True)
 
 
-def purge_chain(spark: SparkSession, root: str, chain_id: int, tables=tuple(RAW_LAYOUT), marks=None) -> list[str]:
+def purge_chain(spark: SparkSession, root: str, chain_id: int, tables=tuple(RAW_LAYOUT), marks=None, status=None) -> list[str]:
     """Delete one chain's partitions of the raw tables; returns the folders deleted.
 
-    ``marks`` is the store of the chain's sync watermark, which is reset first, so that a resumed sync starts anew.
+    ``marks`` are stores whose marks of the chain are reset first, so that a resumed sync and the indexers start anew;
+    ``status`` is the table of chain statuses, in which the chain then counts as removed.
     """
-    if marks is not None:
-        marks.sync_reset(chain_id)
+    for store in [] if marks is None else marks if isinstance(marks, (list, tuple)) else [marks]:
+        store.reset(chain_id)
+    if status is not None:
+        status.remove(chain_id)
     gone = []
     for table in tables:
         path = f"{root}/{table}/chain_id={int(chain_id)}"

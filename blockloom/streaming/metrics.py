@@ -12,11 +12,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from blockloom.constants import GRANULARITIES
 from blockloom.functions.periods import floor_period, following_period, period_seconds, utc_lit, utc_text, utc_time
 from blockloom.functions.text import trunc_div
-from blockloom.plans.indexer import WatermarkStore, run_granular
+from blockloom.plans import carried
+from blockloom.plans.indexer import CARRIED, WatermarkStore, run_granular, write_metrics
 from blockloom.plans.metrics import SPECS, SERIES, VALUE, MetricSpec, addresses, current_metrics, measure_sum, metric_batch
 from blockloom.sources.tables import RAW_LAYOUT, path_exists, read_table
 
@@ -83,27 +85,42 @@ def update_metrics(spark: SparkSession, root: str, chain_id: int, names: list[st
     return run_granular(spark, tables, root, WatermarkStore(spark, f"{root}/indexer_watermarks"), chain_id, utc_time(latest), names)
 
 
-def recompute_late(spark: SparkSession, root: str, chain_id: int, low: datetime, high: datetime, names: list[str] | None = None) -> None:
+def recompute_late(spark: SparkSession, root: str, chain_id: int, low: datetime, high: datetime, names: list[str] | None = None, grains: tuple[str, ...] = GRANULARITIES, buckets: int = 64) -> None:
     """Recompute the periods between two times, after late blocks arrived there; newer versions replace the old.
 
-    Cumulative metrics are recomputed from there on for all periods stored, since late rows raise every later value.
+    Cumulative metrics are recomputed from there on for all periods stored, since late rows raise every later value.  What is
+    carried from run to run takes in the late hours alone; metrics that no run has carried yet are counted from the beginning.
+    Of a metric with a mark only periods up to it are written: later ones have not ended, or the next run computes them.
     """
     tables = raw_views(spark, root)
     wanted = [n for n in (names or SPECS) if SPECS[n].source in tables]
-    running = [n for n in wanted if SPECS[n].kind.startswith("cumulative")]
-    bounded = [n for n in wanted if n not in running]
-    for granularity in GRANULARITIES:
+    marks = WatermarkStore(spark, f"{root}/indexer_watermarks").marks(chain_id)
+    done = {n: m.last_period for n in wanted if (m := marks.get((CARRIED + n, "hour"))) and m.last_period}
+    running = [n for n in wanted if SPECS[n].kind.startswith("cumulative") and n not in done]
+    bounded = [n for n in wanted if n not in running and n not in done]
+    for end in sorted(set(done.values())):
+        carried.recount(spark, tables, root, chain_id, [n for n in done if done[n] == end], low, high, end, buckets)
+    parts = []
+    for granularity in grains:
         first, end = floor_period(low, granularity), following_period(high, granularity)
-        parts = []
         if bounded:
-            parts.append(metric_batch(tables, bounded, chain_id, utc_lit(first), utc_lit(end), grains=(granularity,)))
-        if running:
-            onward = metric_batch(tables, running, chain_id, utc_lit(first), grains=(granularity,))
-            parts.append(_for_stored(onward, root, utc_lit(first), utc_lit(end)))
-        if not parts:
-            return
-        out = reduce(DataFrame.unionByName, parts).withColumn("computed_at", F.current_timestamp())
-        out.write.mode("append").partitionBy("chain_id", "granularity").parquet(f"{root}/metrics")
+            parts.append(_ended(metric_batch(tables, bounded, chain_id, utc_lit(first), utc_lit(end), grains=(granularity,)), marks, granularity))
+        onward = [metric_batch(tables, running, chain_id, utc_lit(first), grains=(granularity,))] if running else []
+        onward += [carried.series(spark, root, chain_id, [n], (granularity,), first, done[n]) for n in done]
+        if onward:
+            later = _for_stored(reduce(DataFrame.unionByName, onward), root, utc_lit(first), utc_lit(end))
+            parts.append(_ended(later, marks, granularity))
+    if parts:
+        write_metrics(reduce(DataFrame.unionByName, parts), root, chain_id)
+
+
+def _ended(series: DataFrame, marks: dict, granularity: str) -> DataFrame:
+    """Periods up to the marks of their metrics; all of metrics without one."""
+    for (name, grain), mark in marks.items():
+        if grain == granularity and name.startswith("evm_metrics/") and mark.last_period:
+            metric_name = name.removeprefix("evm_metrics/")
+            series = series.where((F.col("metric_name") != metric_name) | (F.col("period") <= utc_lit(mark.last_period)))
+    return series
 
 
 def _for_stored(onward: DataFrame, root: str, first: Column, end: Column) -> DataFrame:
@@ -126,37 +143,28 @@ def _for_stored(onward: DataFrame, root: str, first: Column, end: Column) -> Dat
 
 # --- first appearances -------------------------------------------------------------------
 
-SHARDS = 256
 
+def update_first_seen(batch: DataFrame, path: str, keys: tuple[str, ...] = ("from", "to"), ts: str = "block_time", buckets: int = 64) -> DataFrame:
+    """Add a batch's addresses to a table of first appearances; returns those that are new or appear earlier than known.
 
-def update_first_seen(batch: DataFrame, path: str, keys: tuple[str, ...] = ("from", "to"), ts: str = "block_time") -> DataFrame:
-    """Add a batch's new addresses to the first-seen table and return the rows added.
-
-    A row is added when the address is unknown or appeared earlier than stored; readers take the
-    minimum.  The table is sharded by address hash and only joined, never collected.  Each call
-    reads the stored addresses once, so run it per hour or day rather than per micro-batch.
+    Only the buckets of the batch's addresses are read and added to.  A batch that comes again adds nothing.
     """
-    spark = batch.sparkSession
-    shard = F.pmod(F.xxhash64("address"), F.lit(SHARDS)).cast("int")
-    fresh = (
-        addresses(batch, keys, "chain_id", F.col(ts)).groupBy("chain_id", "address").agg(F.min(ts).alias("first_seen")).withColumn("shard", shard)
-    )
-    if path_exists(spark, path):
-        known = read_first_seen(spark, path).withColumnRenamed("first_seen", "_known").withColumn("shard", shard)
-        fresh = fresh.join(known, ["chain_id", "shard", "address"], "left").where("_known is null or first_seen < _known").drop("_known")
-    fresh = fresh.select("chain_id", "address", "first_seen", "shard")
-    # the written files, not the plan, are what the caller gets: reading the plan again would see its own rows as known
-    before = _batches(spark, path)
-    fresh.withColumn("batch", F.lit(before)).write.mode("append").partitionBy("chain_id", "batch").parquet(path)
-    return spark.read.parquet(path).where(F.col("batch") == before).select("chain_id", "address", "first_seen")
-
-
-def _batches(spark: SparkSession, path: str) -> int:
-    if not path_exists(spark, path):
-        return 0
-    return spark.read.parquet(path).agg(F.coalesce(F.max("batch") + 1, F.lit(0)).alias("n")).first().n
+    fresh = addresses(batch, keys, "chain_id", F.col(ts)).groupBy("chain_id", "address").agg(F.min(ts).alias("first_seen"))
+    seen = carried.FirstSeen(batch.sparkSession, path, buckets).add(fresh)
+    return seen.where("later").select("chain_id", "address", "first_seen")
+
+
+def read_first_seen(spark: SparkSession, path: str, buckets: int = 64) -> DataFrame:
+    return carried.FirstSeen(spark, path, buckets).read()
+
 
+def start_first_seen(
+    stream: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("from", "to"), ts: str = "block_time", buckets: int = 64, once: bool = False, trigger: str = "1 minute"
+) -> StreamingQuery:
+    """Keep a table of first appearances up to date with a stream of traces; it can be stopped and started at any time."""
 
-def read_first_seen(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).groupBy("chain_id", "address").agg(F.min("first_seen").alias("first_seen"))
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        update_first_seen(batch, path, keys, ts, buckets)
 
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=trigger)).start()

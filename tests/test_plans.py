@@ -74,9 +74,8 @@ def test_block_ranges():
     assert I.next_block_range(4000, 5000) == (4001, 5000) and I.next_block_range(5000, 5000) is None
 
 
-def test_watermarks_survive_tidying(spark, tmp_path):
+def test_watermarks(spark, tmp_path):
     store = I.WatermarkStore(spark, str(tmp_path / "marks"))
-    store.TIDY_EVERY = 2
     assert store.get(1, "a") is None and store.resume_at(1) == 1
     for n in (5, 6, 7):
         store.set(1, "a", "day", datetime(2024, 1, n), n)
