@@ -9,6 +9,8 @@ Carrying happens once per group, after the aggregation.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,11 +148,30 @@ def _carried(sums: Column) -> Column:
 
 
 def quotient_text(sums, divisor: int) -> Column:
-    """Exact decimal text of the whole quotient of limb sums by a constant."""
+    """Exact decimal text of the whole quotient of limb sums by a constant.
+
+    The argument is used several times: give computed sums a column of their own first.
+    """
     limbs = _carried(_col(sums))
     for step in _steps(divisor):
         limbs = _divided(limbs, step)
-    return _limbs_text(limbs)
+    return F.coalesce(_short_quotient(_col(sums), divisor), _limbs_text(limbs))
+
+
+def _short_quotient(sums: Column, divisor: int) -> Column:
+    """The same in decimal arithmetic, or NULL where the total or the quotient needs more digits than that has."""
+    whole = "decimal(38,0)"
+    if divisor >= 10**31:
+        return F.lit(None).cast("string")
+    total = sums[LIMBS - 1].cast(whole)
+    for i in range(1, 5):
+        power = F.lit(str(1 << LIMB_BITS * i)).cast("decimal(30,0)")
+        total = F.try_add(total, F.try_multiply(sums[LIMBS - 1 - i].cast("decimal(19,0)"), power).try_cast(whole)).try_cast(whole)
+    d = F.lit(str(divisor)).cast(whole)
+    # what is divided leaves no remainder, so the fraction that a decimal quotient keeps is zero
+    quotient = F.try_divide(F.try_subtract(total, F.try_mod(total, d)), d).try_cast(whole)
+    high = reduce(lambda x, y: x.bitwiseOR(y), [sums[i] for i in range(LIMBS - 5)])
+    return F.when(high == 0, quotient.cast("string"))
 
 
 def u256_div(c, divisor: int) -> Column:
