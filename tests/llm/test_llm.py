@@ -338,7 +338,25 @@ def test_ngram_join(spark, docs, edge, texts):
 
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (5, 5)], "a bigint, b bigint")
-    assert {r.node: r.root for r in components.components(links).collect()} == {**{i: 0 for i in range(301)}, 1000: 1000, 1001: 1000}
+    want = {**{i: 0 for i in range(301)}, 1000: 1000, 1001: 1000}
+    for one_task in (0, 40, 1000):  # contracted to the end, down to 40 links, not at all
+        assert {r.node: r.root for r in components.components(links, one_task).collect()} == want
+
+
+def test_components_of_random_links(spark):
+    rng = random.Random(8)
+    pairs = [(rng.randrange(-500, 500), rng.randrange(-500, 500)) for _ in range(600)]
+    least = {n: n for p in pairs for n in p}
+    for _ in range(len(least)):
+        before = dict(least)
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+        if before == least:
+            break
+    linked = {n for a, b in pairs if a != b for n in (a, b)}
+    links = spark.createDataFrame(pairs, "a bigint, b bigint")
+    for one_task in (0, 100, 1000):
+        assert {r.node: r.root for r in components.components(links, one_task).collect()} == {n: least[n] for n in linked}
 
 
 def test_token_counts_of_every_prefix(spark, docs, edge, texts):
