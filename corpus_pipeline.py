@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockloom.llm import bpe, language_id, line_dedup, mixing, ngram_join
-from blockloom.llm.tables import table
+from blockloom.llm.tables import stored, table
 from blockloom.session import scratch
 
 #: Language identification is a trained model, which SQL does not express; tests hold the stages against plain Python.
@@ -42,7 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of each text, and digests of them and of the text decoded from them."""
     ranks = bpe.ranks_of(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    encoded = stored(bpe.encode(docs, ranks, public_tokenizers.PATTERN))  # else each task holds a worker that encodes and one that decodes
     return bpe.with_digests(bpe.decode(encoded, ranks)).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
