@@ -89,16 +89,15 @@ def normalize_logs(star: Star):
 
 
 @query("assemble_blocks", "S3 J13", LINES + """
-SELECT 7 AS chain_id, key AS block_number, i AS pos, key * 2 + i AS tx_hash, key * 2 + i AS receipt_hash, CASE WHEN i = 0 THEN TRUE ELSE FALSE END AS traced, l_linestatus = 'O' AS success
-FROM l, (VALUES (0), (1)) v(i)
-WHERE key IN (SELECT key FROM l GROUP BY key HAVING count(*) = 1)""")
+, u AS (SELECT key, l_linestatus, key * 1000 + row_number() OVER (PARTITION BY key ORDER BY l_linestatus) AS number FROM l)
+SELECT 7 AS chain_id, key AS block_number, i AS pos, number * 2 + i AS tx_hash, number * 2 + i AS receipt_hash, CASE WHEN i = 0 THEN TRUE ELSE FALSE END AS traced, l_linestatus = 'O' AS success
+FROM u, (VALUES (0), (1)) v(i)""")
 def assemble_blocks(star: Star):
-    # repeated line items would repeat transaction hashes, which a chain never does
-    nested = star.nested_blocks()
-    single = nested.groupBy("block.hash").agg(F.count("*").alias("n"), F.any_value("block").alias("block"), F.any_value("receipts").alias("receipts"), F.any_value("traces").alias("traces")).where("n = 1")
-    receipts = single.select(F.explode("receipts").alias("receipt"))
-    traces = single.select(F.explode("traces").alias("trace")).where("trace.result is not null")
-    rows = N.assemble_blocks(single.select("block"), receipts, traces, CHAIN)
+    # a chain never repeats a transaction hash
+    nested = star.nested_blocks(unique=True)
+    receipts = nested.select(F.explode("receipts").alias("receipt"))
+    traces = nested.select(F.explode("traces").alias("trace")).where("trace.result is not null")
+    rows = N.assemble_blocks(nested.select("block"), receipts, traces, CHAIN)
     return plain(
         rows.select(
             "chain_id", H.hex_to_uint("block.number", 32).alias("block_number"), "pos", H.hex_to_fixed("tx.hash", 32).alias("tx_hash"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime
+from datetime import date, datetime
 from functools import reduce
 from pathlib import Path
 
@@ -166,6 +166,28 @@ def write_and_purge_chain(star: Star):
     return kept.groupBy("chain_id", F.date_format("block_date", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("rows")).withColumn("chain_id", F.col("chain_id").cast("bigint"))
 
 
+@query("merge_closed_days", "T1 S7 S8", with_tables("raw_traces") + """
+SELECT chain_id, block_number, strftime(block_time, '%Y-%m-%d') AS day, sender AS "from", call_type, tx_success FROM raw_traces""")
+def merge_closed_days(star: Star):
+    """Eight batches a day; the days of January are merged, one batch comes again and one comes late."""
+    spark, root, batches = star.spark, scratch(star.spark), 8
+    rows, end = star.raw_traces(), date(2024, 2, 1)
+    batch = lambda n: rows.where(F.pmod("block_number", F.lit(batches)) == n)
+    for n in range(batches - 1):
+        ST.write_raw(batch(n), root, "raw_traces", "stream", batch=f"b{n}")
+    for chain in (1, 2, 3):
+        ST.merge_days(spark, root, "raw_traces", chain, end)
+        first, last = F.lit("2000-01-01").cast("date"), F.lit("2100-01-01").cast("date")
+        ST.write_new(batch(3).where(F.col("chain_id") == chain), root, "raw_traces", "b3", ST.stored_blocks(spark, root, "raw_traces", chain, first, last, "b3"))
+    ST.write_raw(batch(batches - 1), root, "raw_traces", "stream", batch="late")
+    for chain in (1, 2, 3):
+        files = ST.batch_files(spark, root, "raw_traces", chain).where(F.col("day") < end.isoformat()).groupBy("day").agg(F.countDistinct("batch").alias("batches"))
+        if files.agg(F.max("batches")).first()[0] > 4:  # up to three small files need no merging
+            raise AssertionError("a merged day holds few batches, of which one came late")
+    kept = ST.read_table(spark, root, "raw_traces")
+    return plain(kept.select(F.col("chain_id").cast("bigint").alias("chain_id"), "block_number", F.date_format("block_time", "yyyy-MM-dd").alias("day"), "from", "call_type", "tx_success"))
+
+
 # --- resumable runs ----------------------------------------------------------------------------------
 
 

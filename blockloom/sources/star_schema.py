@@ -7,7 +7,7 @@ check, with addresses as plain numbers.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
@@ -283,22 +283,29 @@ class Star:
 
     # --- nested block records -------------------------------------------------------
 
-    def nested_blocks(self) -> DataFrame:
-        """lineitem: every row is a block of its own with two transactions, receipts with logs, and one call tree."""
+    def nested_blocks(self, unique: bool = False) -> DataFrame:
+        """lineitem: every row is a block of its own with two transactions, receipts with logs, and one call tree.
+
+        Line items with the same numbers have the same hashes, unless these are to be ``unique``.
+        """
         key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
         part, supp = F.col("l_partkey"), F.col("l_suppkey")
         hx = lambda c: F.concat(F.lit("0x"), F.lower(F.hex(c.cast("bigint"))))
         h32 = lambda c: F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(c.cast("bigint"))), 64, "0"))
         a20 = lambda c: F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(c.cast("bigint"))), 40, "0"))
+        items, number = self.spread("lineitem"), key
+        if unique:
+            same = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_linestatus", "l_partkey", "l_suppkey", "l_extendedprice")
+            items, number = items.withColumn("copy", F.row_number().over(same)), key * 1000 + F.col("copy")
         # text forms of the row's numbers, computed once
-        rows = self.spread("lineitem").select(
+        rows = items.select(
             "*",
             key.alias("key"),
             _cents("l_extendedprice").alias("cents"),
             _seconds(_spread("l_shipdate", F.col("l_orderkey") * 7919)).alias("seconds"),
             *[a20(part + i).alias(f"part{i}") for i in (0, 1)],
             *[a20(supp + i).alias(f"supp{i}") for i in (0, 1)],
-            *[h32(key * 2 + i).alias(f"hash{i}") for i in (0, 1)],
+            *[h32(number * 2 + i).alias(f"hash{i}") for i in (0, 1)],
             h32(part).alias("part32"),
             h32(key).alias("key32"),
             hx(F.col("l_quantity").cast("bigint") * 100 + 21000).alias("gas"),

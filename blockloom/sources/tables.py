@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,7 @@ RAW_LAYOUT = {
 }
 RAW_PARTITIONS = ["chain_id", "block_date"]
 BATCH = "batch"  # the innermost partition: which write the rows came with
+TARGET_BYTES = 256 << 20  # of a file of a merged day
 KEPT_TABLES = ("raw_blocks", "raw_txs", "raw_traces", "raw_logs", "block_days", "p_chain_txs", "sync_watermark", "chain_status")
 
 
@@ -110,6 +113,63 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(jpath, True)
 
 
+# --- merging small batches ---------------------------------------------------------------
+
+
+def batch_files(spark: SparkSession, root: str, table: str, chain_id: int) -> DataFrame:
+    """(day, batch, length) of every file of a chain's raw table, as the folders are named."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(f"{root}/{table}/chain_id={int(chain_id)}")
+    part = lambda name: F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
+    return files.select(part("block_date").alias("day"), part(BATCH).alias("batch"), "length")
+
+
+def merge_days(spark: SparkSession, root: str, table: str, chain_id: int, before: date, target_bytes: int = TARGET_BYTES) -> list[str]:
+    """Rewrite days before ``before`` that hold many more files than their bytes need; returns these days.
+
+    The rows of a day's batches go to one batch of files of about ``target_bytes``, in the table's order and without
+    overlap.  They are written beside the table first, and then each day changes over by itself: batches that came after
+    the listing stay as they are, and a run that broke off is completed by the next one.  While a day changes over it can
+    be seen without rows, never with rows twice; a query that has listed the day's old files has to be repeated.  A
+    micro-batch that comes again finds its blocks in the merged batch and writes none.  One merge at a time may run for
+    a chain's table.
+    """
+    home, staged = f"{root}/{table}/chain_id={int(chain_id)}", f"{root}/_merging/{table}/chain_id={int(chain_id)}"
+    _change_over(spark, home, staged)
+    if not path_exists(spark, home):
+        return []
+    files = batch_files(spark, root, table, chain_id).where(F.col("day") < before.isoformat())
+    days = files.groupBy("day").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.collect_set("batch").alias("batches"))
+    # at most two files more than needed come from the borders of the ranges
+    many = days.where(F.col("files") > 2 * F.ceil(F.col("bytes") / target_bytes) + 1).collect()
+    if not many:
+        return []
+    parts = [(r.day, b) for r in many for b in sorted(r.batches)]
+    spark.createDataFrame(parts, "day string, batch string").coalesce(1).write.mode("overwrite").parquet(f"{staged}/sources")
+    rows = spark.read.option("basePath", home).parquet(*[f"{home}/block_date={d}/{BATCH}={b}" for d, b in parts])
+    order = ["block_date", *RAW_LAYOUT[table]]
+    merged = rows.withColumn(BATCH, F.lit(f"merged-{uuid.uuid4().hex[:12]}"))
+    count = max(1, -(-sum(r.bytes for r in many) // target_bytes))
+    write_table(merged.repartitionByRange(count, *order), f"{staged}/rows", ["block_date", BATCH], RAW_LAYOUT[table], "overwrite")
+    _change_over(spark, home, staged)
+    return sorted(r.day for r in many)
+
+
+def _change_over(spark: SparkSession, home: str, staged: str) -> None:
+    """Put completely staged days in the place of the batches they were made of; what is in place already is passed over."""
+    if path_exists(spark, f"{staged}/rows/_SUCCESS"):
+        batches: dict[str, list[str]] = {}
+        for r in spark.read.parquet(f"{staged}/sources").collect():  # a name for each folder to be deleted
+            batches.setdefault(r.day, []).append(r.batch)
+        for day, names in batches.items():
+            fs, come = _fs(spark, f"{staged}/rows/block_date={day}")
+            for made in fs.listStatus(come) if fs.exists(come) else []:
+                for name in names:
+                    delete_path(spark, f"{home}/block_date={day}/{BATCH}={name}")
+                if not fs.rename(made.getPath(), _fs(spark, f"{home}/block_date={day}/{made.getPath().getName()}")[1]):
+                    raise OSError(f"{made.getPath()} could not be moved to {home}")
+    delete_path(spark, staged)
+
+
 def purge_chain(spark: SparkSession, root: str, chain_id: int, tables=tuple(RAW_LAYOUT), marks=None, status=None) -> list[str]:
     """Delete one chain's partitions of the raw tables; returns the folders deleted.
 

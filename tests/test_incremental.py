@@ -3,7 +3,7 @@
 import glob
 import os
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -264,3 +264,63 @@ def test_stored_cycles_keep_differences_only(spark, star, tmp_path):
     assert state(run(renamed, "2001-08-03")) == {old: False, "other": True}
     assert sizes()["l1_validator_state"] == first["l1_validator_state"] + 2
     assert state(run(snapshot("2001-08-04"), "2001-08-04")) == {old: True, "other": False}
+
+
+def numbers(spark, root):
+    return sorted(r.block_number for r in ST.read_table(spark, root, "raw_traces").collect())
+
+
+def small_batches(spark, root, n):
+    days = ("2024-01-01", "2024-01-02", "2024-01-03")
+    for i in range(n):
+        ST.write_raw(traces(spark, *[(f"{d} 05:00:00", 100 * i + j, 1) for j, d in enumerate(days)]), root, "raw_traces", "stream", batch=f"b{i}")
+
+
+def test_closed_days_are_merged(spark, tmp_path):
+    root = str(tmp_path)
+    assert ST.merge_days(spark, root, "raw_traces", 1, date(2024, 1, 3)) == []
+    small_batches(spark, root, 12)
+    before = numbers(spark, root)
+    assert ST.merge_days(spark, root, "raw_traces", 1, date(2024, 1, 3)) == ["2024-01-01", "2024-01-02"]
+    files = {r.day: r["count"] for r in ST.batch_files(spark, root, "raw_traces", 1).groupBy("day").count().collect()}
+    assert files == {"2024-01-01": 1, "2024-01-02": 1, "2024-01-03": 12} and numbers(spark, root) == before
+    assert ST.merge_days(spark, root, "raw_traces", 1, date(2024, 1, 3)) == []
+    known = ST.stored_blocks(spark, root, "raw_traces", 1, F.lit("2024-01-01").cast("date"), F.lit("2024-01-03").cast("date"), "b3")
+    ST.write_new(traces(spark, ("2024-01-01 05:00:00", 300, 1), ("2024-01-02 05:00:00", 301, 1)), root, "raw_traces", "b3", known)  # comes again
+    assert numbers(spark, root) == before
+    assert len(glob.glob(f"{root}/_merging/*/*")) == 0
+    # bytes decide: a day of one needed file for each row has none too many
+    assert ST.merge_days(spark, root, "raw_traces", 1, date(2024, 1, 4), target_bytes=1) == []
+
+
+def test_broken_merge_is_completed(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    small_batches(spark, root, 6)
+    before = numbers(spark, root)
+    change, gone = ST._change_over, []
+
+    def once(spark, home, staged):
+        if os.path.exists(f"{staged}/rows"):
+            raise RuntimeError("lost")
+        change(spark, home, staged)
+
+    def breaks(spark, path):  # lost among the deletions of the first day
+        if len(gone) == 3:
+            raise RuntimeError("lost")
+        gone.append(path)
+        return delete(spark, path)
+
+    delete = ST.delete_path
+    monkeypatch.setattr(ST, "_change_over", once)
+    with pytest.raises(RuntimeError):
+        ST.merge_days(spark, root, "raw_traces", 1, date(2024, 1, 3))
+    assert numbers(spark, root) == before
+    monkeypatch.setattr(ST, "_change_over", change)
+    monkeypatch.setattr(ST, "delete_path", breaks)
+    with pytest.raises(RuntimeError):
+        ST.merge_days(spark, root, "raw_traces", 1, date(2024, 1, 3))
+    monkeypatch.setattr(ST, "delete_path", delete)
+    ST.write_raw(traces(spark, ("2024-01-01 06:00:00", 999, 1)), root, "raw_traces", "stream", batch="late")
+    assert ST.merge_days(spark, root, "raw_traces", 1, date(2024, 1, 3)) == []
+    assert numbers(spark, root) == [*before, 999]
+    assert {r.batch[:6] for r in ST.batch_files(spark, root, "raw_traces", 1).where("day = '2024-01-01'").collect()} == {"merged", "late"}
