@@ -119,12 +119,41 @@ def test_queries_with_sql(spark, folder, name):
 def test_mixing_meets_margins_and_handles_edges(docs, edge):
     rows = mixing.mix(docs).select("source", "lang", "topic", "n_tokens", "probability").collect()
     total = sum(r.n_tokens for r in rows)
-    assert abs(sum(r.n_tokens * r.probability for r in rows) - total / 2) < 0.1 * total
+    assert abs(sum(r.n_tokens * r.probability for r in rows) - total / 2) < 0.01 * total
     out = mixing.mix(edge)
     assert out.count() == len(EDGE) and out.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
     assert mixing.mix(edge.limit(0)).count() == 0
 
 
+def _cells(spark, rows):
+    return spark.createDataFrame(rows, "source string, lang string, topic string, tokens bigint")
+
+
+def test_raking_meets_every_margin(spark, monkeypatch):
+    tokens = {"a": 90_000, "b": 4_000, "c": 600}
+    rows = [(s, x, t, tokens[s] // (1 + 2 * i + j)) for s in tokens for i, x in enumerate(("en", "de")) for j, t in enumerate(("prose", "table"))]
+    errors = {(r.margin, r.value): r for r in mixing.margin_errors(mixing.rake(_cells(spark, rows))).collect()}
+    assert len(errors) == 7 and all(abs(r.error) < 0.01 for r in errors.values())
+    for m in mixing.MARGINS:
+        assert abs(sum(r.target for (x, _), r in errors.items() if x == m) - sum(r[3] for r in rows) / 2) < 1
+    # a value that has less than its share gives all, and the others of its margin take over
+    assert errors["source", "c"].target == errors["source", "c"].tokens
+    monkeypatch.setattr(mixing, "ONE_TASK_CELLS", 0)
+    shuffled = {(r.margin, r.value): r.reached for r in mixing.margin_errors(mixing.rake(_cells(spark, rows))).collect()}
+    assert all(abs(shuffled[k] - r.reached) < 1e-6 * r.reached for k, r in errors.items())
+
+
+def test_raking_to_given_targets_and_errors_out_of_reach(spark):
+    rows = [("a", "en", "x", 1000), ("a", "de", "x", 1000), ("b", "en", "x", 1000)]
+    wanted = spark.createDataFrame([("source", "a", 700.0), ("source", "b", 300.0), ("lang", "de", 200.0), ("lang", "en", 800.0), ("topic", "x", 1000.0)], "margin string, value string, target double")
+    raked = mixing.rake(_cells(spark, rows), targets=wanted)
+    assert {(r.source, r.lang): round(r.weight) for r in raked.collect()} == {("a", "en"): 500, ("a", "de"): 200, ("b", "en"): 300}
+    # b is wholly English: these margins contradict each other, which the report tells
+    clash = spark.createDataFrame([("source", "b", 900.0), ("source", "a", 100.0), ("lang", "en", 100.0), ("lang", "de", 900.0), ("topic", "x", 1000.0)], wanted.schema)
+    errors = {(r.margin, r.value): r.error for r in mixing.margin_errors(mixing.rake(_cells(spark, rows), targets=clash)).collect()}
+    assert max(abs(e) for e in errors.values()) > 0.1
+
+
 def test_licenses_by_line_and_inheritance(spark, edge):
     rows = [
         (1, "p/LICENSE", "Released under the MIT License."),
