@@ -426,3 +426,30 @@ def test_pipeline_against_its_parts(spark, folder, docs, texts):
     assert {r.doc_id for r in corpus_pipeline.mix_sources(spark, docs, folder).collect()} == mixed
     out = corpus_pipeline.run(spark, folder).collect()
     assert 0 < len(out) < len(texts) and all(r.n_tokens == len(r.ids) for r in out)
+
+
+def test_pipeline_carries_further_columns_and_odd_rows(spark, docs):
+    """Columns named as the operators name theirs, in every stage but the last; nulls, empty and repeated rows."""
+    plain = ["doc_id", "text", "lang", "source", "n_chars"]
+    odd = spark.createDataFrame([r[:5] for r in EDGE], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    odd = odd.withColumn("doc_id", F.col("doc_id") + 1_000_000)
+    names = ["kept", "language", "posterior", "topic", "probability", "n_tokens", "n_lines", "n_removed", "component_id", "TEXT"]
+    rows = docs.select(*plain).unionByName(odd)
+    now = rows.select(*plain, *[F.concat(F.lit(f"{n} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias(f"x{i}") for i, n in enumerate(names)]).toDF(*plain, *names)
+    left = rows.count()
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, now, "")
+        assert out.columns == now.columns
+        held = out.toDF(*plain, *[f"x{i}" for i in range(len(names))]).persist()
+        got = held.collect()
+        assert 0 < len(got) <= left
+        for r in got:
+            assert [r[f"x{i}"] for i in range(len(names))] == [f"{n} of {'null' if r.doc_id is None else r.doc_id}" for n in names]
+        left, now = len(got), held.toDF(*plain, *names)
+    last = corpus_pipeline.STAGES[-1][1](spark, now, "")
+    assert last.columns == ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"] and last.count() == left
+
+
+def test_pipeline_of_an_empty_table(spark, docs, tmp_path):
+    docs.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
