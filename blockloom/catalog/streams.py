@@ -76,6 +76,19 @@ def stream_peak_by_day(star: Star):
     return _stream(star, M.MetricSpec("peak", "raw_traces", "peak"), "day")
 
 
+@query("stream_months", "T3 T4 T5 P1", with_tables("raw_traces") + f"""
+, r AS (SELECT chain_id, block_time + to_days(CAST(block_number % 4 * 30 AS INTEGER)) AS t, call_type, tx_success FROM raw_traces)
+, m AS (SELECT chain_id, date_trunc('month', t) AS p, count(*) AS calls, count(*) FILTER (call_type IN ('CREATE', 'CREATE2') AND tx_success) AS contracts FROM r GROUP BY 1, 2)
+SELECT chain_id, metric_name, 'month' AS granularity, {TIME("p")} AS period, CAST(CASE metric_name WHEN 'calls' THEN calls ELSE contracts END AS VARCHAR) AS value
+FROM m, (VALUES ('calls'), ('contracts')) v(metric_name) WHERE p + INTERVAL 1 MONTH <= (SELECT max(t) FROM r) AND (metric_name = 'calls' OR contracts > 0)""")
+def stream_months(star: Star):
+    # spread over four months, since the events are of one
+    rows = StreamStar(star.spark, star.folder).raw_traces()
+    later = rows.withColumn("block_time", F.col("block_time") + F.make_dt_interval((F.col("block_number") % 4 * 30).cast("int")))
+    specs = (M.MetricSpec("calls", "raw_traces", "count"), "contracts")
+    return plain(reduce(DataFrame.unionByName, [_finish(T.stream_metric(later, s, "month"), scratch(star.spark)) for s in specs]))
+
+
 @query("stream_distinct_estimate", "T3 A2 M10")
 def stream_distinct_estimate(star: Star):
     return _stream(star, "active_addresses", "day")

@@ -1,8 +1,9 @@
 """Metrics over streams.
 
 Hours, days and weeks are event-time windows that are emitted once, when closed.  Calendar
-months have no fixed length, so they (and everything cumulative) are brought up to date per
-micro-batch from the stored raw tables.
+months have no fixed length: their starts are the event time, so a month is emitted once a row of
+a later one is there.  Everything cumulative is brought up to date per micro-batch from what
+earlier runs have carried.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from blockloom.constants import GRANULARITIES
-from blockloom.functions.periods import floor_period, following_period, period_seconds, utc_lit, utc_text, utc_time
+from blockloom.functions.periods import floor_period, following_period, period_seconds, period_start, utc_lit, utc_text, utc_time
 from blockloom.functions.text import trunc_div
 from blockloom.plans import carried
 from blockloom.plans.indexer import CARRIED, WatermarkStore, run_granular, write_metrics
@@ -32,39 +33,49 @@ def _window(ts, granularity: str) -> Column:
 
 
 def stream_metric(stream: DataFrame, spec: MetricSpec | str, granularity: str, delay: str = "0 seconds") -> DataFrame:
-    """A metric of a stream, one row per chain and closed window (append mode).
+    """A metric of a stream, one row per chain and closed window or ended month (append mode).
 
     Rows later than ``delay`` are dropped; use ``recompute_late`` to count them.  Distinct
     metrics are estimated with HyperLogLog, whose state does not grow with the addresses.
+
+    A month has ended with the first row, of any chain, of a later month, and rows that come after that are late; there is
+    no other delay.  Its state is one row per chain.  Peaks of a month would keep all its seconds: use update_metrics.
     """
     spec = SPECS[spec] if isinstance(spec, str) else spec
-    if granularity not in WINDOWS:
+    monthly = granularity == "month"
+    if not monthly and granularity not in WINDOWS:
         raise ValueError(f"no event-time window for {granularity}; use update_metrics")
-    df = stream.withWatermark("block_time", delay)
+    if monthly and (spec.kind == "peak" or delay != "0 seconds"):
+        raise ValueError("months have neither peaks nor a delay; use update_metrics")
+    if monthly:
+        # a second less than the start of the newest month: every earlier one has ended
+        df = stream.withColumn("start", period_start("block_time", granularity)).withWatermark("start", "1 second")
+        period, time, start = F.col("start"), "start", "start"
+    else:
+        df = stream.withWatermark("block_time", delay)
+        period, time, start = _window("block_time", granularity).alias("w"), "block_time", "w.start"
     if spec.where is not None:
         df = df.where(spec.where())
     measure = measure_sum(spec)
+    value = F.col("n")
     if spec.kind == "peak":
         seconds = df.groupBy("chain_id", F.window("block_time", "1 second").alias("s")).agg(measure.alias("n"))
         grouped = seconds.groupBy("chain_id", _window(F.window_time("s"), granularity).alias("w")).agg(F.max("n").alias("n"))
-        value = F.col("n")
     elif spec.kind == "distinct":
-        ends = addresses(df, spec.keys, "chain_id", "block_time")
-        grouped = ends.groupBy("chain_id", _window("block_time", granularity).alias("w")).agg(F.approx_count_distinct("address").alias("n"))
-        value = F.col("n")
+        ends = addresses(df, spec.keys, "chain_id", time)
+        grouped = ends.groupBy("chain_id", period).agg(F.approx_count_distinct("address").alias("n"))
     elif spec.kind in ("count", "sum", "rate", "max", "avg"):
         aggregate = {"max": lambda: F.max(spec.measure()), "avg": lambda: trunc_div(F.sum(spec.measure().cast(VALUE)), F.count(spec.measure()))}.get(spec.kind, lambda: measure)()
-        grouped = df.groupBy("chain_id", _window("block_time", granularity).alias("w")).agg(aggregate.alias("n"))
-        value = F.col("n")
+        grouped = df.groupBy("chain_id", period).agg(aggregate.alias("n"))
         if spec.kind == "rate":
-            value = trunc_div(value, period_seconds("w.start", granularity))
+            value = trunc_div(value, period_seconds(start, granularity))
     else:
         raise ValueError(f"{spec.kind} metrics are not windowed; use update_metrics")
     return grouped.select(
         "chain_id",
         F.lit(spec.name).alias("metric_name"),
         F.lit(granularity).alias("granularity"),
-        F.col("w.start").alias("period"),
+        F.col(start).alias("period"),
         value.cast(VALUE).alias("value"),
     )
 

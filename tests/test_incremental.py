@@ -324,3 +324,38 @@ def test_broken_merge_is_completed(spark, tmp_path, monkeypatch):
     assert ST.merge_days(spark, root, "raw_traces", 1, date(2024, 1, 3)) == []
     assert numbers(spark, root) == [*before, 999]
     assert {r.batch[:6] for r in ST.batch_files(spark, root, "raw_traces", 1).where("day = '2024-01-01'").collect()} == {"merged", "late"}
+
+
+def test_months_in_state(spark, tmp_path):
+    """Batches of a stream that ends and starts again; a month comes when it has ended, without its raw rows being read again."""
+    src, out, cp = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    schema = "chain_id bigint, block_time timestamp, gas bigint, `from` binary"
+    specs = [M.MetricSpec(k, "raw_txs", k, None if k == "count" else lambda: F.col("gas"), keys=("from",)) for k in ("count", "sum", "max", "avg", "rate", "distinct")]
+
+    def feed(*rows):
+        data = spark.createDataFrame([(*r, address(r[2] % 9 + 1)) for r in rows], "chain_id bigint, t string, gas bigint, `from` binary").withColumn("block_time", F.to_timestamp("t"))
+        data.select("chain_id", "block_time", "gas", "from").coalesce(1).write.mode("append").parquet(src)
+        got = {}
+        for spec in specs:
+            months = T.stream_metric(spark.readStream.schema(schema).parquet(src), spec, "month")
+            sink = months.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{cp}/{spec.name}").option("path", f"{out}/{spec.name}")
+            sink.trigger(availableNow=True).start().awaitTermination()
+            rows = spark.read.schema(months.schema).parquet(f"{out}/{spec.name}").collect()
+            got |= {(r.metric_name, r.chain_id, r.period.month): int(r.value) for r in rows}
+            assert all((r.granularity, r.period.day, r.period.hour) == ("month", 1, 0) for r in rows)
+        return got
+
+    big = 5_000_000
+    assert feed((1, "2024-01-03 01:00:00", 5 * big), (1, "2024-01-03 01:00:00", 8 * big), (2, "2024-01-20 00:00:00", 3)) == {}
+    assert feed((1, "2024-01-31 23:59:59", 1)) == {}
+    total = 13 * big + 1
+    first = {
+        ("count", 1, 1): 3, ("sum", 1, 1): total, ("max", 1, 1): 8 * big, ("avg", 1, 1): total // 3, ("rate", 1, 1): total // (31 * 86400), ("distinct", 1, 1): 3,
+        ("count", 2, 1): 1, ("sum", 2, 1): 3, ("max", 2, 1): 3, ("avg", 2, 1): 3, ("rate", 2, 1): 0, ("distinct", 2, 1): 1,
+    }
+    assert feed((1, "2024-02-01 00:00:00", 7)) == first  # chain 2 has no row in February
+    whole = feed((1, "2024-01-05 00:00:00", 100), (1, "2024-02-29 23:59:59", 9), (2, "2024-12-31 12:00:00", 4), (1, "2024-12-02 00:00:00", 6))
+    assert {k: v for k, v in whole.items() if k[2] == 1} == first  # what comes late is dropped
+    assert {k: v for k, v in whole.items() if k[2] > 1 and k[0] in ("sum", "avg")} == {("sum", 1, 2): 16, ("avg", 1, 2): 8}
+    with pytest.raises(ValueError, match="months"):
+        T.stream_metric(spark.readStream.schema(schema).parquet(src), "max_tps", "month")
