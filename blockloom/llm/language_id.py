@@ -19,6 +19,8 @@ For language l the posterior is, up to a factor, ``p(l | host) * p(declared | l)
 A document is rejected if it has no trigram (null, empty, one or two bytes) or if no language reaches ``MIN_POSTERIOR``
 of the posterior, of which what lies outside the model has its part; the language then is only the likeliest of the model.
 Ties between languages go to the first by name.  A null or unknown declaration or host counts as missing.
+
+:func:`identify_pages` does this for web pages, whose markup declares the language and whose address gives host and suffix.
 """
 
 from __future__ import annotations
@@ -54,6 +56,12 @@ def suffix_of(host: Column) -> Column:
     return F.regexp_extract(host, r"\.([^.]+)$", 1)
 
 
+def markup_language(html: Column) -> Column:
+    """Primary tag of the language that the html element declares, in lower case; null without one."""
+    said = F.regexp_extract(html, r"""(?is)<html(?=[\s>])[^>]*?\slang\s*=\s*["']?\s*([a-z]{2,8})(?![a-z])""", 1)
+    return F.when(said != "", F.lower(said))
+
+
 def _cells(data: np.ndarray) -> np.ndarray:
     code = _LOWER_CODE[data]
     return (mix(code[:-2] + mix(code[1:-1] + mix(code[2:]))) >> np.uint64(64 - BITS)).astype(np.int64)
@@ -217,6 +225,22 @@ def identify(
     return held.back(out, added=added)
 
 
+def identify_pages(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html", trees=None, model: Model | None = None) -> DataFrame:
+    """(id, url, declared, language, posterior, n_trigrams, kept) of every page, by its main text, html lang and address.
+
+    Null, empty and broken pages have no text and are rejected; pages that repeat are rows of their own.  An empty table
+    gives an empty result.
+    """
+    from blockloom.llm.html_extract import extract
+
+    rows = pick(pages, id=id, url=url, html=html).withColumn("html", F.col("html").cast("string"))
+    # the declaration travels with the id, so that the page is read and taken apart once
+    keyed = rows.select(F.struct("id", markup_language(F.col("html")).alias("declared")).alias("key"), "url", "html")
+    texts = stored(extract(keyed, trees, id="key").select("key.id", "url", "key.declared", "text"))
+    told = identify(texts, model, id="id", declared="declared", host=None, url="url")
+    return told.select(F.col("id").alias(id), F.col("url"), "declared", "language", "posterior", "n_trigrams", "kept")
+
+
 def _evidence(cells: DataFrame, count: int, strength: float) -> tuple[DataFrame, DataFrame, np.ndarray]:
     """Smoothed priors (host, prior), log p(declared | language) of every declaration (declared, said), and the overall prior."""
     cells = stored(cells)

@@ -65,6 +65,12 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(table(spark, folder, "documents")).select("doc_id", "lang", "source", "language", "posterior", "n_trigrams", "kept")
 
 
+@_query
+def pages_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Operator 7 over the pages, with the language of their markup and the hosts and suffixes of their addresses."""
+    return language_id.identify_pages(table(spark, folder, "pages"))
+
+
 @_query
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")

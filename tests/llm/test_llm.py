@@ -256,6 +256,59 @@ def test_language(spark, docs, edge):
     assert language_id.identify(edge.limit(0)).count() == 0
 
 
+def test_language_of_pages(spark, folder):
+    pages = table(spark, folder, "pages")
+    # the address of a test page names its language, which nothing here reads: it has to follow from text, markup, host and suffix
+    named = pages.select("page_id", F.regexp_extract("url", "//[^/]+/([a-z]{2})/", 1).alias("truth"))
+    wrong = F.when(F.col("page_id") % 10 == 3, F.regexp_replace("html", '<html lang="[a-z]+"', '<HTML class=x LANG=fr-CA')).otherwise(F.col("html"))
+    rows = language_id.identify_pages(pages.withColumn("html", wrong)).join(named, "page_id").collect()
+    assert len(rows) == pages.count() and sum(r.language == r.truth for r in rows) >= 0.95 * len(rows)
+    assert all(r.declared == ("fr" if r.page_id % 10 == 3 else r.truth) for r in rows)
+    assert language_id.identify_pages(pages.limit(0)).count() == 0
+    odd = [(1, None, None), (2, "", ""), (None, "x", "<html lang='de"), (2, "", ""), (3, "http://a.b.fr/", '<!-- x --><html xml:lang="en" lang = "pt-BR"><body><p>um texto curto')]
+    data = spark.createDataFrame([(*r, "mine") for r in odd], "page_id bigint, url string, html string, kept string")
+    got = language_id.identify_pages(data).collect()
+    assert sorted((r.page_id or 0, r.declared, r.kept) for r in got)[1:3] == [(1, None, False), (2, None, False)]
+    assert len(got) == 5 and [r.declared for r in got if r.page_id == 3] == ["pt"]
+
+
+def test_posterior_is_plain_bayes(spark, docs):
+    """The posterior of whole documents against the formula in plain Python, from the model's shares and counted evidence."""
+    rows = docs.where("n_chars BETWEEN 10 AND 400").orderBy("doc_id").limit(40).select("doc_id", "text", "lang", "source").persist()
+    model, data = language_id.Model.fit(docs), rows.collect()
+    names, few, places = model.languages, len(model.languages), range(len(model.languages) + 1)
+    logs = [*model.logs, model.other]
+
+    def text_only(text):
+        blob = np.frombuffer((text or "").encode(), np.uint8)
+        cells = language_id._cells(blob) if len(blob) >= 3 else []
+        return [sum(float(x[c]) for c in cells) * min(1, language_id.WEIGHT / max(len(cells), 1)) for x in logs], len(cells)
+
+    counts = Counter()
+    for r in data:
+        scores, grams = text_only(r.text)
+        best = max(places, key=lambda j: (scores[j], -j))
+        if grams and best < few:
+            counts[r.source, r.lang, best] += 1
+    total = [1 + sum(n for (*_, b), n in counts.items() if b == j) for j in range(few)]
+    made = len({d for _, d, _ in counts if d})
+    got = {r.doc_id: r for r in language_id.identify(rows, model).collect()}
+    for r in data:
+        scores, grams = text_only(r.text)
+        up = [t / sum(total) for t in total]
+        for key in (lambda s: True, lambda s: s == r.source):  # the suffix of all sources is empty, so the first is all hosts
+            own = [sum(n for (s, _, b), n in counts.items() if b == j and key(s)) for j in range(few)]
+            up = [(x + language_id.STRENGTH * p) / (sum(own) + language_id.STRENGTH) for x, p in zip(own, up)] if sum(own) else up
+        said = [sum(n for (_, d, b), n in counts.items() if b == j and d == r.lang) for j in range(few)]
+        if r.lang and sum(said):
+            scores = [s + math.log((x + 1) / (t + made)) for s, x, t in zip(scores, said, total)] + [scores[-1] + math.log((sum(said) + 1) / (sum(total) + made))]
+        scores = [s + math.log(p) + math.log(1 - language_id.OTHER) for s, p in zip(scores, up)] + [scores[-1] + math.log(language_id.OTHER)]
+        odds = [math.exp(s - max(scores)) for s in scores]
+        best = max(range(few), key=lambda j: (odds[j], -j))
+        g = got[r.doc_id]
+        assert g.language == names[best] and g.posterior == pytest.approx(odds[best] / sum(odds), rel=1e-6) and g.n_trigrams == grams
+
+
 def test_language_of_small_share_and_outside_the_model(spark, docs, texts):
     for small in ("de", "es"):
         rare = docs.where(F.col("lang") == small).orderBy("doc_id").limit(4)
