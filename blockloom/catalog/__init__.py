@@ -60,8 +60,23 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def exact(df: DataFrame) -> DataFrame:
+    """As ``plain``, with nothing cut: bytes as their hex text, lists of bytes joined by commas, times to the millisecond."""
+    out = []
+    for field in df.schema.fields:
+        c, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, T.TimestampType):
+            c = F.date_format(c, TIME_PATTERN + ".SSS")
+        elif isinstance(kind, T.BinaryType):
+            c = F.lower(F.hex(c))
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.BinaryType):
+            c = F.array_join(F.transform(c, lambda x: F.lower(F.hex(x))), ",")
+        out.append(c.alias(field.name))
+    return plain(df.select(*out))
+
+
 def load() -> dict[str, Query]:
-    from blockloom.catalog import balances, chain, metrics, platform, relational, streams  # noqa: F401
+    from blockloom.catalog import balances, chain, metrics, platform, relational, streams, whole  # noqa: F401
 
     return CATALOG
 

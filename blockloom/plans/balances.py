@@ -180,6 +180,8 @@ def chains_of(pairs: DataFrame, address: str) -> DataFrame:
 
 
 def accumulator_progress(rows: DataFrame) -> DataFrame:
-    """Highest block and pairs per chain of the accumulating variant."""
-    pairs = rows.groupBy(*PAIR).agg(F.max("last_block").alias("last_block"))
-    return pairs.groupBy("chain_id").agg(F.max("last_block").alias("max_block"), F.count("*").alias("unique_pairs"))
+    """Highest block and pairs per chain of the accumulating variant, and the last update if rows carry ``computed_at``."""
+    updated = [F.max("computed_at").alias("last_update")] if "computed_at" in rows.columns else []
+    pairs = rows.groupBy(*PAIR).agg(F.max("last_block").alias("last_block"), *updated)
+    newest = [F.max("last_update").alias("last_update")] if updated else []
+    return pairs.groupBy("chain_id").agg(F.max("last_block").alias("max_block"), F.count("*").alias("unique_pairs"), *newest)

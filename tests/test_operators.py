@@ -1,3 +1,5 @@
+import os
+
 import random
 
 import pytest
@@ -87,3 +89,18 @@ def test_pages_by_a_unique_order_lose_no_ties(spark):
         seen += [tuple(r) for r in rows]
         last = seen[-1]
     assert seen == sorted((k, i) for k in range(4) for i in range(5))
+
+
+def test_sizes_of_stored_tables(spark, folder):
+    from blockloom.sources.tables import gb_per_billion, table_stats
+
+    paths = {n: f"{folder}/{n}.parquet" for n in ("orders", "lineitem")}
+    stats = table_stats(spark, paths)
+    sizes = {n: os.path.getsize(p) for n, p in paths.items()}
+    got = {r.table: r for r in stats.collect()}
+    assert {n: r.size_bytes for n, r in got.items()} == sizes
+    assert all(abs(r.bytes_per_row - sizes[n] / r.rows) < 1e-9 for n, r in got.items())
+    one = gb_per_billion(stats, "lineitem").first()
+    assert one.total_bytes == sum(sizes.values()) and one.total_rows == sum(r.rows for r in got.values())
+    assert abs(one.gb_per_billion - sum(sizes.values()) / got["lineitem"].rows * 1e9 / 2**30) < 1e-6
+    assert gb_per_billion(stats, "absent").first().gb_per_billion == 0
