@@ -10,7 +10,9 @@ The trees are fitted on at most ``SAMPLE_PAGES`` pages, those with the least has
 semantic tags: what lies in ``article`` or ``main`` and not in a menu, form and the like is content, and so are its
 ancestors.  Each sample page is also used in variants, in which the article sits in plain ``div`` elements and the menus,
 notices, adverts, sidebars and comment lists that pages have around it are made of the sample's own sentences; so the trees
-learn from attributes and densities what the tags tell in the original.
+learn from attributes and densities what the tags tell in the original.  If no page of the table has such a tag, the sample
+is of all pages: labels then come from attributes that name the article, and on a page without these from the share of
+links in an element; menus, footers and the like are told by their tags and attributes as before.
 
 Blocks are the text between block-level tags; references are decoded, white space becomes one space, blocks are joined by
 a line feed.  Null or empty html gives an empty text; broken html gives the text of what was read.
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.tables import each_batch, pick
+from blockloom.llm.tables import each_batch, pick, stored
 
 SAMPLE_PAGES = 150
 TREES, DEPTH = 12, 4
@@ -278,21 +280,45 @@ def variants(page: str, turn: int) -> Iterator[str]:
     yield f"{a}{top}{opened}{body}{closed}{side}{tail}{b}"
 
 
-def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows, labels = [], []
-        for turn, page in zip(batch["turn"].to_pylist(), batch["html"].to_pylist()):
-            for k, variant in enumerate(variants(page or "", turn)):
-                nodes, texts = parse(variant)
-                if k == 0:
-                    own = _labels(nodes)
-                else:
-                    own = _variant_labels(nodes)
-                if own is not None:
-                    rows.append(features(nodes, texts))
-                    labels += own
-        if rows:
-            yield pa.RecordBatch.from_pydict({"label": pa.array(np.array(labels, float)), "values": pa.array(np.concatenate(rows).astype(float).tolist(), pa.list_(pa.float64()))})
+def _dense_labels(nodes: list[Node]) -> list[bool]:
+    """Content without any name for it: elements with more text of their own than links, apart from parts beside the article."""
+    inside, beside = [False] * len(nodes), [False] * len(nodes)
+    for i, own in enumerate(nodes):
+        if i:
+            beside[i] = beside[own.up] or own.tag in _BESIDE_TAGS or not own.words.isdisjoint(BESIDE)
+            inside[i] = not beside[i] and (inside[own.up] if own.tag in _INLINE else own.text > 2 * own.links)
+    for i in range(len(nodes) - 1, 0, -1):
+        if inside[i]:
+            inside[nodes[i].up] = True
+    return inside
+
+
+def _loose_labels(nodes: list[Node]) -> list[bool]:
+    """By attributes that name the article, else by the density of links."""
+    named = _variant_labels(nodes)
+    return named if any(named) else _dense_labels(nodes)
+
+
+def _training(loose: bool):
+    """Features and labels of the sample; ``loose`` also takes pages without a semantic tag."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, labels = [], []
+            for turn, page in zip(batch["turn"].to_pylist(), batch["html"].to_pylist()):
+                for k, variant in enumerate(variants(page or "", turn)):
+                    nodes, texts = parse(variant)
+                    values = features(nodes, texts)
+                    own = _variant_labels(nodes) if k else _labels(nodes)
+                    if own is None and loose:
+                        own = _loose_labels(nodes)
+                    if own is not None:
+                        rows.append(values)
+                        labels += own
+            if rows:
+                yield pa.RecordBatch.from_pydict({"label": pa.array(np.array(labels, float)), "values": pa.array(np.concatenate(rows).astype(float).tolist(), pa.list_(pa.float64()))})
+
+    return work
 
 
 def _variant_labels(nodes: list[Node]) -> list[bool]:
@@ -346,20 +372,28 @@ class Trees:
 
 
 def fit(pages: DataFrame, id: str = "page_id", html: str = "html", sample: int = SAMPLE_PAGES) -> Trees:
-    """Boosted trees from at most ``sample`` pages with an article; without any, nothing is told apart."""
+    """Boosted trees from at most ``sample`` pages with an article, or of all pages if no page has one.
+
+    If no element of the sample lies beside its article, every element is kept.
+    """
     from pyspark.ml.classification import GBTClassifier
+
+    rows = pick(pages, id=id, html=html)
+    marked = rows.where(F.lower("html").contains("<article") | F.lower("html").contains("<main"))
+    for taken, loose in ((marked, False), (rows, True)):
+        trained = stored(_sampled(taken, sample, loose))
+        if trained.select("label").distinct().count() == 2:
+            return Trees.of(GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, cacheNodeIds=False).fit(trained))
+    return Trees([(1.0, [(0, 0.0, 0, 0, 1.0)])])
+
+
+def _sampled(rows: DataFrame, sample: int, loose: bool) -> DataFrame:
+    """(label, features) of the elements of the ``sample`` pages with the least hash of their id."""
     from pyspark.ml.functions import array_to_vector
 
-    rows = pick(pages, id=id, html=html).where(F.lower("html").contains("<article") | F.lower("html").contains("<main"))
     least = rows.select(F.xxhash64("id").alias("turn"), F.col("html")).orderBy("turn").limit(sample)
-    trained = least.select(F.pmod("turn", F.lit(12)).cast("int").alias("turn"), F.col("html").cast("string")).repartition(8, "turn")
-    trained = trained.mapInArrow(_training, "label double, values array<double>").select("label", array_to_vector("values").alias("features"))
-    from blockloom.llm.tables import stored
-
-    trained = stored(trained)
-    if trained.select("label").distinct().count() < 2:
-        return Trees([(1.0, [(0, 0.0, 0, 0, 1.0)])])
-    return Trees.of(GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, cacheNodeIds=False).fit(trained))
+    dealt = least.select(F.pmod("turn", F.lit(12)).cast("int").alias("turn"), F.col("html").cast("string")).repartition(8, "turn")
+    return dealt.mapInArrow(_training(loose), "label double, values array<double>").select("label", array_to_vector("values").alias("features"))
 
 
 def _extracted(trees: Trees):

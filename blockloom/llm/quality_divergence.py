@@ -8,8 +8,9 @@ distance (root of the divergence in bits, 0 to 1) of both histograms.  Small sam
 
 Every language with ``REFERENCE_WORDS`` words or more has a reference of its own, whatever its share: the ``HELD`` largest
 go to the tasks at once, those of further languages are a table of common cells that is joined to the documents by
-language.  Languages with fewer words and a null label use the pooled reference.  Base rules fail a document with fewer than 50 words or with more than half of its words in repeated
-3-word windows.  A null text has no words and fails; repeated rows are judged alike.
+language.  A language of fewer words is too short to be a reference: as with short documents, its distances are not judged
+and are null.  A null label uses the pooled reference, under the same minimum.  Base rules fail a document with fewer than
+50 words or with more than half of its words in repeated 3-word windows.  A null text has no words and fails; repeated rows are judged alike.
 """
 
 from __future__ import annotations
@@ -190,11 +191,14 @@ def _reference(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang", held: int = HELD) -> tuple[dict[str, Reference], DataFrame | None]:
-    """References of POOLED and the ``held`` largest languages, and a table (lang, reference) of the others, None if there are none."""
+    """References of POOLED and the ``held`` largest languages, and a table (lang, reference) of the others, None if there are none.
+
+    A corpus of fewer than ``REFERENCE_WORDS`` words has no reference at all.
+    """
     schema = "lang string, words bigint, counts binary"
     docs = pick(docs, text=text, lang=lang).select(F.col("text").cast("string"), F.col("lang").cast("string"))
     sums = docs.mapInArrow(_histograms, schema).repartition("lang").mapInArrow(_sum, schema)
-    sums = sums.where((F.col("lang") == POOLED) | (F.col("words") >= REFERENCE_WORDS))
+    sums = sums.where(F.col("words") >= REFERENCE_WORDS)
     table = stored(sums.mapInArrow(each_batch(_reference), "lang string, words bigint, chars array<double>, common array<int>, shares array<double>"))
     order = [F.col("lang") != POOLED, F.desc("words"), F.col("lang")]
     top = table.orderBy(*order).limit(held + 1).collect()
@@ -240,7 +244,8 @@ def _judge(refs: dict[str, Reference], max_char: float, max_word: float, min_cha
                 if name is not None and name not in table and batch["reference"][i].is_valid:
                     ref = batch["reference"][i].as_py()
                     table[name] = _placed(np.array(ref["chars"]), np.array(ref["common"], np.int64), np.array(ref["shares"]))
-        langs = [x if x in table and x != POOLED else POOLED for x in batch["lang"].to_pylist()]
+        langs = [POOLED if x is None else x for x in batch["lang"].to_pylist()]
+        langs = [x if x in table else None for x in langs]
         got: dict[str, np.ndarray] = {c: np.zeros(k, np.int64) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
         char_d, word_d, n_chars = np.zeros(k), np.zeros(k), np.zeros(k, np.int64)
         for at, base, classes, words, ends in measure(batch["text"]):
@@ -250,7 +255,7 @@ def _judge(refs: dict[str, Reference], max_char: float, max_word: float, min_cha
             n_chars[at : at + m] = classes.sum(axis=1)
             owner, cells = _word_cells(words, ends)
             names = np.array(langs[at : at + m], object)
-            for name in set(names):
+            for name in set(names) - {None}:
                 chars, place, shares = table[name]
                 rows = np.flatnonzero(names == name)
                 char_d[at + rows] = distance(classes[rows], chars)
@@ -262,7 +267,8 @@ def _judge(refs: dict[str, Reference], max_char: float, max_word: float, min_cha
                 word_d[at + rows] = distance(counts, shares)
         failed = (got["n_words"] < 50) | (100 * got["n_repeat_words"] > 50 * got["n_words"])
         far = ((char_d > max_char) & (n_chars >= min_chars)) | ((word_d > max_word) & (got["n_words"] >= min_words))
-        return pa.RecordBatch.from_pydict({"id": batch["id"], **got, "base_failed": failed, "char_distance": char_d, "word_distance": word_d, "kept": ~failed & ~far})
+        unjudged = np.array([x is None for x in langs], bool)
+        return pa.RecordBatch.from_pydict({"id": batch["id"], **got, "base_failed": failed, "char_distance": pa.array(char_d, mask=unjudged), "word_distance": pa.array(word_d, mask=unjudged), "kept": ~failed & ~far})
 
     return each_batch(work)
 
@@ -280,7 +286,6 @@ def quality(
 ) -> DataFrame:
     """Base counts, distances and the verdict for every row of ``docs``."""
     refs, more = references(docs, text, lang, held)
-    refs = refs or {POOLED: (np.full(CLASSES, 1 / CLASSES), np.zeros(0, np.int64), np.ones(1))}
     rows = pick(docs, id=id, text=text, lang=lang).select("id", F.col("text").cast("string"), F.col("lang").cast("string"))
     kind = rows.schema["id"].dataType.simpleString()
     if more is not None:

@@ -111,6 +111,21 @@ def test_quality_of_a_language_of_small_share(spark, monkeypatch):
         assert by_id(quality_divergence.quality(docs, held=held)) == got
 
 
+def test_quality_below_the_reference_minimum_is_not_judged(spark):
+    deal = random.Random(6)
+    words = {k: ["".join(deal.choices(a, k=5)) for _ in range(80)] for k, a in (("la", "abcdefgh"), ("el", "αβγδεζηθ"))}
+    rows = [(i, " ".join(deal.choices(words["la"], k=300)), "la") for i in range(200)] + [(i, " ".join(deal.choices(words["el"], k=300)), "el") for i in range(200, 203)]
+    rows += [(203, "αβγ", "el"), (204, " ".join(deal.choices(words["el"], k=300)), "unknown"), (205, None, "el"), (206, " ".join(deal.choices(words["el"], k=300)), None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = by_id(quality_divergence.quality(docs))
+    assert all(got[i].kept and got[i].char_distance is not None for i in range(200))
+    for i in (200, 201, 202, 204):  # 903 words of the language, 300 of another
+        assert got[i].kept and got[i].char_distance is None and got[i].word_distance is None
+    assert not got[203].kept and not got[205].kept and not got[206].kept and got[206].char_distance > 0.5
+    few = by_id(quality_divergence.quality(docs.where("doc_id in (0, 206)")))  # no reference of 1,000 words at all
+    assert few[0].kept and few[206].kept and few[206].word_distance is None
+
+
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_queries_with_sql(spark, folder, name):
     assert compare(queries.QUERIES[name](spark, folder), queries.ORACLES[name], folder) is None
@@ -243,6 +258,27 @@ def test_html_text(spark, folder):
     assert rows[0].text == rows[1].text == "" and rows[2].text == "a\nb" and rows[3].text == "A\nOne two, three. Four."
 
 
+@pytest.mark.parametrize("holder", ['<div class="post-body">', "<div>"])
+def test_html_without_semantic_tags(spark, folder, holder):
+    """No page has an article or main tag: labels come from attributes, or from the share of links."""
+    pages = table(spark, folder, "pages")
+    bare = pages.withColumn("html", F.regexp_replace(F.regexp_replace("html", "<(article|main)[^>]*>", holder), "</(article|main)>", "</div>"))
+    assert bare.where(F.lower("html").rlike("<(article|main)")).count() == 0
+    want, got = by_id(html_extract.extract(pages), "page_id"), by_id(html_extract.extract(bare), "page_id")
+    assert sum(got[i].text == want[i].text for i in want) >= 0.95 * len(want)
+
+
+def test_html_of_one_page_without_semantic_tags(spark):
+    page = '<body><div class="menu"><a href="/">Home</a> <a href="/n">News</a></div><div{}><h1>Title</h1><p>Some text, with a <a href="/x">link</a> in it.</p><p>More of it.</p></div>'
+    page += '<div class="comments"><p>nice post</p></div><div id="footer"><p>Copyright 2020</p></div></body>'
+    for name in (' class="entry"', ""):
+        rows = [(i, "u", page.format(name)) for i in range(3)] + [(3, "u", None), (4, "u", "")]
+        got = by_id(html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")), "page_id")
+        assert all(got[i].text == "Title\nSome text, with a link in it.\nMore of it." for i in range(3)) and got[3].text == got[4].text == ""
+    nothing = spark.createDataFrame([(1, "u", "<p>a</p>")], "page_id bigint, url string, html string")
+    assert html_extract.extract(nothing).first().text == "a" and html_extract.extract(nothing.limit(0)).count() == 0
+
+
 def test_language(spark, docs, edge):
     rows = language_id.identify(docs).select("lang", "language", "kept").collect()
     assert sum(r.lang == r.language for r in rows) >= 0.97 * len(rows) and sum(r.kept for r in rows) >= 0.99 * len(rows)
