@@ -120,10 +120,15 @@ def addresses(df: DataFrame, keys: tuple[str, ...], *rest) -> DataFrame:
 
 
 def metric(
-    name: str, granularity: str, tables: dict[str, DataFrame], chain_id: int | None = None, first=None, last=None, approx: bool = False
+    name: str, granularity: str, tables: dict[str, DataFrame], chain_id: int | None = None, first=None, last=None, approx: bool = False, exact: bool = False
 ) -> DataFrame:
-    """One metric of the rows in [first, last), per chain and period. Periods without rows give no row."""
+    """One metric of the rows in [first, last), per chain and period. Periods without rows give no row.
+
+    The value is a decimal, null for a volume beyond its 38 digits; with ``exact`` it is text of any length.
+    """
     spec = SPECS[name]
+    if exact and spec.kind != "token_volume":
+        return metric(name, granularity, tables, chain_id, first, last, approx).withColumn("value", F.col("value").cast("string"))
     df = for_chain(tables[spec.source], chain_id)
     if spec.where is not None:
         df = df.where(spec.where())
@@ -135,7 +140,10 @@ def metric(
         return _named(out, name, granularity, F.col("value"))
     df = in_time_range(df, "block_time", first, last)
     if spec.kind == "token_volume":
-        return _named(token_volume(df, spec.token, spec.decimals, granularity), name, granularity, F.col("value"))
+        volume = token_volume(df, spec.token, spec.decimals, granularity)
+        if exact:
+            return volume.select("chain_id", F.lit(name).alias("metric_name"), F.lit(granularity).alias("granularity"), "period", "value")
+        return _named(volume, name, granularity, F.col("value"))
     keyed = ["chain_id", period_start("block_time", granularity).alias("period")]
     if spec.kind == "distinct":
         counted = F.approx_count_distinct("address") if approx else F.count_distinct("address")
@@ -352,9 +360,13 @@ def token_volume_batch(df: DataFrame, spec: MetricSpec, grains: tuple[str, ...])
 
 def metric_batch(
     tables: dict[str, DataFrame], names: list[str] | None = None, chain_id: int | None = None, first=None, last=None, approx: bool = False,
-    grains: tuple[str, ...] = GRANULARITIES,
+    grains: tuple[str, ...] = GRANULARITIES, exact: bool = False,
 ) -> DataFrame:
-    """Many metrics at several granularities; sources not in ``tables`` are skipped."""
+    """Many metrics at several granularities; sources not in ``tables`` are skipped.
+
+    With ``exact`` every value is text and volumes of any number of digits are exact, as in ``metric``.
+    """
+    kind = "string" if exact else VALUE
     specs = [SPECS[n] for n in (names or SPECS) if SPECS[n].source in tables]
     parts = []
     for source in dict.fromkeys(s.source for s in specs):
@@ -367,9 +379,9 @@ def metric_batch(
             parts.append(_batch_additive(ranged, additive, grains))
         if distinct:
             parts.append(_batch_distinct(ranged, distinct, grains, approx))
-        parts += [token_volume_batch(ranged, s, grains).withColumn("value", F.col("value").try_cast(VALUE)) for s in mine if s.kind == "token_volume"]
+        parts += [token_volume_batch(ranged, s, grains) for s in mine if s.kind == "token_volume"]
         parts += [_batch_cumulative(history, s, grains, first) for s in mine if s.kind.startswith("cumulative")]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [p.withColumn("value", F.col("value").try_cast(kind)) for p in parts])
 
 
 def only_complete(series: DataFrame, latest) -> DataFrame:

@@ -40,6 +40,24 @@ def test_token_volume_of_huge_transfers(spark):
     assert batch["week", 0] == want and [batch["hour", i] for i in range(5)] == [str(n // 10**6) for n in amounts]
 
 
+def test_series_of_huge_volumes(spark):
+    """The stable coin's series: exact text on demand, null where a decimal cannot hold it, and every other metric alike."""
+    amounts = [2**256 - 1, 10**45, 7 * 10**6, 10**44 - 1]
+    coin, transfer = bytes.fromhex(M.USDC_ADDRESS.removeprefix("0x")), bytes.fromhex(M.TRANSFER.removeprefix("0x"))
+    rows = [(1, coin, transfer, n.to_bytes(32, "big"), f"2024-01-03 0{i}:10:00") for i, n in enumerate(amounts)]
+    logs = spark.createDataFrame(rows, "chain_id bigint, address binary, topic0 binary, data binary, at string").withColumn("block_time", F.to_timestamp("at"))
+    names = ["usdc_volume", "icm_total"]
+    text = {(r.metric_name, r.granularity, r.period.hour): r.value for r in M.metric_batch({"raw_logs": logs}, names, grains=("hour", "day"), exact=True).collect()}
+    assert [text["usdc_volume", "hour", i] for i in range(4)] == [str(n // 10**6) for n in amounts] and text["usdc_volume", "day", 0] == str(sum(amounts) // 10**6)
+    plain = {(r.metric_name, r.granularity, r.period.hour): r.value for r in M.metric_batch({"raw_logs": logs}, names, grains=("hour", "day")).collect()}
+    assert set(plain) == set(text) and all(str(v) == text[k] if v is not None else len(text[k]) > 38 for k, v in plain.items())
+    assert [plain["usdc_volume", "hour", i] is None for i in range(4)] == [True, True, False, False]
+    for n in names:
+        for g in ("hour", "day"):
+            single = {(r.metric_name, r.granularity, r.period.hour): r.value for r in M.metric(n, g, {"raw_logs": logs}, exact=True).collect()}
+            assert single == {k: v for k, v in text.items() if k[:2] == (n, g)}
+
+
 def test_granularities_agree(star):
     series = M.metric_batch({"raw_txs": star.raw_txs()}, ["tx_count"])
     totals = series.groupBy("granularity").agg(F.sum("value").alias("n")).collect()
