@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from blockloom.functions.hexes import hex_to_fixed, wide_of
+from blockloom.functions.u256 import u256_from_words, u256_to_text
 from blockloom.operators.quality import receipt_mismatch
 
 
@@ -19,3 +21,19 @@ def test_receipt_mismatch_is_no_filter(spark):
     assert "Filter" not in optimized(found)
     assert sorted(map(tuple, found.collect()))[0] == ("1", 2, 1)
     assert found.columns == ["block_number", "txs", "receipts"]
+
+
+def test_padding(spark):
+    rows = spark.createDataFrame([("0x1",), ("0x",), ("ab" * 20,), ("ab" * 21,), ("0xzz",), (None,)], "h string")
+    got = {r.h: r.f for r in rows.select("h", hex_to_fixed("h", 20).alias("f")).collect()}
+    assert got["0x1"] == bytes(19) + b"\x01" and got["0x"] == bytes(20) == got[None]
+    assert got["ab" * 20] == b"\xab" * 20 and got["ab" * 21] is None and got["0xzz"] is None
+    numbers = spark.createDataFrame([(0,), (255,), (2**63 - 1,), (None,)], "n bigint")
+    for r in numbers.select("n", wide_of("n", 20).alias("w"), u256_to_text(u256_from_words("n", F.lit(3))).alias("t")).collect():
+        assert r.w == (None if r.n is None else f"{r.n:040X}")
+        if r.n is not None:
+            assert r.t == str(r.n * 2**64 + 3)
+
+
+def test_stages_of_long_methods_are_split(spark):
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
