@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from blockloom.functions.hexes import hex_to_fixed, wide_of
-from blockloom.functions.u256 import u256_from_words, u256_to_text
+from blockloom.functions.u256 import u256_div, u256_from_words, u256_to_text
 from blockloom.operators.quality import receipt_mismatch
 
 
@@ -23,6 +23,16 @@ def test_receipt_mismatch_is_no_filter(spark):
     assert found.columns == ["block_number", "txs", "receipts"]
 
 
+def test_quotient_is_plain_arithmetic(spark):
+    values = [0, 1, 2**24, 2**64 + 5, 10**18, 7 * 10**30 + 123456789, 2**255 + 3, 2**256 - 1]
+    rows = spark.createDataFrame([(bytearray(v.to_bytes(32, "big")),) for v in values], "v binary")
+    for divisor in (1, 7, 10**6, 10**18, 10**24):
+        out = rows.select("v", u256_div("v", divisor).alias("q"))
+        assert "lambda" not in optimized(out)  # a higher-order function runs without generated code
+        got = {int.from_bytes(r.v, "big"): int.from_bytes(r.q, "big") for r in out.collect()}
+        assert got == {v: v // divisor for v in values}
+
+
 def test_padding(spark):
     rows = spark.createDataFrame([("0x1",), ("0x",), ("ab" * 20,), ("ab" * 21,), ("0xzz",), (None,)], "h string")
     got = {r.h: r.f for r in rows.select("h", hex_to_fixed("h", 20).alias("f")).collect()}
