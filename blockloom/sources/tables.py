@@ -82,19 +82,30 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
 
 
 def stored_blocks(spark: SparkSession, root: str, table: str, chain_id, low, high, batch: str) -> DataFrame | None:
-    """(chain_id, block_number) that other batches have stored in the days from ``low`` to ``high``, from those folders alone."""
+    """(chain_id, block_number) that other batches have stored in the days from ``low`` to ``high``, from those folders alone.
+
+    Joins with it are by shuffle: Spark's estimate, from the size of two columns in compressed files, would send millions of
+    blocks to the driver to be broadcast.
+    """
     stored = read_table(spark, root, table)
     if stored is None:
         return None
     mine = stored.where((F.col("chain_id") == chain_id) & F.col("block_date").between(F.lit(low), F.lit(high)) & (F.col(BATCH) != batch))
-    return mine.select("chain_id", "block_number").distinct()
+    return mine.select("chain_id", "block_number").distinct().hint("merge")
 
 
-def write_new(df: DataFrame, root: str, table: str, batch: str, known: DataFrame | None, load: str = "stream") -> None:
+def write_new(df: DataFrame, root: str, table: str, batch: str, known: DataFrame | None, load: str = "stream", blocks: DataFrame | None = None) -> None:
     """Write a batch's rows without the blocks that other batches have stored (``known``).
 
     What the batch itself wrote before is replaced, so one that broke half-way through a block is whole after its repeat.
+    ``blocks`` are the (chain_id, block_number) of all rows: if others hold none or all of them, the rows need no shuffle.
     """
+    if known is not None and blocks is not None:
+        marked = blocks.join(known.withColumn("held", F.lit(True)), ["chain_id", "block_number"], "left")
+        total, held = marked.agg(F.count("*"), F.count("held")).first()
+        if held == total:
+            return
+        known = known if held else None
     write_raw(only_new(df, known, ["chain_id", "block_number"]), root, table, load, batch=batch)
 
 

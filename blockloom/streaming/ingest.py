@@ -46,7 +46,7 @@ def write_batch(nested: DataFrame, root: str, chain_id: int, load: str = "stream
         name = batch or f"blocks-{first}-{top}"
 
         def write(table: str) -> None:
-            write_new(tables[table], root, table, name, stored_blocks(spark, root, table, chain_id, low, high, name), load)
+            write_new(tables[table], root, table, name, stored_blocks(spark, root, table, chain_id, low, high, name), load, blocks)
 
         with ThreadPoolExecutor(len(tables)) as pool:
             for job in [pool.submit(write, table) for table in tables]:

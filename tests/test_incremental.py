@@ -359,3 +359,13 @@ def test_months_in_state(spark, tmp_path):
     assert {k: v for k, v in whole.items() if k[2] > 1 and k[0] in ("sum", "avg")} == {("sum", 1, 2): 16, ("avg", 1, 2): 8}
     with pytest.raises(ValueError, match="months"):
         T.stream_metric(spark.readStream.schema(schema).parquet(src), "max_tps", "month")
+
+
+def test_stored_blocks_never_pass_through_the_driver(spark, star, tmp_path):
+    from blockloom.operators.versioned import only_new
+
+    root = str(tmp_path)
+    G.write_batch(nested(spark, star, 0, 99), root, 9, batch="s-0")
+    held = ST.stored_blocks(spark, root, "raw_blocks", 9, datetime(2024, 1, 1).date(), datetime(2024, 12, 31).date(), "s-1")
+    fresh = only_new(ST.read_table(spark, root, "raw_blocks"), held, ["chain_id", "block_number"])
+    assert "Broadcast" not in fresh._jdf.queryExecution().executedPlan().toString() and fresh.count() == 0
