@@ -51,7 +51,7 @@ def plain(df: DataFrame) -> DataFrame:
         elif isinstance(kind, T.DecimalType):
             c = c.cast("string")
         elif isinstance(kind, T.BinaryType):
-            c = F.conv(F.right(F.hex(c), F.lit(16)), 16, 10).cast("bigint")
+            c = F.conv(F.hex(F.substring(c, -8, 8)), 16, 10).cast("bigint")
         elif isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(kind, T.FloatType):

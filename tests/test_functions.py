@@ -87,3 +87,16 @@ def test_display_text(spark):
     assert texts(X.field_display(F.lit("stakeAmount"), F.lit("2500000000")), X.field_display(F.lit("endTime"), F.lit("1700000000")), X.field_display(F.lit("memo"), F.lit("x"))) == ["2.50", "2023-11-14 22:13:20", "x"]
     assert texts(X.to_uint_or_zero(F.lit("18446744073709551616")), X.to_uint_or_zero(F.lit("12")), X.to_float_or_zero(F.lit("x"))) == [0, 12, 0.0]
     assert texts(X.trunc_div(F.lit(19999999999), F.lit(10000000000)), X.trunc_div(F.lit(1), F.lit(0))) == [1, None]
+
+
+def test_bytes_are_cut_in_blocks(spark):
+    """Numbers become bytes, limbs and text without passing through padded or cut texts, whatever their sign and length."""
+    longs = [None, 0, 1, 15, 255, 256, 2**31, 2**63 - 1, -1, -(2**63)]
+    rows = spark.createDataFrame([(n,) for n in longs], "n bigint").select("n", H.address_of("n").alias("a"), H.word_of("n").alias("w"), U.u256_from_words("n", F.lit(3)).alias("u"))
+    for r in rows.collect():
+        want = None if r.n is None else (r.n % 2**64).to_bytes(20, "big")
+        assert (None if r.a is None else bytes(r.a)) == want and r.w == (want and want[-8:].hex().upper())
+        assert (None if r.u is None else bytes(r.u)) == (want and bytes(4) + want + bytes(7) + b"\x03")
+    wide = spark.createDataFrame([(bytearray(32),)], "v binary").select(*U.u256_limbs("v"), U.u256_to_text("v"))
+    assert "lpad" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring(hex" not in wide._jdf.queryExecution().optimizedPlan().toString()
