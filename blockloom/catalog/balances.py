@@ -59,10 +59,9 @@ def balance_changes_one_range(star: Star):
 SELECT chain_id, wallet, token, CAST(total_in AS VARCHAR) AS total_in, CAST(total_out AS VARCHAR) AS total_out, CAST(balance AS VARCHAR) AS balance, last_updated_block FROM balances""")
 def balance_view(star: Star):
     # every range once more with an older version: readers must see only the newest
-    rows = _changes(star)
-    newest = rows.withColumn("computed_at", F.timestamp_seconds(F.lit(2)))
-    stale = rows.withColumn("deposits", F.col("withdrawals")).withColumn("computed_at", F.timestamp_seconds(F.lit(1)))
-    view = B.balances(newest.unionByName(stale))
+    version = lambda deposits, second: F.struct(F.col(deposits).alias("deposits"), "withdrawals", F.timestamp_seconds(F.lit(second)).alias("computed_at"))
+    both = F.inline(F.array(version("deposits", 2), version("withdrawals", 1)))
+    view = B.balances(_changes(star).select(*B.RANGE_KEY, both))
     return plain(view.withColumns({"total_in": u256_to_text("total_in"), "total_out": u256_to_text("total_out"), "balance": signed_text("balance")}))
 
 

@@ -73,7 +73,8 @@ def current_changes(changes: DataFrame) -> DataFrame:
 
     A range is named by its first block: a last range that was not full grows when it is run again.
     """
-    keys = [c for c in RANGE_KEY if c != "to_block"]
+    # ranges first: the rows are sorted by these keys, and a number of many values is compared without reading bytes
+    keys = ["from_block", *[c for c in RANGE_KEY if c not in ("from_block", "to_block")]]
     return latest_by_key(changes, keys, "computed_at", ["to_block"]) if "computed_at" in changes.columns else changes
 
 
