@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from blockloom.catalog import load
 from blockloom.functions.hexes import hex_to_fixed, wide_of
 from blockloom.functions.u256 import u256_div, u256_from_words, u256_to_text
 from blockloom.operators.quality import receipt_mismatch
+from blockloom.sources.star_schema import Star
 
 
 def optimized(df):
@@ -47,3 +49,17 @@ def test_padding(spark):
 
 def test_stages_of_long_methods_are_split(spark):
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def _star(spark, tmp_path, rows: dict[str, tuple[list, str]]):
+    for name, (values, schema) in rows.items():
+        spark.createDataFrame(values, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return Star(spark, str(tmp_path))
+
+
+def test_sketches_do_not_travel_with_distinct_values(spark, tmp_path):
+    lines = [(n, p, s) for n in (None, 1, 2) for p in (None, 1, 2, 3) for s in (None, 5, 6)]
+    star = _star(spark, tmp_path, {"lineitem": (lines * 2, "l_linenumber int, l_partkey bigint, l_suppkey bigint")})
+    found = load()["agg_distinct_estimate_bounds"].run(star)
+    assert "Expand" not in optimized(found)
+    assert sorted(map(str, found.collect())) == sorted(f"Row(l_linenumber={n}, parts=True, pairs=True)" for n in (None, 1, 2))
