@@ -90,7 +90,7 @@ def _once(star: Star, name: str, make):
 
 
 def _state(star: Star):
-    return validator_state(star.snapshot(), 0, F.lit(AS_OF).cast("timestamp"))
+    return _once(star, "state", lambda: validator_state(star.snapshot(), 0, F.lit(AS_OF).cast("timestamp")))
 
 
 def _txs(star: Star):
@@ -110,7 +110,7 @@ def _refunds(star: Star):
 
 
 def _subnets(star: Star):
-    return L.all_subnets(star.platform_txs(), AS_OF)
+    return _once(star, "subnets", lambda: L.all_subnets(_txs(star), AS_OF))
 
 
 def _fees(star: Star):
