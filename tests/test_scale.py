@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from blockloom.catalog import load
 from blockloom.functions.hexes import hex_to_fixed, wide_of
 from blockloom.functions.u256 import u256_div, u256_from_words, u256_to_text
+from blockloom.operators.normalize import assemble_blocks
 from blockloom.operators.quality import receipt_mismatch
 from blockloom.sources.star_schema import Star
 
@@ -67,6 +68,18 @@ def test_sketches_do_not_travel_with_distinct_values(spark, tmp_path):
     assert sorted(map(str, found.collect())) == sorted(f"Row(l_linenumber={n}, parts=True, pairs=True)" for n in (None, 1, 2))
 
 
+def test_whole_receipts_do_not_travel(spark):
+    blocks = spark.range(3).select(F.expr("named_struct('number', '0x1', 'hash', '0x1', 'timestamp', '0x1', 'timestampMilliseconds', '0x1', 'baseFeePerGas', '0x0', 'transactions', array(named_struct('hash', string(id)))) AS block"))
+    receipts = spark.createDataFrame([(str(i), "0x1", "many logs") for i in range(3)], "h string, s string, l string").repartition(2)
+    receipts = receipts.select(F.expr("named_struct('transactionHash', h, 'status', s, 'logs', l) AS receipt"))
+    traces = spark.createDataFrame([("1", "calls")], "h string, r string").select(F.expr("named_struct('txHash', h, 'result', r) AS trace"))
+    rows = assemble_blocks(blocks, receipts, traces, 1)
+    some = rows.select(F.col("tx.hash").alias("h"), F.col("receipt.status").alias("s"), F.col("trace.txHash").alias("t"))
+    assert "logs" not in optimized(some) and "result" not in optimized(some)
+    assert sorted(map(tuple, some.collect())) == [("0", "0x1", None), ("1", "0x1", "1"), ("2", "0x1", None)]
+    assert set(rows.columns) == {"chain_id", "block", "pos", "tx", "receipt", "trace"}
+
+
 def test_building_spreads_over_the_cores(spark, tmp_path):
     """One file of one row group is a single task, whatever its size."""
     customers = [(i, 1.0, "BUILDING") for i in range(50)]
