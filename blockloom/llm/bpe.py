@@ -18,11 +18,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -126,24 +126,23 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, id: str = "doc_id", text
 
 def decode(encoded: DataFrame, ranks: bytes, ids: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``, the bytes of its ids one after the other; null ids give no bytes."""
-    cache: dict[str, list[bytes]] = {}
+    cache: dict[str, pa.Array] = {}
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         if "words" not in cache:
             table = _table(ranks)
             words = [b""] * (max(table.values()) + 1)
             for word, rank in table.items():
                 words[rank] = word
-            cache["words"] = words
-        look = cache["words"].__getitem__
-        for batch in batches:
-            column = batch.column(place)
-            decoded = [b"".join(map(look, x.values.to_numpy(zero_copy_only=False).tolist())) if x.is_valid else b"" for x in column]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"])
+            cache["words"] = pa.array(words, pa.large_binary())
+        column = batch.column(place)
+        lists = pa.LargeListArray.from_arrays(column.offsets.cast(pa.int64()), cache["words"].take(column.values))
+        decoded = pc.if_else(column.is_valid(), pc.binary_join(lists, pa.scalar(b"", pa.large_binary())), pa.scalar(b"", pa.large_binary()))
+        return pa.RecordBatch.from_arrays([*batch.columns, decoded.cast(pa.binary())], names=[*batch.schema.names, "decoded"])
 
     place = encoded.columns.index(ids)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(work, f"{schema}, decoded binary")
+    return encoded.mapInArrow(each_batch(work), f"{schema}, decoded binary")
 
 
 def with_digests(decoded: DataFrame) -> DataFrame:

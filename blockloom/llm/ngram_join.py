@@ -22,7 +22,6 @@ null id links nothing and has a null component.  Repeated ids name a document ea
 
 from __future__ import annotations
 
-import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 
 from blockloom.llm import sketch
 from blockloom.llm.components import components
-from blockloom.llm.tables import Carried, each_batch, pick, stored
+from blockloom.llm.tables import Carried, each_batch, give_back, pick, stored
 from blockloom.llm.words import shingles, word_hashes
 
 #: N-grams that one part or chunk holds on average.
@@ -44,15 +43,6 @@ RANGES = 16
 HUBS, HUB_ROUNDS, BLOCK = 3, 3, 128
 
 
-def _give_back() -> None:
-    """Return freed memory to the machine: workers are kept between tasks, and what one task freed the next may not fit into."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (AttributeError, OSError):  # another C library
-        pass
-
-
 def _sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
     for at, hashes, ends in word_hashes(column, lower=True):
         for i in range(len(ends) - 1):
@@ -81,7 +71,7 @@ def _base(size: int, salt: int):
             yield pa.RecordBatch.from_pydict(
                 {"id": batch["id"], "th": batch["th"], "n": pa.array(n, pa.int64()), "cls": pa.array(cls, pa.int64()), "digest": pa.array(digest, pa.binary()), "slice": pa.nulls(k, pa.int32()), "counts": pa.nulls(k, pa.binary())}
             )
-        _give_back()
+        give_back()
         for part in sketch.rows(total):
             k = part.num_rows
             yield pa.RecordBatch.from_pydict(
@@ -166,7 +156,7 @@ def _counted(parts: int, counters: np.ndarray):
             counts = np.diff(np.concatenate([starts, [b]])).astype(np.int32)
             out.append((int(chunk[a]), cls[starts].tobytes(), sizes[starts].tobytes(), counts.tobytes(), grams[a:b].tobytes(), df[a:b].astype(np.int64).tobytes()))
         del cls, sizes, grams, df, chunk, order, more
-        _give_back()
+        give_back()
         return pd.DataFrame(out, columns=["chunk", "cls", "sizes", "counts", "grams", "df"])
 
     return run
@@ -196,7 +186,7 @@ def _prefixes(percent: int):
             if own < prefix:
                 out.append((int(cls[a]), n, own, grams[a : a + prefix - own].view(np.int64).copy(), np.sort(grams[a:b]).tobytes()))
         del cls, sizes, grams, df, order, counts
-        _give_back()
+        give_back()
         return pd.DataFrame(out, columns=["cls", "n", "own", "prefix", "shared"])
 
     return run

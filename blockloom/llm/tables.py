@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import pyarrow as pa
@@ -83,6 +84,15 @@ def join_small(large: DataFrame, small: DataFrame, on: str, salts: int = 16, lim
     return left.join(right, [on, "_salt"], "left").drop("_salt")
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: workers are kept between tasks, and what one task freed the next may not fit into."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def each_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function for mapInArrow that handles each batch on its own."""
 
@@ -90,5 +100,6 @@ def each_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Calla
         for batch in batches:
             if batch.num_rows and (out := work(batch)) is not None:
                 yield out
+        give_back()
 
     return run

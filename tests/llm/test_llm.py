@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from blockloom.llm import bpe, components, fingerprints, html_extract, language_id, licenses, line_dedup, mixing, ngram_join, quality_divergence, queries, token_counts, words
-from blockloom.llm.tables import table
+from blockloom.llm.tables import each_batch, table
+from blockloom.session import prepare
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -227,6 +228,22 @@ def test_bpe_is_the_librarys_and_round_trips(docs, edge, texts):
     assert bpe.encode(edge.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
 
 
+def test_pipeline_hands_python_batches_of_few_megabytes(spark):
+    prepare(spark)  # a thousand chunks of a long text would make one batch of 24 MB, held by the JVM and by the worker
+    rows = spark.range(0, 600, 1, 1).select(F.repeat(F.lit("word cut "), bpe.CHUNK // 9).alias("text"))
+    sizes = rows.mapInArrow(each_batch(lambda b: pa.RecordBatch.from_pydict({"rows": [b.num_rows], "size": [b.nbytes]})), "rows bigint, size bigint").collect()
+    assert sum(r["rows"] for r in sizes) == 600 and max(r["size"] for r in sizes) < 5_000_000
+
+
+def test_decoding_joins_the_bytes_of_each_id(spark):
+    ranks = bpe.ranks_of(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    words = {rank: word for word, rank in bpe._table(ranks).items()}
+    lists = [[], None, [0], [300, 255, 300], sorted(words)[-3:], list(range(0, 3000, 7))]
+    rows = spark.createDataFrame(list(enumerate(lists)), "id int, ids array<int>").coalesce(1)
+    got = {r["id"]: bytes(r["decoded"]) for r in bpe.decode(rows, ranks).collect()}
+    assert got == {i: b"".join(words[x] for x in ids or ()) for i, ids in enumerate(lists)}
+
+
 def test_fingerprints(spark, docs, edge, texts):
     got = by_id(fingerprints.compare_edited(docs))
     ids = sorted(texts)
