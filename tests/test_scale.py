@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from blockloom.catalog import load
-from blockloom.functions.hexes import hex_to_fixed, wide_of
+from blockloom.functions.hexes import hex_to_fixed, hex_to_uint, text_of, wide_of
 from blockloom.functions.u256 import u256_div, u256_from_words, u256_to_text
 from blockloom.operators.normalize import assemble_blocks
 from blockloom.operators.quality import receipt_mismatch
@@ -92,3 +92,32 @@ def test_building_spreads_over_the_cores(spark, tmp_path):
     numbers = star.nested_events().select(F.spark_partition_id().alias("p"), F.conv(F.substring("block.number", 3, 16), 16, 10).cast("int").alias("n"))
     ends = sorted((r.low, r.high) for r in numbers.groupBy("p").agg(F.min("n").alias("low"), F.max("n").alias("high")).collect())
     assert len(ends) > 1 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+
+
+LINES = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_linestatus string, l_shipdate timestamp"
+
+
+def _lines(spark, tmp_path):
+    rows = [(1, 2, 3, 1, 5.0, 10.5, 0.0, 0.1, "O", datetime(1995, 1, 1)), (1, 2, 3, 1, 5.0, 10.5, 0.1, 0.0, "F", datetime(1995, 1, 1)), (2**20, 255, None, 2, 50.0, 99.25, 0.1, 0.0, "F", datetime(1996, 5, 5))]
+    return _star(spark, tmp_path, {"lineitem": (rows, LINES)})
+
+
+def test_digits_are_not_counted_as_characters(spark):
+    odd = ["0x", "", None, "0x1", "0x00000000000000000000ff", "ff", "0xFF", "0xé", "é" * 4, "0x" + "f" * 16, "0x" + "f" * 17, "zz"]
+    rows = spark.createDataFrame([(v,) for v in odd], "h string")
+    found = rows.select("h", hex_to_fixed("h", 4).alias("f"), hex_to_uint("h").alias("n"), hex_to_uint("h", 8).alias("small"))
+    got = {r.h: (r.f and bytes(r.f).hex(), r.n if r.n is None else int(r.n), r.small) for r in found.collect()}
+    assert got == {
+        "0x": ("00000000", 0, 0), "": ("00000000", 0, 0), None: ("00000000", 0, 0), "0x1": ("00000001", 1, 1), "0x00000000000000000000ff": (None, 255, 255), "ff": ("000000ff", 255, 255),
+        "0xFF": ("000000ff", 255, 255), "0xé": (None, None, None), "éééé": (None, None, None), "0x" + "f" * 16: (None, 2**64 - 1, None), "0x" + "f" * 17: (None, None, None), "zz": (None, None, None),
+    }
+    fixed = optimized(rows.select(hex_to_fixed("h", 4)))
+    assert "octet_length" in fixed and "as binary), 3" in fixed
+    numbers = spark.createDataFrame([(0,), (255,), (-1,), (2**63 - 1,), (None,)], "n bigint")
+    for r in numbers.select("n", text_of("n", 20).alias("t")).collect():
+        assert r.t == (None if r.n is None else f"0x{r.n % 2**64:040x}")
+
+
+def test_unread_fields_of_records_are_not_built(spark, tmp_path):
+    blocks = _lines(spark, tmp_path).nested_blocks()
+    assert "transactions" not in optimized(blocks.select("block.number", "block.hash"))
