@@ -2,11 +2,14 @@
 
 from datetime import datetime
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from blockloom.catalog import load
+from blockloom.catalog import exact, load
 from blockloom.functions.hexes import hex_to_fixed, hex_to_uint, text_of, wide_of
 from blockloom.functions.u256 import u256_div, u256_from_words, u256_to_text
+from blockloom.operators import normalize as N
 from blockloom.operators.normalize import assemble_blocks
 from blockloom.operators.quality import receipt_mismatch
 from blockloom.sources.star_schema import Star
@@ -121,3 +124,32 @@ def test_digits_are_not_counted_as_characters(spark):
 def test_unread_fields_of_records_are_not_built(spark, tmp_path):
     blocks = _lines(spark, tmp_path).nested_blocks()
     assert "transactions" not in optimized(blocks.select("block.number", "block.hash"))
+    whole = N.tx_rows(blocks, 7)
+    for parts, read in ((N.TRACE_PARTS, N.normalize_traces), (N.TX_PARTS, N.normalize_txs)):
+        some = N.tx_rows(blocks, 7, parts=parts)
+        assert {n: tuple(some.schema[n].dataType.names) for n in parts} == parts
+        assert sorted(map(repr, read(some).collect())) == sorted(map(repr, read(whole).collect()))
+    assert "topics" in optimized(whole) and "topics" not in optimized(N.tx_rows(blocks, 7, parts=N.TRACE_PARTS))
+    short = blocks.withColumn("receipts", F.slice("receipts", 1, 1))
+    assert N.tx_rows(short, 7, strict=False, parts=N.TX_PARTS).count() == 0
+    with pytest.raises(Exception, match="receipt count differs"):
+        N.tx_rows(short, 7, parts=N.TX_PARTS).count()
+
+
+def test_transactions_are_shown_once_not_for_each_call(spark, tmp_path):
+    rows = N.tx_rows(_lines(spark, tmp_path).nested_blocks(), 7, parts=N.TRACE_PARTS)
+    shown = exact(N.normalize_traces(rows, each_tx=exact))
+    above = optimized(shown).split("Generate explode")[0]
+    assert "date_format" not in above and "lower(hex(tx_hash" not in above
+    assert sorted(map(repr, shown.collect())) == sorted(map(repr, exact(N.normalize_traces(rows)).collect()))
+
+
+def test_calls_are_gathered_by_field():
+    texts = [None, "", "{}", '{"from":"a","gas":NaN,"calls":[{"from":"b","calls":[{"to":"c"}]},{"type":"é"}]}', '{"calls":[]}']
+    call = lambda path, **f: {"path": path, **{n: f.get(n) for n in N._CALL_FIELDS}}
+    want = [call([], **{"from": "a"}), call([0], **{"from": "b"}), call([0, 0], to="c"), call([1], type="é")]
+    assert N._walk(pa.array(texts, pa.string())).to_pylist() == [None, None, None, want, [call([])]]
+    assert N._walk(pa.array([], pa.string())).to_pylist() == []
+    for bad in ("{bad", "[1]", '{"from":5}', '{"calls":[null]}'):
+        with pytest.raises(Exception):
+            N._walk(pa.array([bad]))
